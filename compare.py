@@ -1,10 +1,13 @@
 """Run queries in Spark and in DuckDB on one folder of test tables and compare the rows.
 
     python compare.py [folder] [query ...]
+
+COMPARE_CONF may hold further Spark settings, as ``name=value name=value``.
 """
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from collections import Counter
@@ -57,6 +60,8 @@ def main() -> int:
     names = sys.argv[2:] or list(QUERIES)
     spark = build_session("compare", "local[8]", **{
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "spark.driver.memory": "8g",
+        **dict(setting.split("=", 1) for setting in os.environ.get("COMPARE_CONF", "").split()),
     })
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle_connection(folder)

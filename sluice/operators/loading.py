@@ -63,11 +63,14 @@ def keys_present(existing: DataFrame, incoming: DataFrame, key: str) -> DataFram
 
 
 def insert_ignore(existing: DataFrame | None, incoming: DataFrame, key: str,
-                  order: list[str] | None = None) -> DataFrame:
-    """Rows of the batch to append: one per key, and only keys not loaded before."""
+                  order: list[str] | None = None, batch_keys: DataFrame | None = None) -> DataFrame:
+    """Rows of the batch to append: one per key, and only keys not loaded before.
+
+    ``batch_keys`` may hold the keys of the batch (or more) where they are had
+    more cheaply than from ``incoming``, which would be computed twice.
+    """
     batch = dedupe_first(incoming, key, order)
     if existing is None:
         return batch
-    return batch.join(keys_present(existing, incoming, key), key, "left_anti").select(
-        incoming.columns
-    )
+    present = keys_present(existing, incoming if batch_keys is None else batch_keys, key)
+    return batch.join(present, key, "left_anti").select(incoming.columns)

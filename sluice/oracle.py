@@ -433,7 +433,7 @@ SELECT *, {rnd('worst_monthly_spend * 12')} AS worst_annual_spend,
 FROM figures""")
 define("cost_spread", f"""
 SELECT min(cost_per_viewing_hour) AS lowest_cost, max(cost_per_viewing_hour) AS highest_cost,
-       {rnd('max(cost_per_viewing_hour) / min(cost_per_viewing_hour)')} AS times
+       {rnd('max(cost_per_viewing_hour) / nullif(min(cost_per_viewing_hour), 0)')} AS times
 FROM titles""")
 
 

@@ -110,9 +110,10 @@ def fact_lines(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFram
 FACT_SEQUENCE = ["date_key", "customer_key", "product_key", "quantity", "total_price"]
 
 
-def new_facts(existing: DataFrame | None, lines: DataFrame) -> DataFrame:
+def new_facts(existing: DataFrame | None, lines: DataFrame,
+              batch_keys: DataFrame | None = None) -> DataFrame:
     """Lines to append, one per order id not loaded yet, without their sale key."""
-    return insert_ignore(existing, lines, "source_order_id", FACT_SEQUENCE)
+    return insert_ignore(existing, lines, "source_order_id", FACT_SEQUENCE, batch_keys)
 
 
 def number_facts(facts: DataFrame, after: Column, stripes: int = FACT_STRIPES) -> DataFrame:
@@ -123,7 +124,12 @@ def load_facts(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFram
                existing: DataFrame | None = None) -> DataFrame:
     """Fact rows to append: looked up, reduced to new orders, and numbered."""
     lines = fact_lines(orders, dim_customer, dim_product)
-    return number_facts(new_facts(existing, lines), highest_key(existing, "sale_key"))
+    fresh = new_facts(existing, lines, _order_ids(orders))
+    return number_facts(fresh, highest_key(existing, "sale_key"))
+
+
+def _order_ids(orders: DataFrame) -> DataFrame:
+    return orders.select(F.col("order_id").alias("source_order_id"))
 
 
 def _flagged(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
@@ -167,9 +173,7 @@ def load_audit(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFram
     if existing is None:
         per_order = per_order.withColumn("present", F.lit(False))
     else:
-        known = keys_present(
-            existing, orders.select(F.col("order_id").alias("source_order_id")), "source_order_id"
-        )
+        known = keys_present(existing, _order_ids(orders), "source_order_id")
         per_order = per_order.join(
             known.withColumn("present", F.lit(True)), "source_order_id", "left"
         ).withColumn("present", F.coalesce("present", F.lit(False)))

@@ -16,6 +16,8 @@ SETTINGS = {
     # join or of a REBALANCE write are split.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot partition even if the next step then has to shuffle again.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     # Window state of long streams lives outside the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
@@ -32,6 +34,13 @@ def build_session(app_name: str, master: str | None = None, **settings: str) ->
     return builder.getOrCreate()
 
 
+def prepare(spark: SparkSession) -> SparkSession:
+    """Give a session that was built elsewhere the settings the plans rely on."""
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by ``spark.checkpoint.dir``.
 
