@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -18,15 +20,53 @@ def orphans(df: DataFrame, reference: DataFrame, key: str) -> DataFrame:
     return with_key.select(df.columns).unionByName(without_key)
 
 
-def orphan_count(df: DataFrame, reference: DataFrame, key: str) -> DataFrame:
-    """One row with the number of orphans.
+def violation_counts(
+    df: DataFrame,
+    references: dict[str, tuple[str, DataFrame]],
+    rules: dict[str, Column] | None = None,
+) -> DataFrame:
+    """(rule, violations) for orphan rules and row rules together, in one pass over ``df``.
+
+    ``references`` maps a rule name to (key column, table that must hold it),
+    ``rules`` a rule name to the condition of a broken row.
 
-    Rows are counted per key before anything is joined, so a key that holds a
-    large share of the table is one row in the join.
+    Every row is counted under each of its keys, and rows are added up per key
+    before anything is joined: a key that holds a large share of the table is
+    one row in the join. All keys then meet all reference keys in one join on
+    (rule, key). A null key is among the orphans.
     """
-    per_key = df.groupBy(key).agg(F.count("*").alias("n"))
-    unknown = per_key.join(reference.select(key), key, "left_anti")
-    return unknown.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("violations"))
+    rules = rules or {}
+    broken = [F.when(condition, 1).otherwise(0) for condition in rules.values()]
+    under_each_key = F.array(*[
+        F.struct(
+            F.lit(name).alias("rule"),
+            F.col(column).cast("string").alias("key"),
+            # A row's rules count once, under its first key.
+            *[(flag if place == 0 else F.lit(0)).alias(f"broken_{i}")
+              for i, flag in enumerate(broken)],
+        )
+        for place, (name, (column, _)) in enumerate(references.items())
+    ])
+    per_key = df.select(F.inline(under_each_key)).groupBy("rule", "key").agg(
+        F.count("*").alias("n"),
+        *[F.sum(f"broken_{i}").alias(f"broken_{i}") for i in range(len(rules))],
+    )
+    known = reduce(DataFrame.unionByName, [
+        table.select(F.lit(name).alias("rule"), F.col(column).cast("string").alias("key"))
+        for name, (column, table) in references.items()
+    ]).distinct().withColumn("known", F.lit(True))
+    judged = per_key.join(known, ["rule", "key"], "left")
+    unknown = F.when(F.col("known").isNull(), F.col("n"))
+    totals = [F.sum(f"broken_{i}") for i in range(len(rules))]
+    totals += [F.sum(F.when(F.col("rule") == name, unknown)) for name in references]
+    names = [*rules, *references]
+    wide = judged.agg(*[
+        F.coalesce(total, F.lit(0)).cast("long").alias(name)
+        for name, total in zip(names, totals, strict=True)
+    ])
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("rule"), F.col(name).alias("violations")) for name in names
+    ])))
 
 
 def repeats_folded(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -8,7 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.operators.checks import rule_violations
-from sluice.operators.matching import orphan_count
+from sluice.operators.matching import violation_counts
+
+# The order in which broken rules end a run, and the rules that never do.
+GATES = (
+    "viewing_range",
+    "viewing_unknown_user",
+    "viewing_unknown_content",
+    "quality_range",
+    "interaction_unknown_user",
+)
+REPORTED_ONLY = ("viewing_range",)
 
 
 class QualityGateError(ValueError):
@@ -37,22 +47,25 @@ def quality_report(viewing: DataFrame, users: DataFrame, catalog: DataFrame,
     Gates are judged in ``gate_order``. The range of viewing rows is reported
     but lets the run go on, because cleaning repairs such rows.
     """
-    rules = [
-        ("viewing_range", False, rule_violations(viewing, {"viewing_range": viewing_range()})),
-        ("viewing_unknown_user", True, orphan_count(viewing, users, "user_id")),
-        ("viewing_unknown_content", True, orphan_count(viewing, catalog, "content_id")),
-        ("quality_range", True, rule_violations(quality, {"quality_range": quality_range()})),
-        ("interaction_unknown_user", True, orphan_count(interactions, users, "user_id")),
-    ]
-    frames = [
-        counted.select(
-            F.lit(position).alias("gate_order"), F.lit(name).alias("rule"),
-            F.col("violations"), F.lit(fatal).alias("fatal"),
-        )
-        for position, (name, fatal, counted) in enumerate(rules, start=1)
-    ]
-    return reduce(DataFrame.unionByName, frames).withColumn(
-        "passed", ~F.col("fatal") | (F.col("violations") == 0)
+    counted = reduce(DataFrame.unionByName, [
+        violation_counts(
+            viewing,
+            {
+                "viewing_unknown_user": ("user_id", users),
+                "viewing_unknown_content": ("content_id", catalog),
+            },
+            {"viewing_range": viewing_range()},
+        ),
+        rule_violations(quality, {"quality_range": quality_range()}),
+        violation_counts(interactions, {"interaction_unknown_user": ("user_id", users)}),
+    ])
+    position = F.coalesce(*[
+        F.when(F.col("rule") == rule, F.lit(i)) for i, rule in enumerate(GATES, start=1)
+    ])
+    fatal = ~F.col("rule").isin(*REPORTED_ONLY)
+    return counted.select(
+        position.alias("gate_order"), "rule", "violations", fatal.alias("fatal"),
+        (~fatal | (F.col("violations") == 0)).alias("passed"),
     )
 
 
