@@ -19,7 +19,9 @@ def parse_activity(raw: DataFrame) -> DataFrame:
     A message that is no JSON object gives a row of nulls, an unreadable time a
     null ``event_time``; ``decode_report`` counts both.
     """
-    fields = raw.select(_payload().alias("payload")).select("payload.*")
+    # ``inline`` parses each message once; as plain columns, every filter on a field
+    # would be moved below the parsing and parse the message again.
+    fields = raw.select(F.inline(F.array(_payload())))
     return fields.withColumn("event_time", event_time(F.col("event_ts")))
 
 

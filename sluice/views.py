@@ -142,9 +142,13 @@ class TestTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
 
     def base(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        # One reader per table: each reader looks the schema up in the files.
+        if table not in self._tables:
+            self._tables[table] = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self._tables[table]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in VIEWS:
