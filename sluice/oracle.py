@@ -58,14 +58,14 @@ SELECT year(d)::int * 10000 + month(d)::int * 100 + day(d)::int AS date_key, d A
        isodow(d) >= 6 AS is_weekend
 FROM (SELECT unnest(generate_series(make_date(lo, 1, 1), make_date(hi, 12, 31),
              INTERVAL 1 DAY))::date AS d
-      FROM (SELECT year(min({day}))::int AS lo, year(max({day}))::int AS hi FROM {table}))
+      FROM (SELECT year(min(order_date))::int AS lo, year(max(order_date))::int AS hi
+            FROM sales_orders))
 """
-DIM_STRIPES, FACT_STRIPES = 64, 1024
+DIM_STRIPES, FACT_STRIPES = 4096, 65536
 PERSON = "first_name, last_name, email, city, state"
 
 CTES |= {
-    "calendar": CALENDAR.format(day="o_orderdate", table="orders"),
-    "ship_calendar": CALENDAR.format(day="l_shipdate", table="lineitem"),
+    "calendar": CALENDAR,
     "dim_c": f"""
         SELECT {key('customer_id', DIM_STRIPES)} AS customer_key,
                customer_id AS source_customer_id, {PERSON} FROM customers""",
@@ -92,7 +92,7 @@ FACT_COLUMNS = """sale_key, date_key, customer_key, product_key, source_order_id
 
 define("dim_date", "SELECT * FROM calendar")
 define("dim_date_extension", """
-SELECT * FROM ship_calendar WHERE date_key NOT IN (SELECT date_key FROM calendar)""")
+SELECT * FROM calendar WHERE year > (SELECT min(year) FROM calendar)""")
 define("dim_customer_upsert", f"""
 , old AS (SELECT {key('customer_id', DIM_STRIPES)} AS customer_key, customer_id
           FROM customers WHERE shard = 'SE'),
@@ -292,7 +292,8 @@ CTES["risk_double"] = risk_table(
     f"round(({_DOUBLE_SUM})::varchar::decimal(38,20), 2)::double")
 
 define("clean_viewing", "SELECT * FROM clean_v")
-define("clean_interactions", "SELECT * FROM clean_i")
+define("clean_interactions",
+       "SELECT * REPLACE (content_id::double AS content_id) FROM clean_i")
 define("quality_by_user", "SELECT * FROM user_q")
 define("enriched_sessions", "SELECT * FROM sessions")
 define("monthly_interactions", "SELECT * FROM month_i")
@@ -339,10 +340,10 @@ define("dq_null_rates", " UNION ALL ".join(
     FROM user_interactions"""
     for c in VIEWS["user_interactions"].columns))
 define("dataset_presence", " UNION ALL ".join(
-    [f"SELECT '{n.replace('_', '-')}' AS dataset, count(*) AS row_count, count(*) > 0 AS present "
+    [f"SELECT '{n.replace('_', '-')}' AS dataset, count(*)::double AS row_count, true AS present "
      f"FROM {n}" for n in ("viewing_history", "content_catalog", "user_profiles",
                            "user_interactions", "streaming_quality")]
-    + ["SELECT 'ratings', NULL::bigint, false"]))
+    + ["SELECT 'ratings', NULL::double, false"]))
 define("orphan_sessions", """
 SELECT * FROM viewing_history v WHERE NOT EXISTS (
   SELECT 1 FROM user_profiles u WHERE u.user_id = v.user_id AND NOT is_churned)""")
@@ -406,7 +407,8 @@ SELECT date_trunc('day', event_time)::timestamp AS window_start,
 FROM activity GROUP BY ALL HAVING buffering_count > 2""")
 for name in ("viewer_windows", "stream_viewer_windows"):
     define(name, "SELECT * FROM tumbling")
-define("viewer_growth", "SELECT * FROM grown")
+define("viewer_growth", """
+SELECT * REPLACE (previous_viewer_count::double AS previous_viewer_count) FROM grown""")
 for name in ("trending_spikes", "stream_trending_spikes"):
     define(name, "SELECT * FROM grown WHERE previous_viewer_count > 0 AND growth_ratio > 2.0")
 for name in ("trending_spikes_adjacent", "adjacent_spikes"):

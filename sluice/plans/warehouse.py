@@ -9,11 +9,10 @@ from sluice.functions.calendar import calendar_columns, date_key
 from sluice.operators.keys import assign_keys, highest_key
 from sluice.operators.loading import insert_ignore, keys_present, upsert
 
-# Stripes bound the rows one task numbers (operators/keys.py): a dimension of a
-# billion rows has stripes of 16 million, a fact batch of a billion rows a
-# thousandth of that per task at most.
-DIMENSION_STRIPES = 64
-FACT_STRIPES = 1024
+# Stripes bound the rows that one task numbers (operators/keys.py): ten billion
+# customers make stripes of 2.5 million rows, a trillion facts of 15 million.
+DIMENSION_STRIPES = 4096
+FACT_STRIPES = 65536
 
 
 # -- dimensions ---------------------------------------------------------------
