@@ -6,8 +6,13 @@ computing it again, so a lost executor costs the running step only.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
+from functools import partial
+from uuid import uuid4
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +20,7 @@ from sluice.operators.checks import dataset_presence, open_if_there
 from sluice.operators.cleaning import clean_interactions, clean_viewing
 from sluice.operators.loading import insert_ignore
 from sluice.plans import engagement, quality, reports, scoring, warehouse
+from sluice.session import scratch_path
 from sluice.sources.files import LANDING, read_table, write_report, write_table, zone_path
 
 
@@ -22,6 +28,13 @@ class MissingDataError(RuntimeError):
     """An expected dataset is absent or empty."""
 
 
+def together(spark: SparkSession, *steps: Callable[[], DataFrame]) -> list[DataFrame]:
+    """Run independent writes at the same time, so that one with few tasks leaves no core idle."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+        return [step.result() for step in running]
+
+
 def require(tables: dict[str, DataFrame | None], spark: SparkSession) -> None:
     """Stop unless every dataset is there; the check has one row per dataset."""
     absent = dataset_presence(tables, spark).where(~F.col("present")).collect()
@@ -37,6 +50,7 @@ class Lake:
     root: str
     # Tasks among which the rows of a few large gzip files are dealt out.
     spread: int | None = None
+    _staged: dict[str, DataFrame] | None = field(default=None, repr=False)
 
     def landing(self) -> dict[str, DataFrame]:
         found = {
@@ -46,6 +60,25 @@ class Lake:
         require(found, self.spark)
         return {n: df.repartition(self.spread) if self.spread else df for n, df in found.items()}
 
+    def staged(self) -> dict[str, DataFrame]:
+        """The landing data as columnar tables of this application.
+
+        Gates and plans read the landing data several times; the compressed text
+        is read and parsed for the first time only.
+        """
+        if self._staged is None:
+            run = uuid4().hex
+
+            def stage(name: str, df: DataFrame) -> DataFrame:
+                path = scratch_path(self.spark, f"landing-{run}/{name}")
+                write_table(df, path)
+                return read_table(self.spark, path, df.schema)
+
+            raw = self.landing()
+            tables = together(self.spark, *[partial(stage, n, df) for n, df in raw.items()])
+            self._staged = dict(zip(raw, tables, strict=True))
+        return self._staged
+
     def store(self, zone: str, dataset: str, df: DataFrame,
               partition_by: tuple[str, ...] = ()) -> DataFrame:
         path = zone_path(self.root, zone, dataset)
@@ -57,7 +90,7 @@ class Lake:
 
 
 def gate(lake: Lake) -> list:
-    raw = lake.landing()
+    raw = lake.staged()
     return quality.enforce(quality.quality_report(
         raw["viewing-history"], raw["user-profiles"], raw["content-catalog"],
         raw["streaming-quality"], raw["user-interactions"],
@@ -66,21 +99,27 @@ def gate(lake: Lake) -> list:
 
 def transform(lake: Lake) -> None:
     """Curated and analytics tables from the landing data."""
-    raw = lake.landing()
+    raw = lake.staged()
     users, catalog = raw["user-profiles"], raw["content-catalog"]
     delivery = raw["streaming-quality"]
-    viewing = lake.store("curated", "viewing-history", clean_viewing(raw["viewing-history"]))
-    interactions = lake.store(
-        "curated", "user-interactions", clean_interactions(raw["user-interactions"]))
-    lake.store("curated", "enriched-viewing-sessions",
-               engagement.enrich_sessions(viewing, catalog, users, delivery))
-    lake.store("analytics", "user-monthly-engagement",
-               engagement.user_monthly_engagement(viewing, users, delivery, interactions),
-               partition_by=("year", "month"))
-    lake.store("analytics", "content-performance",
-               engagement.content_performance(viewing, catalog))
-    lake.store("analytics", "streaming-quality-region-isp",
-               engagement.quality_by_region_isp(delivery))
+    viewing, interactions = together(
+        lake.spark,
+        partial(lake.store, "curated", "viewing-history", clean_viewing(raw["viewing-history"])),
+        partial(lake.store, "curated", "user-interactions",
+                clean_interactions(raw["user-interactions"])),
+    )
+    together(
+        lake.spark,
+        partial(lake.store, "curated", "enriched-viewing-sessions",
+                engagement.enrich_sessions(viewing, catalog, users, delivery)),
+        partial(lake.store, "analytics", "user-monthly-engagement",
+                engagement.user_monthly_engagement(viewing, users, delivery, interactions),
+                partition_by=("year", "month")),
+        partial(lake.store, "analytics", "content-performance",
+                engagement.content_performance(viewing, catalog)),
+        partial(lake.store, "analytics", "streaming-quality-region-isp",
+                engagement.quality_by_region_isp(delivery)),
+    )
 
 
 CURATED = ("viewing-history", "user-interactions", "enriched-viewing-sessions")
