@@ -14,7 +14,7 @@ def magnitude_bin(value: Column) -> Column:
     """Order-preserving bin of a number >= 0; zero has a bin below all others."""
     return F.when(
         value > 0, F.floor(F.log2(value) * BINS_PER_OCTAVE)
-    ).otherwise(F.lit(-(2 ** 20))).cast("int")
+    ).otherwise(F.lit(-(2 ** 20)))
 
 
 def rank_from_top(df: DataFrame, value: str, count: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.operators.checks import dataset_presence, open_if_there
+from sluice.operators.checks import open_if_there
 from sluice.operators.cleaning import clean_interactions, clean_viewing
 from sluice.operators.loading import insert_ignore
 from sluice.plans import engagement, quality, reports, scoring, warehouse
@@ -35,11 +35,11 @@ def together(spark: SparkSession, *steps: Callable[[], DataFrame]) -> list[DataF
         return [step.result() for step in running]
 
 
-def require(tables: dict[str, DataFrame | None], spark: SparkSession) -> None:
-    """Stop unless every dataset is there; the check has one row per dataset."""
-    absent = dataset_presence(tables, spark).where(~F.col("present")).collect()
+def require(tables: dict[str, DataFrame | None]) -> None:
+    """Stop unless every dataset is there and has a row; looks for one row, counts nothing."""
+    absent = [name for name, df in tables.items() if df is None or df.isEmpty()]
     if absent:
-        raise MissingDataError(", ".join(sorted(row["dataset"] for row in absent)))
+        raise MissingDataError(", ".join(sorted(absent)))
 
 
 @dataclass
@@ -57,7 +57,7 @@ class Lake:
             name: open_if_there(self.spark, zone_path(self.root, "landing", name), fmt, schema)
             for name, (fmt, schema) in LANDING.items()
         }
-        require(found, self.spark)
+        require(found)
         return {n: df.repartition(self.spread) if self.spread else df for n, df in found.items()}
 
     def staged(self) -> dict[str, DataFrame]:
@@ -131,7 +131,7 @@ def check_outputs(lake: Lake) -> None:
     require({
         f"{zone}/{name}": open_if_there(lake.spark, zone_path(lake.root, zone, name))
         for zone, name in expected
-    }, lake.spark)
+    })
 
 
 def score(lake: Lake) -> DataFrame:
@@ -192,18 +192,25 @@ class Warehouse:
 
     def load(self, load: int, customers: DataFrame, products: DataFrame, employees: DataFrame,
              departments: DataFrame, orders: DataFrame, days: DataFrame) -> DataFrame:
-        """Run load number ``load`` (1, 2, ...); returns its audit row."""
+        """Run load number ``load`` (1, 2, ...), dimensions first; returns its audit row."""
         before = load - 1
-        self.save("dim_date", load, insert_ignore(
-            self.grown("dim_date", before), warehouse.dim_date(days), "date_key"))
-        dim_customer = self.save("dim_customer", load, warehouse.load_customers(
-            self.whole("dim_customer", before), customers))
-        dim_product = self.save("dim_product", load, warehouse.load_products(
-            self.whole("dim_product", before), products))
-        self.save("dim_employee", load, warehouse.load_employees(
-            self.whole("dim_employee", before), employees, departments))
+        dimensions = {
+            "dim_customer": warehouse.load_customers(
+                self.whole("dim_customer", before), customers),
+            "dim_product": warehouse.load_products(self.whole("dim_product", before), products),
+            "dim_employee": warehouse.load_employees(
+                self.whole("dim_employee", before), employees, departments),
+            "dim_date": insert_ignore(
+                self.grown("dim_date", before), warehouse.dim_date(days), "date_key"),
+        }
+        dim_customer, dim_product, *_ = together(self.spark, *[
+            partial(self.save, table, load, df) for table, df in dimensions.items()
+        ])
         existing = self.grown("fact_sales", before)
-        self.save("fact_sales", load, warehouse.load_facts(
-            orders, dim_customer, dim_product, existing))
-        return self.save("load_audit", load, warehouse.load_audit(
-            orders, dim_customer, dim_product, existing))
+        inputs = (orders, dim_customer, dim_product, existing)
+        _, audit = together(
+            self.spark,
+            partial(self.save, "fact_sales", load, warehouse.load_facts(*inputs)),
+            partial(self.save, "load_audit", load, warehouse.load_audit(*inputs)),
+        )
+        return audit
