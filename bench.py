@@ -15,6 +15,15 @@ from sluice.registry import QUERIES
 from sluice.session import build_session
 
 
+def scale(folder: str) -> float | str:
+    """The scale factor in a folder name such as ``sf0.1``, else the name."""
+    name = os.path.basename(folder.rstrip("/"))
+    try:
+        return float(name.removeprefix("sf"))
+    except ValueError:
+        return name
+
+
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count() or 8))
@@ -38,7 +47,7 @@ def main() -> None:
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
-        "sf": os.path.basename(folder.rstrip("/")).removeprefix("sf"),
+        "sf": scale(folder),
     }))
     spark.stop()
 
