@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.llm.common import staged, without, words
@@ -10,6 +10,8 @@ from sluice.llm.ranks import RUN_ROWS, running_sum
 
 #: Copies are summed in billionths, as whole numbers: no order of addition changes them.
 UNIT = 1_000_000_000
+#: Random offsets that are drawn for a source.
+DRAWS = 16
 OUTPUTS = ["size", "source_size", "target", "copies", "taken"]
 
 
@@ -60,8 +62,8 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     """Add size, source_size, target, copies and taken (copies * size) to each document.
 
     The size is the number of words. Within a source, documents expect target / source_size
-    copies each; the expectations are prefix-summed from one random offset of the source, and
-    a document is taken once for every whole number that its part of the sum crosses: floor or
+    copies each; the expectations are prefix-summed from one random offset of the source (of
+    sixteen drawn, the one whose words come nearest to the target), and a document is taken once for every whole number that its part of the sum crosses: floor or
     ceil of its expectation. Sources are cut into runs of some 50,000 documents by a hash of the
     id, each sorted by size, so that every size is sampled at the same rate and the words taken
     come near the target. ``weights`` has (source, weight); without it sources weigh 1, 2, 3,
@@ -90,10 +92,24 @@ def mix(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str
     joined = sized.join(plan, sized[source].cast("string").eqNullSafe(plan["_source"]))
     run = F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id)), F.col("_runs"))
     order = [F.col("size"), F.col(doc_id)]
-    summed = running_sum(joined, ["_source", "_unit", "_source_size", "target"], run, order, "_unit", "_upto")
-    offset = F.pmod(F.xxhash64(F.lit(seed), F.coalesce("_source", F.lit("")), F.col("_source").isNull()), F.lit(UNIT))
-    summed = summed.withColumn("_upto", (F.col("_upto") + offset).cast("decimal(38,0)"))
-    crossed = F.expr(f"(_upto div {UNIT}) - ((_upto - _unit) div {UNIT})")
+    summed = staged(running_sum(joined, ["_source", "_unit", "target", "_source_size"], run, order, "_unit", "_upto"), "summed")
+
+    def crossed(offset: Column) -> Column:
+        upto = (F.col("_upto") + offset).cast("decimal(38,0)")
+        return F.call_function("div", upto, F.lit(UNIT)) - F.call_function(
+            "div", (upto - F.col("_unit")).cast("decimal(38,0)"), F.lit(UNIT))
+
+    name = F.coalesce("_source", F.lit(""))
+    drawn = [F.pmod(F.xxhash64(F.lit(seed + k), name, F.col("_source").isNull()), F.lit(UNIT)) for k in range(DRAWS)]
+    # Of a few random offsets each source keeps the one whose words come nearest to its target.
+    tried = summed.groupBy("_source").agg(F.first("target").alias("_t"), *[
+        F.sum(crossed(offset) * F.col("size")).alias(f"_{k}") for k, offset in enumerate(drawn)])
+    best = F.array_min(F.array(*[F.struct(F.abs(F.col(f"_{k}") - F.col("_t")), F.lit(k)) for k in range(DRAWS)]))
+    chosen = tried.select(F.col("_source").alias("_chosen"), F.get(F.array(*[
+        F.pmod(F.xxhash64(F.lit(seed + k), name, F.col("_source").isNull()), F.lit(UNIT)) for k in range(DRAWS)]),
+        best["col2"]).alias("_offset"))
+    summed = summed.join(chosen, summed["_source"].eqNullSafe(chosen["_chosen"]))
+    copies = crossed(F.col("_offset"))
     return summed.select(
         *[F.col(f"`{c}`") for c in sized.columns], F.col("_source_size").alias("source_size"), "target",
-        crossed.cast("long").alias("copies"), (crossed * F.col("size")).cast("long").alias("taken"))
+        copies.cast("long").alias("copies"), (copies * F.col("size")).cast("long").alias("taken"))
