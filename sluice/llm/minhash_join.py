@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +16,11 @@ from sluice.llm.textbatch import U, Words, mix, window_hashes
 
 SHINGLE = 5
 #: Coordinates of a signature, and how many of them two documents must share to be verified. At
-#: a similarity of 0.85 a pair shares 54.4 of 64 on average and fewer than 42 once in 60,000.
-COORDINATES, MATCHES = 64, 42
+#: a similarity of 0.85 a pair shares 81.6 of 96 on average and fewer than 71 once in 500; copies
+#: that are nearer share more.
+COORDINATES, MATCHES = 96, 71
+#: Rows of one side of a compared block.
+BLOCK = 512
 
 
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -76,11 +80,12 @@ def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _postings(classes: DataFrame) -> DataFrame:
-    """Signature coordinates that another class has too: (_class, _prefix) rows.
+    """Signature coordinates that another class has too: (_class, _prefix, _score) rows.
 
     A class needs ``MATCHES`` coordinates that occur elsewhere; others are skipped whole. Two
     classes that share so many meet in the rarest ``shared - MATCHES + 1`` of either, in one
-    order of all coordinate values, so that frequent values are seldom posted.
+    order of all coordinate values, so that frequent values are seldom posted. The score, the
+    number of classes met in all coordinates, is high for the middle of a group of copies.
     """
     posted = classes.select("_class", F.explode("_signature").alias("_value"))
     counts = posted.groupBy("_value").agg(F.count("*").alias("_n")).where("_n > 1")
@@ -88,7 +93,8 @@ def _postings(classes: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("_n", "_value"))).alias("_shared"))
     return shared.where(F.size("_shared") >= MATCHES).select(
         "_class", F.transform(F.slice("_shared", 1, F.size("_shared") - (MATCHES - 1)),
-                              lambda s: s["_value"]).alias("_prefix"))
+                              lambda s: s["_value"]).alias("_prefix"),
+        F.aggregate("_shared", F.lit(0).cast("long"), lambda n, s: n + s["_n"]).alias("_score"))
 
 
 def _linked(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -104,18 +110,83 @@ def _linked(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, percent: i
     return full.where(F.lit(100) * both >= F.lit(percent) * union).select("a", "b")
 
 
+def _compare(percent: int):
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        """Links of one block of a posting list, or of two; a spanning forest of them suffices."""
+        value = int(block["_value"].iloc[0])
+        own, root = block["_own"].to_numpy(), block["_root"].to_numpy()
+        across = block["_x"].iloc[0] != block["_y"].iloc[0]
+        new = np.triu(root[:, None] != root[None, :], 1)
+        if across:
+            new &= own[:, None] != own[None, :]
+        # A pair belongs to the first posting list that it shares.
+        before = [p[p < value] for p in block["_prefix"]]
+        ids = np.unique(np.concatenate(before))
+        if len(ids):
+            member = np.zeros((len(before), len(ids)), np.float32)
+            for i, p in enumerate(before):
+                member[i, np.searchsorted(ids, p)] = 1
+            new &= member @ member.T == 0
+        a, b = np.nonzero(new)
+        sets = list(block["_set"])
+        size = np.array([len(x) for x in sets])
+        near = 100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])
+        a, b = a[near], b[near]
+        signature = np.stack(list(block["_signature"]))
+        matches = np.concatenate([np.zeros(0, int), *[
+            (signature[a[i: i + 65536]] == signature[b[i: i + 65536]]).sum(axis=1)
+            for i in range(0, len(a), 65536)]])
+        order = np.argsort(-matches, kind="stable")[: int((matches >= MATCHES).sum())]
+        above = {r: r for r in root}
+
+        def top(r):
+            while above[r] != r:
+                above[r] = above[above[r]]
+                r = above[r]
+            return r
+
+        found = []
+        for i, j in zip(a[order], b[order], strict=True):
+            one, two = top(root[i]), top(root[j])
+            if one != two:
+                both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if 100 * both >= percent * (size[i] + size[j] - both):
+                    above[one] = two
+                    found.append((i, j))
+        ids = block["_class"].to_numpy()
+        return pd.DataFrame({"a": [ids[i] for i, _ in found], "b": [ids[j] for _, j in found]}, dtype="int64")
+    return run
+
+
+def _compared(members: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """Links between the components that are left in a posting list, from its whole content.
+
+    Lists are dealt in blocks, a long one to as many tasks as it has pairs of blocks. Signatures
+    are compared and full sets confirmed where the rows are, so that no pair leaves its task but
+    for links that join two components.
+    """
+    blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("_class"), blocks).cast("int")
+    other = F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(
+        F.least("_own", k).alias("x"), F.greatest("_own", k).alias("y")))
+    dealt = members.withColumn("_own", own).withColumn("_pair", F.explode(other)).join(facts, "_class")
+    dealt = dealt.select("_value", F.col("_pair.x").alias("_x"), F.col("_pair.y").alias("_y"), "_own",
+                         "_class", "_root", "_signature", "_prefix", "_set")
+    return dealt.groupBy("_value", "_x", "_y").applyInPandas(_compare(percent), "a long, b long")
+
+
 def near_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 85,
-                   keep_text: bool = True, hub_rounds: int = 3) -> DataFrame:
+                   keep_text: bool = True, hub_rounds: int = 2) -> DataFrame:
     """Add n_shingles, component_id and kept to each document.
 
     Documents whose sets of five-word shingles (A-Z lower-cased) have ``100 * intersection >=
     percent * union`` link; a component is named by its smallest id, and that document is kept.
     Documents with equal sets are one class from the start. Classes are posted under their
     signature's coordinate-value pairs with rare ones first (see ``_postings``); classes of one
-    posting list are candidates, first each with the list's hub, a few times with another hub
-    among those that are not linked to it yet, then all that are in different components so far:
-    a link inside a component can't change a result. Candidates must share ``MATCHES``
-    coordinates and are confirmed on the full sets, which are made for them alone.
+    posting list are candidates, first each with the list's hub, once more with another hub, then
+    all that are in different components so far (``_compared``): a link inside a component can't
+    change a result. Candidates must share ``MATCHES`` coordinates and are confirmed on the full
+    sets, which are made for them alone.
 
     Cases: a null text, or one without words, has no shingles and links with nothing; fewer than
     five words are one shingle; rows with equal texts link, whatever their ids; a row without id
@@ -150,31 +221,29 @@ def near_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     sets = staged(made.join(wanted.select("_class", "_digest"), "_digest").groupBy("_class").agg(
         F.first("_set").alias("_set")), "sets")
 
-    lists = staged(posted.select("_class", F.explode("_prefix").alias("_value")), "lists")
+    lists = staged(posted.select("_class", "_score", F.explode("_prefix").alias("_value")), "lists")
     links, roots = None, None
     for turn in range(hub_rounds + 1):
-        last = turn == hub_rounds
         known = lists.withColumn("_root", F.col("_class")) if roots is None else lists.join(
-            roots, lists["_class"] == roots["node"], "left").select(
-            "_class", "_value", F.coalesce("root", "_class").alias("_root"))
-        open_lists = known.groupBy("_value").agg(
-            F.min(F.struct(F.xxhash64("_root", F.lit(turn)).alias("h"), F.col("_class").alias("hub"),
-                           F.col("_root").alias("hub_root"))).alias("_hub"),
-            F.min("_root").alias("_r0"), F.max("_root").alias("_r1")).where("_r0 < _r1")
-        open_lists = staged(open_lists, "open")
+            roots, lists["_class"] == roots["node"], "left").withColumn("_root", F.coalesce("root", "_class"))
+        first = F.col("_score") if not turn else F.xxhash64("_root", F.lit(turn))
+        open_lists = staged(known.groupBy("_value").agg(
+            F.max(F.struct(first.alias("s"), F.col("_class").alias("hub"), F.col("_root").alias("hub_root"))).alias("_hub"),
+            F.min("_root").alias("_r0"), F.max("_root").alias("_r1"), F.count("*").alias("_n")).where(
+            "_r0 < _r1").select("_value", "_n", "_hub.hub", "_hub.hub_root"), "open")
         if open_lists.isEmpty():
             break
-        if last:
-            left = known.join(open_lists.select("_value"), "_value", "left_semi")
-            one = left.select("_value", F.col("_class").alias("a"), F.col("_root").alias("_ra"))
-            two = left.select("_value", F.col("_class").alias("b"), F.col("_root").alias("_rb"))
-            pairs = one.join(two, "_value").where("a < b and _ra <> _rb")
+        if turn == hub_rounds:
+            facts = wanted.join(posted.select("_class", "_prefix"), "_class").join(sets, "_class").select(
+                "_class", "_signature", "_prefix", "_set")
+            new = _compared(known.join(open_lists.select("_value", "_n"), "_value").select(
+                "_value", "_n", "_class", "_root"), facts, percent)
         else:
-            pairs = known.join(open_lists.select("_value", "_hub.hub", "_hub.hub_root"), "_value").where(
-                "_root <> hub_root").select(F.least("_class", "hub").alias("a"), F.greatest("_class", "hub").alias("b"))
-        pairs = pairs.select("a", "b").distinct()
-        new = staged(_linked(pairs, wanted, sets, percent), "links")
-        links = new if links is None else staged(links.union(new), "links")
+            pairs = known.join(open_lists, "_value").where("_root <> hub_root").select(
+                F.least("_class", "hub").alias("a"), F.greatest("_class", "hub").alias("b")).distinct()
+            new = _linked(pairs, wanted, sets, percent)
+        new = staged(new, "links")
+        links = new if links is None else links.union(new)
         roots = components(links)
     rooted = classes.withColumn("_root", F.col("_class")) if roots is None else classes.join(
         roots, classes["_class"] == roots["node"], "left").withColumn("_root", F.coalesce("root", "_class"))
