@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ from sluice.llm.textbatch import U, mix, run_hashes
 _CHAR_BASE = 0xA0761D6478BD642F
 #: Rows in one Arrow batch of lines or of pairs of lines.
 LINE_BATCH = 2048
+#: Index entries from which a segment's list is compared in blocks, and rows of a block.
+LONG, BLOCK = 32, 512
 
 
 def code_points(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -135,6 +138,52 @@ def _verified(edits: int):
     return run
 
 
+def _forest(edits: int):
+    def run(block: pd.DataFrame) -> pd.DataFrame:
+        """Links that join all lines of a block that are within reach of each other."""
+        ids, lines = block["_line"].to_numpy(), block["_text"].tolist()
+        own, size = block["_own"].to_numpy(), block["_text"].str.len().to_numpy()
+        across = block["_x"].iloc[0] != block["_y"].iloc[0]
+        label = np.arange(len(ids))
+        found = []
+
+        def settle(a: np.ndarray, b: np.ndarray) -> None:
+            for at in range(0, len(a), 1 << 14):
+                i, j = a[at: at + (1 << 14)], b[at: at + (1 << 14)]
+                new = label[i] != label[j]
+                i, j = i[new], j[new]
+                ok = within([lines[x] for x in i], [lines[x] for x in j], edits)
+                for x, y in zip(i[ok], j[ok], strict=True):
+                    if label[x] != label[y]:
+                        label[label == label[y]] = label[x]
+                        found.append((ids[x], ids[y]))
+
+        settle(np.zeros(len(ids) - 1, int), np.arange(1, len(ids)))
+        left = np.triu(label[:, None] != label[None, :], 1) & (np.abs(size[:, None] - size[None, :]) <= edits)
+        if across:
+            left &= own[:, None] != own[None, :]
+        settle(*np.nonzero(left))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+    return run
+
+
+def _in_blocks(members: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
+    """Links among the lines of long segment lists, found where the lines are.
+
+    Lists are dealt in blocks, one task for each pair of blocks; only links that join two groups
+    leave it.
+    """
+    members = members.distinct()
+    counts = members.groupBy("_segment").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
+    own = F.pmod(F.xxhash64("_line"), F.col("_blocks")).cast("int")
+    other = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda k: F.struct(
+        F.least("_own", k).alias("x"), F.greatest("_own", k).alias("y")))
+    dealt = members.join(counts, "_segment").withColumn("_own", own).withColumn("_pair", F.explode(other)).join(
+        distinct.select("_line", "_text"), "_line")
+    return dealt.select("_segment", F.col("_pair.x").alias("_x"), F.col("_pair.y").alias("_y"), "_own", "_line",
+                        "_text").groupBy("_segment", "_x", "_y").applyInPandas(_forest(edits), "a long, b long")
+
+
 def _key(doc_id: str, text: str) -> Column:
     body = text_or_empty(text)
     return F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"),
@@ -146,9 +195,8 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
     """Every line of ``min_chars`` characters or more with its class and verdict.
 
     Columns: ``_key`` (none, id, text hash of the document), ``line`` (number from 0),
-    ``first_id`` and ``first_line`` (where the class first occurs), ``n_links`` (other line texts
-    within ``edits`` edits), ``removed``: the class occurs in ``min_documents`` documents or more
-    and this is not its first occurrence.
+    ``first_id`` and ``first_line`` (where the class first occurs), ``removed``: the class occurs
+    in ``min_documents`` documents or more and this is not its first occurrence.
     """
     spark = docs.sparkSession
     small_batches(spark, LINE_BATCH)
@@ -161,17 +209,19 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
     posted = distinct.select("_line", "_text").mapInArrow(_segments(edits), "_line long, _probe boolean, _segment long")
     indexed = posted.where("not _probe").select("_segment", F.col("_line").alias("a"))
     probes = posted.where("_probe").select("_segment", F.col("_line").alias("b"))
+    # A segment that many lines have is compared in blocks, all others by their pairs.
+    long = staged(indexed.groupBy("_segment").agg(F.count("*").alias("n")).where(F.col("n") > LONG).select("_segment"), "long")
+    held = indexed.join(long, "_segment", "left_semi").select("_segment", F.col("a").alias("_line")).union(
+        probes.join(long, "_segment", "left_semi").select("_segment", F.col("b").alias("_line")))
+    indexed = indexed.join(long, "_segment", "left_anti")
     pairs = indexed.join(probes, "_segment").where("a <> b").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     texts = pairs.join(distinct.select(F.col("_line").alias("a"), F.col("_text").alias("_ta")), "a").join(
         distinct.select(F.col("_line").alias("b"), F.col("_text").alias("_tb")), "b")
-    links = staged(texts.select("a", "b", "_ta", "_tb").mapInArrow(_verified(edits), "a long, b long"), "line-links")
+    links = staged(texts.select("a", "b", "_ta", "_tb").mapInArrow(_verified(edits), "a long, b long").union(
+        _in_blocks(held, distinct, edits)), "line-links")
     roots = components(links)
-    degree = links.select("a").union(links.select("b")).groupBy(F.col("a").alias("_line")).agg(
-        F.count("*").alias("n_links"))
-    classes = distinct.drop("_text").join(roots, distinct["_line"] == roots["node"], "left").join(
-        degree, "_line", "left").select("_a", "_b", F.coalesce("root", "_line").alias("_class"),
-                                        F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    classes = distinct.drop("_text").join(roots, distinct["_line"] == roots["node"], "left").select("_a", "_b", F.coalesce("root", "_line").alias("_class"))
     occurrences = staged(lines.select("_key", "line", a.alias("_a"), b.alias("_b")).join(classes, ["_a", "_b"]).drop(
         "_a", "_b"), "occurrences")
     by_document = occurrences.groupBy("_class", "_key").agg(F.min("line").alias("line"))
@@ -179,21 +229,21 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
         F.count("*").alias("_documents"), F.min(F.struct("_key", "line")).alias("_first"))
     where = F.struct("_key", "line")
     return occurrences.join(counts, "_class").select(
-        "_key", "line", F.col("_first._key.id").alias("first_id"), F.col("_first.line").alias("first_line"), "n_links",
+        "_key", "line", F.col("_first._key.id").alias("first_id"), F.col("_first.line").alias("first_line"),
         ((F.col("_documents") >= min_documents) & (where != F.col("_first"))).alias("removed"))
 
 
 def _by_document(classes: DataFrame) -> DataFrame:
     return classes.groupBy("_key").agg(
         F.sort_array(F.collect_set(F.when(F.col("removed"), F.col("line")))).alias("removed_lines"),
-        F.sort_array(F.collect_set(F.struct("line", "first_id", "first_line", "n_links"))).alias("lines"))
+        F.sort_array(F.collect_set(F.struct("line", "first_id", "first_line"))).alias("lines"))
 
 
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings: int) -> DataFrame:
     """One row per document: its lines' classes and which lines go.
 
     Columns: doc_id, n_lines, n_removed, ``removed_lines`` (numbers from 0) and ``lines`` (line,
-    first_id, first_line, n_links of all lines that are long enough). The cases are those of
+    first_id, first_line of all lines that are long enough). The cases are those of
     ``drop_repeated_lines``.
     """
     found = _by_document(line_classes(docs, doc_id, text, **settings))
