@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import small_batches, staged, without
 from sluice.llm.components import components
+from sluice.llm.ranks import runs_for
 
 #: Random vectors that share a filter with one vector, on average, at most; sets the caps' size.
 BY_CHANCE = 4.0
@@ -158,17 +159,25 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     decoded = staged(classes.select("_class", "_label", "_v", "_copies").mapInPandas(decode, schema), "filters")
     posted = decoded.select("_class", "_label", F.size("_v").alias("_dim"), F.explode("_filters").alias("_filter"))
     bucket = ["_label", "_dim", "_filter"]
-    counts = posted.groupBy(*bucket).agg(F.count("*").alias("_n")).where("_n > 1").withColumn(
-        "_blocks", F.ceil(F.col("_n") / BLOCK).cast("int"))
+    counts = staged(posted.groupBy(*bucket).agg(F.count("*").alias("_n")).where("_n > 1").withColumn(
+        "_blocks", F.ceil(F.col("_n") / BLOCK).cast("int")), "buckets")
+    # Buckets of one block share tasks' groups of about so many rows; each is compared by itself.
+    groups = runs_for(counts.agg(F.sum("_n").alias("n")).first()["n"] or 0, 4 * BLOCK)
     met = posted.join(counts, bucket).join(decoded.drop("_label"), "_class")
     own = F.pmod(F.xxhash64("_class"), F.col("_blocks")).cast("int")
     blocks = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda k: F.struct(
         F.least(own, k).alias("x"), F.greatest(own, k).alias("y")))
     dealt = met.withColumn("_own", own).withColumn("_pair", F.explode(blocks)).select(
         *bucket, F.col("_pair.x").alias("_x"), F.col("_pair.y").alias("_y"), "_own",
+        F.when(F.col("_blocks") == 1, F.pmod(F.xxhash64(*bucket), F.lit(groups))).otherwise(
+            F.xxhash64(*bucket, "_pair.x", "_pair.y")).alias("_group"),
         "_class", "_v", "_copies", "_filters")
 
-    def compare(block: pd.DataFrame) -> pd.DataFrame:
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        found = [compared(block) for _, block in group.groupby([*bucket, "_x", "_y"], sort=False)]
+        return pd.concat([f for f in found if len(f)] or found[:1])
+
+    def compared(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values("_class")
         this = int(block["_filter"].iloc[0])
         unit, own = _units(block["_v"]), block["_own"].to_numpy()
@@ -186,7 +195,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
         new = linked & ~_shared_before(lists, this, lists)
         return pd.DataFrame({"_class": ids, "_links": new @ copies, "_with": ids[_least_reached(linked)]})
 
-    found = staged(dealt.groupBy(*bucket, "_x", "_y").applyInPandas(
+    found = staged(dealt.groupBy("_group").applyInPandas(
         compare, "_class long, _links long, _with long"), "links")
     roots = components(found.select(F.col("_class").alias("a"), F.col("_with").alias("b")))
     links = found.groupBy("_class").agg(F.sum("_links").alias("_links"))
