@@ -11,13 +11,18 @@ from pyspark.sql import functions as F
 def orphans(df: DataFrame, reference: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose key does not occur in ``reference``.
 
-    A null key matches nothing, so such rows are orphans. They are taken out
-    before the join: hashed on their key they would all land in one task.
+    A null key matches nothing, so such rows are orphans. ``df`` is read once;
+    a task with too many rows of one key, or of none, is split at run time.
     """
-    known = reference.select(key)
-    with_key = df.where(F.col(key).isNotNull()).join(known, key, "left_anti")
-    without_key = df.where(F.col(key).isNull())
-    return with_key.select(df.columns).unionByName(without_key)
+    return df.join(reference.select(key), key, "left_anti").select(df.columns)
+
+
+def comparable(value: Column, one: str, two: str) -> Column:
+    """A key as text that is equal where keys of both types are equal."""
+    numbers = {"tinyint", "smallint", "int", "bigint"}
+    if one != two and {one, two} - numbers and {one, two} <= numbers | {"float", "double"}:
+        value = value.cast("double")
+    return value.cast("string")
 
 
 def violation_counts(
@@ -35,24 +40,25 @@ def violation_counts(
     one row in the join. All keys then meet all reference keys in one join on
     (rule, key). A null key is among the orphans.
     """
-    rules = rules or {}
+    rules, kinds = rules or {}, dict(df.dtypes)
     broken = [F.when(condition, 1).otherwise(0) for condition in rules.values()]
     under_each_key = F.array(*[
         F.struct(
             F.lit(name).alias("rule"),
-            F.col(column).cast("string").alias("key"),
+            comparable(F.col(column), kinds[column], dict(table.dtypes)[column]).alias("key"),
             # A row's rules count once, under its first key.
             *[(flag if place == 0 else F.lit(0)).alias(f"broken_{i}")
               for i, flag in enumerate(broken)],
         )
-        for place, (name, (column, _)) in enumerate(references.items())
+        for place, (name, (column, table)) in enumerate(references.items())
     ])
     per_key = df.select(F.inline(under_each_key)).groupBy("rule", "key").agg(
         F.count("*").alias("n"),
         *[F.sum(f"broken_{i}").alias(f"broken_{i}") for i in range(len(rules))],
     )
     known = reduce(DataFrame.unionByName, [
-        table.select(F.lit(name).alias("rule"), F.col(column).cast("string").alias("key"))
+        table.select(F.lit(name).alias("rule"), comparable(
+            F.col(column), dict(table.dtypes)[column], kinds[column]).alias("key"))
         for name, (column, table) in references.items()
     ]).distinct().withColumn("known", F.lit(True))
     judged = per_key.join(known, ["rule", "key"], "left")

@@ -21,7 +21,7 @@ from sluice.operators.cleaning import clean_interactions, clean_viewing
 from sluice.operators.loading import insert_ignore
 from sluice.plans import engagement, quality, reports, scoring, warehouse
 from sluice.session import scratch_path
-from sluice.sources.files import LANDING, read_table, write_report, write_table, zone_path
+from sluice.sources.files import LANDING, read_named, read_table, write_report, write_table, zone_path
 
 
 class MissingDataError(RuntimeError):
@@ -50,16 +50,23 @@ class Lake:
     root: str
     # Tasks among which the rows of a few large gzip files are dealt out.
     spread: int | None = None
+    # Declared columns of landing datasets where they differ from the usual ones.
+    schemas: dict[str, str] = field(default_factory=dict)
     _staged: dict[str, DataFrame] | None = field(default=None, repr=False)
 
     def landing(self) -> dict[str, DataFrame]:
         found = {
-            name: open_if_there(self.spark, zone_path(self.root, "landing", name), fmt, schema)
+            name: self._landed(name, fmt, self.schemas.get(name, schema))
             for name, (fmt, schema) in LANDING.items()
         }
         require(found)
         return {n: df.repartition(self.spread) if self.spread else df for n, df in found.items()}
 
+    def _landed(self, name: str, fmt: str, schema: str) -> DataFrame | None:
+        path = zone_path(self.root, "landing", name)
+        there = open_if_there(self.spark, path, "text")
+        return None if there is None or there.isEmpty() else read_named(self.spark, path, fmt, schema)
+
     def staged(self) -> dict[str, DataFrame]:
         """The landing data as columnar tables of this application.
 
@@ -175,8 +182,13 @@ class Warehouse:
     root: str
 
     def whole(self, table: str, load: int) -> DataFrame | None:
-        """State of a dimension after ``load``."""
-        return open_if_there(self.spark, f"{self.root}/{table}/load={load}") if load else None
+        """State of a dimension after ``load``; an error if that load was never run."""
+        if not load:
+            return None
+        found = open_if_there(self.spark, f"{self.root}/{table}/load={load}")
+        if found is None:
+            raise MissingDataError(f"{table} of load {load}")
+        return found
 
     def grown(self, table: str, load: int) -> DataFrame | None:
         """Rows that loads up to ``load`` have added."""
@@ -194,6 +206,8 @@ class Warehouse:
              departments: DataFrame, orders: DataFrame, days: DataFrame) -> DataFrame:
         """Run load number ``load`` (1, 2, ...), dimensions first; returns its audit row."""
         before = load - 1
+        if open_if_there(self.spark, f"{self.root}/fact_sales/load={load + 1}") is not None:
+            raise ValueError(f"load {load} can't be run again: load {load + 1} builds on it")
         dimensions = {
             "dim_customer": warehouse.load_customers(
                 self.whole("dim_customer", before), customers),

@@ -47,7 +47,7 @@ def enrich_sessions(viewing: DataFrame, catalog: DataFrame, users: DataFrame,
     join instead of two, which also leaves that join free to be split at run
     time where one user has a large part of the sessions.
     """
-    per_user = users.join(quality_by_user(quality), "user_id", "full")
+    per_user = users.where(F.col("user_id").isNotNull()).join(quality_by_user(quality), "user_id", "full")
     return viewing.join(catalog, "content_id", "left").join(per_user, "user_id", "left")
 
 
@@ -80,7 +80,8 @@ def user_monthly_engagement(viewing: DataFrame, users: DataFrame, quality: DataF
         rounded(F.avg("completion_pct")).alias("avg_completion_pct"),
         F.count("*").alias("sessions"),
     )
-    per_user = repeats_folded(users, ["user_id", "plan_type", "is_churned"]).join(
+    known = users.where(F.col("user_id").isNotNull())
+    per_user = repeats_folded(known, ["user_id", "plan_type", "is_churned"]).join(
         quality_by_user(quality).drop("avg_bitrate_mbps"), "user_id", "full"
     )
     copies = F.coalesce("copies", F.lit(1))

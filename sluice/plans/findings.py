@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -24,7 +25,7 @@ def cost_decile_share(performance: DataFrame, share: float = 0.10) -> DataFrame:
         performance.where(F.col(cost).isNotNull())
         .groupBy(cost).agg(F.count("*").alias("titles"), F.sum(spend).alias("spend"))
     )
-    worst = F.col("above") < F.ceil(F.col("of_total") * F.lit(share).cast("decimal(4,2)"))
+    worst = F.col("above") < F.ceil(F.col("of_total") * F.lit(Decimal(str(share))))
     figures = rank_from_top(priced, cost, "titles").agg(
         F.sum("titles").alias("priced_titles"),
         F.sum(F.when(worst, F.col("titles"))).alias("worst_titles"),

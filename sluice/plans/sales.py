@@ -82,9 +82,14 @@ def _by_group(rows: DataFrame, labels: DataFrame, key: str, group: str) -> DataF
 
 def state_revenue(orders: DataFrame, customers: DataFrame,
                   shard: str | None = None) -> DataFrame:
-    """Revenue by customer state, of one shard's customers if ``shard`` is given."""
+    """Revenue by customer state, of one shard's customers if ``shard`` is given.
+
+    Orders that say their shard count on that shard only, so that an id on both isn't mixed up.
+    """
     if shard is not None:
         customers = customers.where(F.col("shard") == shard)
+        if "shard" in orders.columns:
+            orders = orders.where(F.col("shard") == shard)
     return _by_group(orders, customers.select("customer_id", "state"),
                      "customer_id", "state").drop("order_count")
 
@@ -99,16 +104,24 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def latest_sales(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,
-                 dim_product: DataFrame, n: int = 3) -> DataFrame:
-    """The ``n`` facts with the greatest sale keys, spelled out."""
+                 dim_product: DataFrame, n: int = 3, loaded: bool = True) -> DataFrame:
+    """The ``n`` facts with the greatest sale keys, spelled out.
+
+    ``loaded`` facts have the keys of these dimensions, as the loader gives them,
+    and are cut down to ``n`` before anything is joined.
+    """
+    known = fact.select("sale_key", "date_key", "customer_key", "product_key",
+                        "quantity", "total_price")
+    # Only facts of known dates, products and customers count; then no more than n rows join.
+    for dimension, key in ((dim_date, "date_key"), (dim_product, "product_key"),
+                           (dim_customer, "customer_key")):
+        known = known.join(dimension.select(key), key, "left_semi") if not loaded else known
     return (
-        fact.select("sale_key", "date_key", "customer_key", "product_key",
-                    "quantity", "total_price")
+        known.orderBy(F.desc("sale_key")).limit(n)
         .join(dim_date.select("date_key", "full_date"), "date_key")
         .join(dim_product.select("product_key", "product_name"), "product_key")
         .join(dim_customer.select("customer_key", "first_name", "last_name"), "customer_key")
         .orderBy(F.desc("sale_key"))
-        .limit(n)
         .select("sale_key", "full_date", "first_name", "last_name",
                 "product_name", "quantity", "total_price")
     )

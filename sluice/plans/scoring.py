@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,14 +28,16 @@ SEGMENTS = Bands(
 HIGH_RISK = "High Risk"
 
 
-def _score(names, weights, exact: bool) -> Column:
-    """Weighted sum, rounded half up to two digits.
+def _score(names, weights, exact: bool, steps=()) -> Column:
+    """Weighted sum, rounded half up to two digits, by default of decimals.
 
-    With doubles, a sum such as 0.545 can come out just below the rounding
+    The decimals have as many digits as weights and risks (``steps``) are given with. With doubles, a sum such as 0.545 can come out just below the rounding
     edge; ``exact`` adds in decimals instead.
     """
+    digits = max(-Decimal(str(x)).as_tuple().exponent for x in (*weights, 0.01, *steps))
+
     def number(value: Column) -> Column:
-        return value.cast("decimal(4,2)") if exact else value
+        return value.cast(f"decimal({digits + 2},{digits})") if exact else value
 
     total = sum(
         (number(F.lit(w)) * number(F.col(n)) for n, w in zip(names, weights, strict=True)),
@@ -42,12 +46,17 @@ def _score(names, weights, exact: bool) -> Column:
     return F.round(total, 2).cast("double")
 
 
+def _values(bands) -> list[float]:
+    """All risks that bands can give."""
+    return [value for band in bands.values() for value in (band.default, *[v for _, v in band.steps])]
+
+
 def churn_risk(engagement: DataFrame, weights=WEIGHTS, bands=RISK_BANDS,
                segments: Bands = SEGMENTS, exact: bool = True) -> DataFrame:
     """Engagement rows with four risks, their score and its segment; no shuffle."""
     risks = {name: band.expression() for name, band in bands.items()}
     return (
         engagement.withColumns(risks)
-        .withColumn("churn_risk_score", _score(list(bands), weights, exact))
+        .withColumn("churn_risk_score", _score(list(bands), weights, exact, _values(bands)))
         .withColumn("churn_risk_segment", segments.expression())
     )

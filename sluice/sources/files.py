@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from sluice import schemas
 
@@ -33,16 +35,65 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+def by_name(df: DataFrame, schema: str, optional: bool = False) -> DataFrame:
+    """Text columns under declared names and types, wherever they stand, then all others.
+
+    A value that isn't of the declared type becomes null. A declared column that isn't there is
+    an error or, if ``optional``, null.
+    """
+    declared = StructType.fromDDL(schema)
+    absent = [f.name for f in declared if f.name not in df.columns]
+    if absent and not optional:
+        raise ValueError(f"columns {', '.join(absent)} are not there")
+    typed = [
+        (F.lit(None).cast(f.dataType) if f.name in absent else F.col(f"`{f.name}`").try_cast(f.dataType)).alias(f.name)
+        for f in declared
+    ]
+    return df.select(*typed, *[F.col(f"`{c}`") for c in df.columns if c not in declared.names])
+
+
+def read_named(spark: SparkSession, path: str, fmt: str, schema: str) -> DataFrame:
+    """CSV or JSON by column name, with all its columns.
+
+    The names of CSV columns come from the header line, without a pass over the data; JSON
+    objects have to be read through for them, and leave out what is null. A folder without files
+    has the declared columns and no rows.
+    """
+    try:
+        if fmt == "json":
+            return by_name(spark.read.option("primitivesAsString", True).json(path), schema, optional=True)
+        names = spark.read.option("header", True).csv(path).columns
+    except AnalysisException as problem:
+        if problem.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return spark.createDataFrame([], schema)
+    text = StructType([StructField(n, StringType()) for n in names])
+    # Other files of the folder must have the same header.
+    df = spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(path)
+    return by_name(df, schema)
+
+
+def uncast(df: DataFrame, path: str, fmt: str, schema: str) -> DataFrame:
+    """One row: for each declared column, the values of the source that were not of its type."""
+    spark = df.sparkSession
+    raw = (spark.read.option("primitivesAsString", True).json(path) if fmt == "json"
+           else spark.read.option("header", True).csv(path))
+    declared = StructType.fromDDL(schema)
+    return raw.agg(*[
+        F.count_if(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull()).alias(f.name)
+        for f in declared if f.name in raw.columns
+    ])
+
+
 def read_landing(spark: SparkSession, root: str, dataset: str,
-                 spread: int | None = None) -> DataFrame:
-    """A landing dataset with its fixed schema.
+                 spread: int | None = None, schema: str | None = None) -> DataFrame:
+    """A landing dataset: its declared columns by name, then any others.
 
-    A gzip file is read by one task. With few large files, ``spread`` deals the
+    ``schema`` replaces the declared types, for example where ids are text. A gzip file is read by one task. With few large files, ``spread`` deals the
     rows out to that many tasks for the work that follows.
     """
-    fmt, schema = LANDING[dataset]
-    path = zone_path(root, "landing", dataset)
-    df = (read_csv if fmt == "csv" else read_json)(spark, path, schema)
+    fmt, declared = LANDING[dataset]
+    df = read_named(spark, zone_path(root, "landing", dataset), fmt, schema or declared)
     return df.repartition(spread) if spread else df
 
 

@@ -76,13 +76,14 @@ def viewer_growth(windows: DataFrame, mode: str = "last_seen") -> DataFrame:
     """Each window's count beside the one before it for the same content, and the growth.
 
     ``last_seen`` compares with the last window that had plays, however long
-    ago; ``adjacent`` only with the window that ended when this one began. The
+    ago; ``adjacent`` only with the same title's window that ended when this one began. The
     windows of one content are put in order by one task: their number is bounded
     by the time covered, not by the number of plays.
     """
     if mode not in ("last_seen", "adjacent"):
         raise ValueError(f"unknown mode {mode!r}")
-    by_time = Window.partitionBy("content_id").orderBy("window_start", "title")
+    same = ["content_id", "title"] if mode == "adjacent" else ["content_id"]
+    by_time = Window.partitionBy(*same).orderBy("window_start", "title")
     previous = F.lag("viewer_count").over(by_time)
     if mode == "adjacent":
         touches = F.lag("window_end").over(by_time) == F.col("window_start")
@@ -99,7 +100,7 @@ def trending_spikes(windows: DataFrame, growth: float = GROWTH_LIMIT,
     return viewer_growth(windows, mode).where(has_base & (F.col("growth_ratio") > growth))
 
 
-def adjacent_spikes(events: DataFrame, size: str = TREND_WINDOW, size_minutes: int = 15,
+def adjacent_spikes(events: DataFrame, size: str = TREND_WINDOW,
                     late: str = "45 minutes", growth: float = GROWTH_LIMIT) -> DataFrame:
     """Spikes against the adjacent window, computed in the stream itself.
 
@@ -108,7 +109,7 @@ def adjacent_spikes(events: DataFrame, size: str = TREND_WINDOW, size_minutes: i
     snapshot is needed. The shifted copies move the watermark ahead by one
     window, which ``late`` has to make up for: 45 minutes keep 30 of lateness.
     """
-    shift = F.make_interval(mins=F.lit(size_minutes))
+    shift = F.expr(f"INTERVAL {size}")
     play = F.col("action") == "play"
     roles = F.array(
         F.struct(F.col("event_time").alias("at"), F.lit(1).alias("current")),
