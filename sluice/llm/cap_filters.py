@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -34,10 +33,13 @@ class ProductCode:
 
     def __init__(self, dim: int, rows: float, seed: int = 5):
         share = min(0.00135, BY_CHANCE / max(rows, 1.0))
-        self.level = NormalDist().inv_cdf(1 - share)
         self.words = max(2, round((FILTERS / share) ** 0.5))
         rng = np.random.default_rng(seed)
         size = max(2, dim)
+        # Cosine that this share of random directions reaches: the tail of (1 - x**2)**((size-3)/2).
+        x = np.arange(-1 + 5e-6, 1, 1e-5)
+        tail = np.cumsum(((1 - x * x) ** ((size - 3) / 2))[::-1])
+        self.level = x[::-1][np.searchsorted(tail, share * tail[-1])] * size ** 0.5
         self.turn = np.linalg.qr(rng.standard_normal((size, size)))[0]
         half = size // 2
         self.half, self.size = half, size
