@@ -18,6 +18,8 @@ BY_CHANCE = 4.0
 #: Filters that a vector exceeds on average. A pair at cosine 0.93 shares one of them with about
 #: one half each; measured, such a pair shares none about once in 50,000.
 FILTERS = 22.0
+#: Filters that every vector is given, its best ones if it exceeds fewer.
+LEAST = 12
 #: Rows of one side of a compared block.
 BLOCK = 512
 
@@ -59,8 +61,10 @@ class ProductCode:
             order = np.argsort(-b)
             reach = np.searchsorted(-b[order], a - self.level, side="right")
             hit = np.flatnonzero(reach)
-            if not len(hit):  # its best filter, so that no vector is without one
-                found.append(np.array([a.argmax() * self.words + order[0]], np.int64))
+            if reach.sum() < LEAST:  # then its best filters, which lie among the best of each code
+                i, j = np.argsort(-a)[:LEAST], order[:LEAST]
+                best = np.argsort(-(a[i][:, None] + b[j][None, :]), axis=None)[:LEAST]
+                found.append(i[best // len(j)].astype(np.int64) * self.words + j[best % len(j)])
                 continue
             n = reach[hit]
             second = order[np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
