@@ -19,6 +19,8 @@ _CHAR_BASE = 0xA0761D6478BD642F
 LINE_BATCH = 2048
 #: Index entries from which a segment's list is compared in blocks, and rows of a block.
 LONG, BLOCK = 32, 512
+#: Bins into which a line's characters are counted.
+BINS = 64
 
 
 def code_points(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -67,6 +69,12 @@ def segment_keys(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray,
     return np.concatenate(rows), np.concatenate(probes), np.concatenate(keys)
 
 
+def letters(chars: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Each line's characters counted by bin; an edit changes no more than two of the counts by one."""
+    row = np.repeat(np.arange(len(size)), size)
+    return np.bincount(row * BINS + chars % BINS, minlength=len(size) * BINS).reshape(-1, BINS).astype(np.int32)
+
+
 def within(one: list[str], two: list[str], edits: int) -> np.ndarray:
     """Which pairs are within so many edits: banded bit-parallel automata of all pairs at once.
 
@@ -81,6 +89,7 @@ def within(one: list[str], two: list[str], edits: int) -> np.ndarray:
     # Before any text: e deletions reach the pattern's first e characters.
     state = [np.full(n, sum(1 << (edits + d) for d in range(e + 1)), U) for e in range(edits + 1)]
     live = np.abs(size_a - size_b) <= edits
+    live &= np.abs(letters(chars_a, size_a) - letters(chars_b, size_b)).sum(axis=1) <= 2 * edits
     result = np.zeros(n, bool)
 
     def settle(done: np.ndarray) -> None:
@@ -145,12 +154,13 @@ def _forest(edits: int):
         own, size = block["_own"].to_numpy(), block["_text"].str.len().to_numpy()
         across = block["_x"].iloc[0] != block["_y"].iloc[0]
         label = np.arange(len(ids))
+        counts = letters(*code_points(lines))
         found = []
 
         def settle(a: np.ndarray, b: np.ndarray) -> None:
             for at in range(0, len(a), 1 << 14):
                 i, j = a[at: at + (1 << 14)], b[at: at + (1 << 14)]
-                new = label[i] != label[j]
+                new = (label[i] != label[j]) & (np.abs(counts[i] - counts[j]).sum(axis=1) <= 2 * edits)
                 i, j = i[new], j[new]
                 ok = within([lines[x] for x in i], [lines[x] for x in j], edits)
                 for x, y in zip(i[ok], j[ok], strict=True):
