@@ -202,11 +202,12 @@ def _key(doc_id: str, text: str) -> Column:
 
 def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = 2,
                  min_chars: int = 30, min_documents: int = 10) -> DataFrame:
-    """Every line of ``min_chars`` characters or more with its class and verdict.
+    """Every line of ``min_chars`` characters or more that shares its class with another line.
 
     Columns: ``_key`` (none, id, text hash of the document), ``line`` (number from 0),
     ``first_id`` and ``first_line`` (where the class first occurs), ``removed``: the class occurs
-    in ``min_documents`` documents or more and this is not its first occurrence.
+    in ``min_documents`` documents or more and this is not its first occurrence. A line that
+    stands alone is its own class and is never removed, so that none of them is shuffled on.
     """
     spark = docs.sparkSession
     small_batches(spark, LINE_BATCH)
@@ -214,7 +215,8 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
     lines = lines.where(F.length("_text") >= min_chars)
     a, b = F.xxhash64("_text"), F.xxhash64(F.lit(7), "_text", F.length("_text"))
     # Equal lines are one row of the join, however often they occur.
-    distinct = staged(lines.groupBy(a.alias("_a"), b.alias("_b")).agg(F.first("_text").alias("_text")).withColumn(
+    distinct = staged(lines.groupBy(a.alias("_a"), b.alias("_b")).agg(
+        F.first("_text").alias("_text"), F.count("*").alias("_copies")).withColumn(
         "_line", F.monotonically_increasing_id()), "lines")
     posted = distinct.select("_line", "_text").mapInArrow(_segments(edits), "_line long, _probe boolean, _segment long")
     indexed = posted.where("not _probe").select("_segment", F.col("_line").alias("a"))
@@ -224,14 +226,18 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
     held = indexed.join(long, "_segment", "left_semi").select("_segment", F.col("a").alias("_line")).union(
         probes.join(long, "_segment", "left_semi").select("_segment", F.col("b").alias("_line")))
     indexed = indexed.join(long, "_segment", "left_anti")
-    pairs = indexed.join(probes, "_segment").where("a <> b").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    texts = pairs.join(distinct.select(F.col("_line").alias("a"), F.col("_text").alias("_ta")), "a").join(
-        distinct.select(F.col("_line").alias("b"), F.col("_text").alias("_tb")), "b")
+    pairs = staged(indexed.join(probes, "_segment").where("a <> b").select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
+    # Only lines of some pair are sent to the pairs.
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_line")).distinct()
+    asked = staged(distinct.select("_line", "_text").join(wanted, "_line", "left_semi"), "asked")
+    texts = pairs.join(asked.select(F.col("_line").alias("a"), F.col("_text").alias("_ta")), "a").join(
+        asked.select(F.col("_line").alias("b"), F.col("_text").alias("_tb")), "b")
     links = staged(texts.select("a", "b", "_ta", "_tb").mapInArrow(_verified(edits), "a long, b long").union(
         _in_blocks(held, distinct, edits)), "line-links")
     roots = components(links)
-    classes = distinct.drop("_text").join(roots, distinct["_line"] == roots["node"], "left").select("_a", "_b", F.coalesce("root", "_line").alias("_class"))
+    classes = distinct.drop("_text").join(roots, distinct["_line"] == roots["node"], "left").where(
+        "_copies > 1 or root is not null").select("_a", "_b", F.coalesce("root", "_line").alias("_class"))
     occurrences = staged(lines.select("_key", "line", a.alias("_a"), b.alias("_b")).join(classes, ["_a", "_b"]).drop(
         "_a", "_b"), "occurrences")
     by_document = occurrences.groupBy("_class", "_key").agg(F.min("line").alias("line"))
@@ -249,22 +255,27 @@ def _by_document(classes: DataFrame) -> DataFrame:
         F.sort_array(F.collect_set(F.struct("line", "first_id", "first_line"))).alias("lines"))
 
 
-def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings: int) -> DataFrame:
+def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = 30,
+                   **settings: int) -> DataFrame:
     """One row per document: its lines' classes and which lines go.
 
     Columns: doc_id, n_lines, n_removed, ``removed_lines`` (numbers from 0) and ``lines`` (line,
     first_id, first_line of all lines that are long enough). The cases are those of
     ``drop_repeated_lines``.
     """
-    found = _by_document(line_classes(docs, doc_id, text, **settings))
-    own = docs.select(_key(doc_id, text).alias("_own"), F.size(F.split(text_or_empty(text), "\n")).alias("n_lines"))
+    found = _by_document(line_classes(docs, doc_id, text, min_chars=min_chars, **settings))
+    parts = F.split(text_or_empty(text), "\n")
+    long = F.array_compact(F.transform(parts, lambda x, i: F.when(F.length(x) >= min_chars, i)))
+    own = docs.select(_key(doc_id, text).alias("_own"), F.size(parts).cast("long").alias("n_lines"), long.alias("_long"))
     joined = own.join(found, own["_own"].eqNullSafe(found["_key"]), "left")
-    none = F.array()
+    shared = F.coalesce("lines", F.array().cast(found.schema["lines"].dataType))
+    alone = F.transform(F.array_except("_long", shared["line"]), lambda i: F.struct(
+        i.alias("line"), F.col("_own.id").alias("first_id"), i.alias("first_line")))
     return joined.select(
-        F.col("_own.id").alias(doc_id), F.col("n_lines").cast("long").alias("n_lines"),
+        F.col("_own.id").alias(doc_id), "n_lines",
         F.coalesce(F.size("removed_lines"), F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("removed_lines", none.cast("array<int>")).alias("removed_lines"),
-        F.coalesce("lines", none.cast(found.schema["lines"].dataType)).alias("lines"))
+        F.coalesce("removed_lines", F.array().cast("array<int>")).alias("removed_lines"),
+        F.sort_array(F.concat(shared, alone)).alias("lines"))
 
 
 def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **settings: int) -> DataFrame:
