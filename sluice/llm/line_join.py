@@ -177,19 +177,18 @@ def _forest(edits: int):
     return run
 
 
-def _in_blocks(members: DataFrame, distinct: DataFrame, edits: int) -> DataFrame:
+def _in_blocks(members: DataFrame, texts: DataFrame, edits: int) -> DataFrame:
     """Links among the lines of long segment lists, found where the lines are.
 
     Lists are dealt in blocks, one task for each pair of blocks; only links that join two groups
     leave it.
     """
-    members = members.distinct()
     counts = members.groupBy("_segment").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("_blocks"))
     own = F.pmod(F.xxhash64("_line"), F.col("_blocks")).cast("int")
     other = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda k: F.struct(
         F.least("_own", k).alias("x"), F.greatest("_own", k).alias("y")))
     dealt = members.join(counts, "_segment").withColumn("_own", own).withColumn("_pair", F.explode(other)).join(
-        distinct.select("_line", "_text"), "_line")
+        texts, "_line")
     return dealt.select("_segment", F.col("_pair.x").alias("_x"), F.col("_pair.y").alias("_y"), "_own", "_line",
                         "_text").groupBy("_segment", "_x", "_y").applyInPandas(_forest(edits), "a long, b long")
 
@@ -223,18 +222,17 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
     probes = posted.where("_probe").select("_segment", F.col("_line").alias("b"))
     # A segment that many lines have is compared in blocks, all others by their pairs.
     long = staged(indexed.groupBy("_segment").agg(F.count("*").alias("n")).where(F.col("n") > LONG).select("_segment"), "long")
-    held = indexed.join(long, "_segment", "left_semi").select("_segment", F.col("a").alias("_line")).union(
-        probes.join(long, "_segment", "left_semi").select("_segment", F.col("b").alias("_line")))
+    held = staged(posted.join(long, "_segment", "left_semi").select("_segment", "_line").distinct(), "held")
     indexed = indexed.join(long, "_segment", "left_anti")
     pairs = staged(indexed.join(probes, "_segment").where("a <> b").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
-    # Only lines of some pair are sent to the pairs.
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_line")).distinct()
+    # Texts are fetched once, of lines in some pair or long list only.
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_line")).union(held.select("_line")).distinct()
     asked = staged(distinct.select("_line", "_text").join(wanted, "_line", "left_semi"), "asked")
     texts = pairs.join(asked.select(F.col("_line").alias("a"), F.col("_text").alias("_ta")), "a").join(
         asked.select(F.col("_line").alias("b"), F.col("_text").alias("_tb")), "b")
     links = staged(texts.select("a", "b", "_ta", "_tb").mapInArrow(_verified(edits), "a long, b long").union(
-        _in_blocks(held, distinct, edits)), "line-links")
+        _in_blocks(held, asked, edits)), "line-links")
     roots = components(links)
     classes = distinct.drop("_text").join(roots, distinct["_line"] == roots["node"], "left").where(
         "_copies > 1 or root is not null").select("_a", "_b", F.coalesce("root", "_line").alias("_class"))
