@@ -22,15 +22,20 @@ def clean_viewing(
     high: float = 100.0,
     devices=DEVICE_CLASSES,
     other: str = OTHER_DEVICE,
+    distinct: bool = False,
 ) -> DataFrame:
-    """Viewing rows with both keys, plausible durations and percentages, and a device class."""
-    return viewing.dropna(subset=["user_id", "content_id"]).withColumns({
+    """Viewing rows with both keys, plausible durations and percentages, and a device class.
+
+    With ``distinct``, rows that agree in all columns after cleaning are kept once.
+    """
+    cleaned = viewing.dropna(subset=["user_id", "content_id"]).withColumns({
         "duration_watched_min": not_above(
             F.col("duration_watched_min"), F.col("total_duration_min")
         ),
         "completion_pct": within(F.col("completion_pct"), low, high),
         "device_standardized": device_class(F.col("device"), devices, other),
     })
+    return cleaned.distinct() if distinct else cleaned
 
 
 def clean_interactions(interactions: DataFrame, missing: str = NO_SEARCH) -> DataFrame:

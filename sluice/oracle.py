@@ -292,6 +292,7 @@ CTES["risk_double"] = risk_table(
     f"round(({_DOUBLE_SUM})::varchar::decimal(38,20), 2)::double")
 
 define("clean_viewing", "SELECT * FROM clean_v")
+define("clean_viewing_distinct", "SELECT DISTINCT * FROM clean_v")
 define("clean_interactions",
        "SELECT * REPLACE (content_id::double AS content_id) FROM clean_i")
 define("quality_by_user", "SELECT * FROM user_q")

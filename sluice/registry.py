@@ -245,6 +245,12 @@ def clean_viewing(t):
     return cleaning.clean_viewing(t.viewing_history)
 
 
+@query
+def clean_viewing_distinct(t):
+    """A landing zone that holds every session twice."""
+    return cleaning.clean_viewing(t.viewing_history.union(t.viewing_history), distinct=True)
+
+
 @query
 def clean_interactions(t):
     return cleaning.clean_interactions(t.user_interactions)
