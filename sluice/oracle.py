@@ -314,6 +314,43 @@ ORDER BY avg_buffering_events DESC, avg_latency_ms DESC, cdn_region, isp LIMIT 1
 define("landing_csv", "SELECT * FROM user_profiles")
 define("landing_json", "SELECT * FROM content_catalog")
 
+
+def spoilt(column: str, kind: str = "double") -> str:
+    return f"(CASE WHEN user_id % 97 <> 0 THEN {column} END)::{kind} AS {column}"
+
+
+BUILD = "'b' || (user_id % 3) AS app_build"
+define("landing_viewing", f"""
+SELECT * REPLACE ({spoilt('completion_pct')}, start_time::date::varchar AS start_time), {BUILD}
+FROM viewing_history""")
+define("landing_quality", f"""
+SELECT * REPLACE ({spoilt('latency_ms')}, buffering_events::int AS buffering_events,
+                  resolution_changes::int AS resolution_changes), {BUILD}
+FROM streaming_quality""")
+define("landing_interactions", f"""
+SELECT * REPLACE ({spoilt('content_id')}), {BUILD} FROM user_interactions""")
+
+
+def output(dataset: str, table: str, hours: str | None = None, top: int | None = None) -> str:
+    rows = f"least(count(*), {top})" if top else "count(*)"
+    total = f"sum({hours}::decimal(18,2))::double" if hours else "NULL::double"
+    return f"SELECT '{dataset}' AS dataset, {rows} AS row_count, {total} AS total_time FROM {table}"
+
+
+define("lake_run", " UNION ALL ".join([
+    output("viewing-history", "clean_v", "duration_watched_min"),
+    output("user-interactions", "clean_i"),
+    output("enriched-viewing-sessions", "sessions"),
+    output("user-monthly-engagement", "engaged", "total_watch_hours"),
+    output("content-performance", "titles", "total_viewing_hours"),
+    output("streaming-quality-region-isp", "region_isp"),
+    output("churn-risk", "risk_exact"),
+    output("report high-risk-users", "risk_exact WHERE churn_risk_segment = 'High Risk'"),
+    output("report top-content", "titles", top=100),
+    output("report worst-quality-region-isp", "region_isp", top=100),
+    output("report daily-user-engagement", "engaged"),
+]))
+
 # -- quality gates ------------------------------------------------------------
 
 
@@ -336,10 +373,11 @@ SELECT *, NOT fatal OR violations = 0 AS passed FROM counted"""
 define("dq_report", gates("true", "true"))
 define("dq_report_lost_profiles", gates("NOT is_churned", "release_year > 1980"))
 define("dq_null_rates", " UNION ALL ".join(
-    f"""SELECT '{c}' AS column_name, count(*) FILTER ("{c}" IS NULL) AS null_count,
+    f"""SELECT '{v.replace("_", "-")}' AS dataset, '{c}' AS column_name, count(*) FILTER ("{c}" IS NULL) AS null_count,
     count(*) AS row_count, round(count(*) FILTER ("{c}" IS NULL)::double / count(*), 6) AS null_rate
-    FROM user_interactions"""
-    for c in VIEWS["user_interactions"].columns))
+    FROM {v}"""
+    for v in ("viewing_history", "content_catalog", "user_profiles", "user_interactions", "streaming_quality")
+    for c in VIEWS[v].columns))
 define("dataset_presence", " UNION ALL ".join(
     [f"SELECT '{n.replace('_', '-')}' AS dataset, count(*)::double AS row_count, true AS present "
      f"FROM {n}" for n in ("viewing_history", "content_catalog", "user_profiles",
@@ -393,8 +431,9 @@ for name in ("parse_events", "stream_parse_events"):
     define(name, "SELECT * FROM activity")
 define("decode_report", """
 SELECT count(*) AS messages, 0::bigint AS undecoded, 0::bigint AS without_time FROM activity""")
-define("concurrent_viewers", "SELECT * FROM sliding")
-define("stream_concurrent_viewers", """
+for name in ("concurrent_viewers", "stream_concurrent_viewers"):
+    define(name, "SELECT * FROM sliding")
+define("stream_closed_viewers", """
 SELECT * FROM sliding WHERE window_end <=
   (SELECT date_trunc('millisecond', max(event_time)) - INTERVAL 15 MINUTE FROM plays)""")
 for name in ("poor_sessions", "stream_poor_sessions"):
@@ -406,7 +445,7 @@ SELECT date_trunc('day', event_time)::timestamp AS window_start,
        date_trunc('day', event_time)::timestamp + INTERVAL 1 DAY AS window_end, session_id,
        count(*) FILTER (action = 'buffering') AS buffering_count
 FROM activity GROUP BY ALL HAVING buffering_count > 2""")
-for name in ("viewer_windows", "stream_viewer_windows"):
+for name in ("viewer_windows", "stream_viewer_windows", "stream_viewer_snapshot"):
     define(name, "SELECT * FROM tumbling")
 define("viewer_growth", """
 SELECT * REPLACE (previous_viewer_count::double AS previous_viewer_count) FROM grown""")

@@ -221,10 +221,13 @@ class Warehouse:
             partial(self.save, table, load, df) for table, df in dimensions.items()
         ])
         existing = self.grown("fact_sales", before)
-        inputs = (orders, dim_customer, dim_product, existing)
+        # Looked up once for facts and audit; the next load writes its own over it.
+        lookup = f"{self.root}/order_lookup"
+        write_table(warehouse.looked_up(orders, dim_customer, dim_product), lookup)
+        found = read_table(self.spark, lookup)
         _, audit = together(
             self.spark,
-            partial(self.save, "fact_sales", load, warehouse.load_facts(*inputs)),
-            partial(self.save, "load_audit", load, warehouse.load_audit(*inputs)),
+            partial(self.save, "fact_sales", load, warehouse.facts_of(found, existing)),
+            partial(self.save, "load_audit", load, warehouse.audit_of(found, existing)),
         )
         return audit

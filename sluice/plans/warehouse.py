@@ -89,14 +89,29 @@ def _product_lookup(dim_product: DataFrame) -> DataFrame:
     )
 
 
+def looked_up(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
+    """Orders with surrogate keys and the current unit price; null where a dimension lacks the row.
+
+    Facts, audit and gap report all follow from this table, so a load writes it once.
+    """
+    known = orders.select("order_id", "customer_id", "product_id", "quantity", "total_price",
+                          "order_date")
+    return known.join(_product_lookup(dim_product), "product_id", "left").join(
+        _customer_lookup(dim_customer), "customer_id", "left")
+
+
 def fact_lines(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Orders with surrogate keys; an order without a customer or product row is left out.
 
     The unit price is the dimension's current one, the total comes from the order.
     """
+    return lines_of(looked_up(orders, dim_customer, dim_product))
+
+
+def lines_of(found: DataFrame) -> DataFrame:
+    """Fact lines of the looked-up orders that have all their keys."""
     return (
-        orders.join(_product_lookup(dim_product), "product_id")
-        .join(_customer_lookup(dim_customer), "customer_id")
+        found.where(F.col("product_key").isNotNull() & F.col("customer_key").isNotNull())
         .select(
             date_key(F.col("order_date")).alias("date_key"),
             "customer_key", "product_key",
@@ -122,8 +137,12 @@ def number_facts(facts: DataFrame, after: Column, stripes: int = FACT_STRIPES) -
 def load_facts(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
                existing: DataFrame | None = None) -> DataFrame:
     """Fact rows to append: looked up, reduced to new orders, and numbered."""
-    lines = fact_lines(orders, dim_customer, dim_product)
-    fresh = new_facts(existing, lines, _order_ids(orders))
+    return facts_of(looked_up(orders, dim_customer, dim_product), existing)
+
+
+def facts_of(found: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """Fact rows to append, from looked-up orders."""
+    fresh = new_facts(existing, lines_of(found), _order_ids(found))
     return number_facts(fresh, highest_key(existing, "sale_key"))
 
 
@@ -131,31 +150,14 @@ def _order_ids(orders: DataFrame) -> DataFrame:
     return orders.select(F.col("order_id").alias("source_order_id"))
 
 
-def _flagged(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame) -> DataFrame:
-    customers = dim_customer.select(
-        F.col("source_customer_id").alias("customer_id"), F.lit(True).alias("has_customer")
-    )
-    products = dim_product.select(
-        F.col("source_product_id").alias("product_id"), F.lit(True).alias("has_product")
-    )
-    return (
-        orders.join(products, "product_id", "left")
-        .join(customers, "customer_id", "left")
-        .withColumns({
-            "has_customer": F.coalesce("has_customer", F.lit(False)),
-            "has_product": F.coalesce("has_product", F.lit(False)),
-        })
-    )
-
-
 def missing_dimensions(orders: DataFrame, dim_customer: DataFrame,
                        dim_product: DataFrame) -> DataFrame:
     """Order rows that cannot be loaded, once per dimension they miss."""
     gaps = F.array_compact(F.array(
-        F.when(~F.col("has_customer"), F.lit("dim_customer")),
-        F.when(~F.col("has_product"), F.lit("dim_product")),
+        F.when(F.col("customer_key").isNull(), F.lit("dim_customer")),
+        F.when(F.col("product_key").isNull(), F.lit("dim_product")),
     ))
-    return _flagged(orders, dim_customer, dim_product).select(
+    return looked_up(orders, dim_customer, dim_product).select(
         "order_id", "customer_id", "product_id", F.explode(gaps).alias("missing_dimension")
     )
 
@@ -163,16 +165,20 @@ def missing_dimensions(orders: DataFrame, dim_customer: DataFrame,
 def load_audit(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
                existing: DataFrame | None = None) -> DataFrame:
     """One row: order rows inserted, skipped because already there, and unmatched."""
-    matched = F.col("has_customer") & F.col("has_product")
+    return audit_of(looked_up(orders, dim_customer, dim_product), existing)
+
+
+def audit_of(found: DataFrame, existing: DataFrame | None = None) -> DataFrame:
+    """The audit row of looked-up orders."""
+    matched = F.col("customer_key").isNotNull() & F.col("product_key").isNotNull()
     per_order = (
-        _flagged(orders, dim_customer, dim_product)
-        .groupBy(F.col("order_id").alias("source_order_id"))
+        found.groupBy(F.col("order_id").alias("source_order_id"))
         .agg(F.count_if(matched).alias("loadable"), F.count_if(~matched).alias("unmatched"))
     )
     if existing is None:
         per_order = per_order.withColumn("present", F.lit(False))
     else:
-        known = keys_present(existing, _order_ids(orders), "source_order_id")
+        known = keys_present(existing, _order_ids(found), "source_order_id")
         per_order = per_order.join(
             known.withColumn("present", F.lit(True)), "source_order_id", "left"
         ).withColumn("present", F.coalesce("present", F.lit(False)))

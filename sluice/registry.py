@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators import checks, cleaning, dedupe, matching
-from sluice.plans import engagement, findings, quality, reports, sales, scoring, warehouse
+from sluice.plans import batch, engagement, findings, quality, reports, sales, scoring, warehouse
 from sluice.session import prepare, scratch_path
 from sluice.sources import files
 from sluice.streaming import activity, alerts, sinks
@@ -25,6 +26,7 @@ AS_OF = "2025-01-01 00:00:00"
 NULLABLE = {
     "clean_interactions": ["content_id"],
     "dataset_presence": ["row_count"],
+    "landing_interactions": ["content_id"],
     "viewer_growth": ["previous_viewer_count"],
 }
 
@@ -351,6 +353,78 @@ def landing_json(t):
     return files.read_landing(t.spark, root, "content-catalog")
 
 
+def land(df: DataFrame, root: str, dataset: str) -> None:
+    """Write gzip landing files of the dataset's format."""
+    writer = df.write.option("compression", "gzip")
+    path = files.zone_path(root, "landing", dataset)
+    if files.LANDING[dataset][0] == "json":
+        writer.json(path)
+    else:
+        writer.option("header", True).csv(path)
+
+
+def untidy_landing(t: TestTables, dataset: str, df: DataFrame, spoilt: str) -> DataFrame:
+    """Through landing files with columns in another order, one column more, and in some rows of
+    the column ``spoilt`` a value that isn't of its type."""
+    root = scratch_path(t.spark, f"untidy-{uuid4().hex}")
+    broken = F.when(F.col("user_id") % 97 == 0, "n/a").otherwise(F.col(spoilt).cast("string"))
+    build = F.concat(F.lit("b"), F.col("user_id") % 3).alias("app_build")
+    land(df.withColumn(spoilt, broken).select(build, *reversed(df.columns)), root, dataset)
+    return files.read_landing(t.spark, root, dataset)
+
+
+def day_text(viewing: DataFrame) -> DataFrame:
+    return viewing.withColumn("start_time", F.col("start_time").cast("date").cast("string"))
+
+
+@query
+def landing_viewing(t):
+    return untidy_landing(t, "viewing-history", day_text(t.viewing_history), "completion_pct")
+
+
+@query
+def landing_quality(t):
+    return untidy_landing(t, "streaming-quality", t.streaming_quality, "latency_ms")
+
+
+@query
+def landing_interactions(t):
+    return untidy_landing(t, "user-interactions", t.user_interactions, "content_id")
+
+
+@query
+def lake_run(t):
+    """Landing files through gates, zones, scores and reports: rows and hours of each output.
+
+    Negative latencies and bit rates land as none and the least, as the gates would stop the run.
+    """
+    root = scratch_path(t.spark, f"lake-{uuid4().hex}")
+    delivery = t.streaming_quality.withColumns({
+        "latency_ms": F.greatest("latency_ms", F.lit(0.0)),
+        "avg_bitrate_mbps": F.greatest("avg_bitrate_mbps", F.lit(0.01)),
+    })
+    raw = {**landing_tables(t), "streaming-quality": delivery,
+           "viewing-history": day_text(t.viewing_history)}
+    for dataset, df in raw.items():
+        land(df, root, dataset)
+    lake = batch.Lake(t.spark, root)
+    batch.run_lake(lake)
+    hours = {"viewing-history": "duration_watched_min", "user-monthly-engagement": "total_watch_hours",
+             "content-performance": "total_viewing_hours"}
+    outputs = {name: lake.table("curated", name) for name in batch.CURATED}
+    outputs |= {name: lake.table("analytics", name) for name in (*batch.ANALYTICS, "churn-risk")}
+    for name in ("high-risk-users", "top-content", "worst-quality-region-isp"):
+        path = files.zone_path(root, "analytics", f"reports/{name}")
+        outputs[f"report {name}"] = t.spark.read.option("header", True).csv(path)
+    outputs["report daily-user-engagement"] = lake.table("analytics", "reports/daily-user-engagement")
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.count("*").alias("row_count"), F.sum(
+            F.col(hours[name]).cast("decimal(18,2)") if name in hours else F.lit(None).cast("decimal(18,2)")
+        ).alias("total_time")).select(F.lit(name).alias("dataset"), "*")
+        for name, df in outputs.items()
+    ])
+
+
 # -- quality gates ------------------------------------------------------------
 
 @query
@@ -377,7 +451,10 @@ def dq_report_lost_profiles(t):
 
 @query
 def dq_null_rates(t):
-    return checks.null_rates(t.user_interactions)
+    return reduce(DataFrame.unionByName, [
+        checks.null_rates(df).select(F.lit(name).alias("dataset"), "*")
+        for name, df in landing_tables(t).items()
+    ])
 
 
 def landing_tables(t: TestTables) -> dict[str, DataFrame]:
@@ -494,8 +571,23 @@ def stream_parse_events(t):
     return stored(t, run_stream(t, "parsed", sinks.to_table, stream), stream)
 
 
+def changed(t: TestTables, name: str, stream: DataFrame, *keys: str) -> DataFrame:
+    """The latest state of each key of a stream that ran in update mode."""
+    path = run_stream(t, name, sinks.to_changes, stream)
+    return sinks.latest(stored(t, path, stream.withColumn("batch", F.lit(0))), *keys)
+
+
+WINDOW_KEYS = ("window_start", "window_end", "content_id", "title")
+
+
 @query
 def stream_concurrent_viewers(t):
+    """Counts as each batch changes them, those of open windows too."""
+    return changed(t, "concurrent", alerts.concurrent_viewers(event_stream(t)), *WINDOW_KEYS)
+
+
+@query
+def stream_closed_viewers(t):
     """Windows that were closed by the watermark when the input ended."""
     stream = alerts.concurrent_viewers(event_stream(t))
     return stored(t, run_stream(t, "concurrent", sinks.to_table, stream), stream)
@@ -503,6 +595,12 @@ def stream_concurrent_viewers(t):
 
 @query
 def stream_viewer_windows(t):
+    return changed(t, "windows", alerts.viewer_windows(event_stream(t)), *WINDOW_KEYS)
+
+
+@query
+def stream_viewer_snapshot(t):
+    """The whole window table, written anew by each batch."""
     stream = alerts.viewer_windows(event_stream(t))
     return stored(t, run_stream(t, "windows", sinks.to_snapshot, stream), stream)
 
@@ -515,12 +613,7 @@ def stream_trending_spikes(t):
 @query
 def stream_poor_sessions(t):
     """The last state of each session that was ever reported."""
-    stream = alerts.poor_sessions(event_stream(t))
-    path = run_stream(t, "sessions", sinks.to_changes, stream)
-    changes = stored(t, path, stream.withColumn("batch", F.lit(0)))
-    return changes.groupBy("session_id").agg(
-        F.max_by("buffering_count", "batch").alias("buffering_count")
-    )
+    return changed(t, "sessions", alerts.poor_sessions(event_stream(t)), "session_id")
 
 
 # -- findings -----------------------------------------------------------------

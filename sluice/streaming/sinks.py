@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 
@@ -46,6 +47,12 @@ def to_changes(stream: DataFrame, path: str, checkpoint: str, name: str | None =
     return _writer(stream, "update", checkpoint, name, every).foreachBatch(keep).start()
 
 
+def latest(changes: DataFrame, *keys: str) -> DataFrame:
+    """The current row of each key in a table that ``to_changes`` keeps."""
+    values = [c for c in changes.columns if c not in (*keys, "batch")]
+    return changes.groupBy(*keys).agg(*[F.max_by(v, "batch").alias(v) for v in values])
+
+
 def to_console(stream: DataFrame, checkpoint: str, mode: str = "append",
                every: str | None = None) -> StreamingQuery:
     """Show rows while developing."""
