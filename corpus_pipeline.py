@@ -33,9 +33,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
+    """One document of each group of near copies, linked from a similarity of 0.8."""
     prepare(spark)
-    return near_documents(docs).where("kept").select(*docs.columns)
+    return near_documents(docs, percent=80).where("kept").select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -15,10 +16,9 @@ from sluice.llm.components import components
 from sluice.llm.textbatch import U, Words, mix, window_hashes
 
 SHINGLE = 5
-#: Coordinates of a signature, and how many of them two documents must share to be verified. At
-#: a similarity of 0.85 a pair shares 81.6 of 96 on average and fewer than 71 once in 500; copies
-#: that are nearer share more.
-COORDINATES, MATCHES = 96, 71
+#: Coordinates of a signature, and how often a pair whose similarity is exactly the limit may share
+#: too few of them to be verified; copies that are nearer share more.
+COORDINATES, MISSED = 96, 2e-3
 #: Rows of one side of a compared block.
 BLOCK = 512
 
@@ -56,6 +56,19 @@ def _seeds() -> np.ndarray:
     return mix(np.arange(1, COORDINATES + 1, dtype=U), 0xD0C5)
 
 
+def least_matches(percent: int) -> int:
+    """How many coordinates two documents must share to be verified, at this limit of similarity.
+
+    The most that a pair at the limit shares but for a chance of ``MISSED``; one at least.
+    """
+    same = percent / 100
+    chance = [comb(COORDINATES, k) * same ** k * (1 - same) ** (COORDINATES - k) for k in range(COORDINATES)]
+    fewer, least = chance[0], 1
+    while least < COORDINATES and fewer + chance[least] <= MISSED:
+        fewer, least = fewer + chance[least], least + 1
+    return least
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seeds = _seeds()
     for batch in batches:
@@ -79,11 +92,11 @@ def _with_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["_digest", "_set"])
 
 
-def _postings(classes: DataFrame) -> DataFrame:
+def _postings(classes: DataFrame, matches: int) -> DataFrame:
     """Signature coordinates that another class has too: (_class, _prefix, _score) rows.
 
-    A class needs ``MATCHES`` coordinates that occur elsewhere; others are skipped whole. Two
-    classes that share so many meet in the rarest ``shared - MATCHES + 1`` of either, in one
+    A class needs ``matches`` coordinates that occur elsewhere; others are skipped whole. Two
+    classes that share so many meet in the rarest ``shared - matches + 1`` of either, in one
     order of all coordinate values, so that frequent values are seldom posted. The score, the
     number of classes met in all coordinates, is high for the middle of a group of copies.
     """
@@ -91,8 +104,8 @@ def _postings(classes: DataFrame) -> DataFrame:
     counts = posted.groupBy("_value").agg(F.count("*").alias("_n")).where("_n > 1")
     shared = posted.join(counts, "_value").groupBy("_class").agg(
         F.sort_array(F.collect_list(F.struct("_n", "_value"))).alias("_shared"))
-    return shared.where(F.size("_shared") >= MATCHES).select(
-        "_class", F.transform(F.slice("_shared", 1, F.size("_shared") - (MATCHES - 1)),
+    return shared.where(F.size("_shared") >= matches).select(
+        "_class", F.transform(F.slice("_shared", 1, F.size("_shared") - (matches - 1)),
                               lambda s: s["_value"]).alias("_prefix"),
         F.aggregate("_shared", F.lit(0).cast("long"), lambda n, s: n + s["_n"]).alias("_score"))
 
@@ -103,7 +116,7 @@ def _linked(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, percent: i
         return frame.select(F.col("_class").alias(name), F.col(column).alias(f"_{name}"))
 
     merged = pairs.join(side(signatures, "a", "_signature"), "a").join(side(signatures, "b", "_signature"), "b")
-    counted = merged.where(F.size(F.array_intersect("_a", "_b")) >= MATCHES).select("a", "b")
+    counted = merged.where(F.size(F.array_intersect("_a", "_b")) >= least_matches(percent)).select("a", "b")
     full = counted.join(side(sets, "a", "_set"), "a").join(side(sets, "b", "_set"), "b")
     both = F.size(F.array_intersect("_a", "_b"))
     union = F.size("_a") + F.size("_b") - both
@@ -111,6 +124,8 @@ def _linked(pairs: DataFrame, signatures: DataFrame, sets: DataFrame, percent: i
 
 
 def _compare(percent: int):
+    least = least_matches(percent)
+
     def run(block: pd.DataFrame) -> pd.DataFrame:
         """Links of one block of a posting list, or of two; a spanning forest of them suffices."""
         value = int(block["_value"].iloc[0])
@@ -136,7 +151,7 @@ def _compare(percent: int):
         matches = np.concatenate([np.zeros(0, int), *[
             (signature[a[i: i + 65536]] == signature[b[i: i + 65536]]).sum(axis=1)
             for i in range(0, len(a), 65536)]])
-        order = np.argsort(-matches, kind="stable")[: int((matches >= MATCHES).sum())]
+        order = np.argsort(-matches, kind="stable")[: int((matches >= least).sum())]
         above = {r: r for r in root}
 
         def top(r):
@@ -185,8 +200,8 @@ def near_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     signature's coordinate-value pairs with rare ones first (see ``_postings``); classes of one
     posting list are candidates, first each with the list's hub, once more with another hub, then
     all that are in different components so far (``_compared``): a link inside a component can't
-    change a result. Candidates must share ``MATCHES`` coordinates and are confirmed on the full
-    sets, which are made for them alone.
+    change a result. Candidates must share ``least_matches(percent)`` coordinates and are
+    confirmed on the full sets, which are made for them alone.
 
     Cases: a null text, or one without words, has no shingles and links with nothing; fewer than
     five words are one shingle; rows with equal texts link, whatever their ids; a row without id
@@ -211,7 +226,7 @@ def near_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.first("_signature").alias("_signature")).select(
         F.monotonically_increasing_id().alias("_class"), "_digest", F.col("_rep.id").alias("_first"),
         F.col("_rep.key").alias("_key"), "_signature"), "classes")
-    posted = staged(_postings(classes), "posted")
+    posted = staged(_postings(classes, least_matches(percent)), "posted")
     wanted = staged(posted.select("_class").join(classes, "_class").drop("_prefix"), "wanted")
     # One text of each class that is a candidate; its copies stay where they are.
     asked = wanted.select(F.col("_first").alias("_wanted"), F.col("_key").alias("_wanted_key"))

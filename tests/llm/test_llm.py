@@ -138,6 +138,28 @@ def test_long_posting_lists(spark):
     assert sum(got[d] != wanted[d][1] for d in got) <= 1
 
 
+def copies(numbers, shingles, changed):
+    """Two documents for each number, so many shingles each, that differ in so many of them."""
+    for i in numbers:
+        own = [f"p{i}w{j}" for j in range(shingles + 4)]
+        yield " ".join(own)
+        yield " ".join(own[: len(own) - changed] + [f"p{i}x{j}" for j in range(changed)])
+
+
+def test_near_copies_of_the_stage(spark):
+    # Similarities of 0.8, 0.805, 0.818 and, below the limit, 0.795.
+    texts = [*copies(range(200), 36, 4), *copies(range(200, 240), 37, 4), *copies(range(240, 280), 40, 4),
+             *copies(range(280, 300), 35, 4)]
+    docs = list(enumerate(texts))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in minhash_join.near_documents(df, percent=80).collect()}
+    wanted = {d: c for d, (_, c) in brute.near_documents(docs, percent=80).items()}
+    assert sum(got[d] != wanted[d] for d in got) <= 2
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, df, FOLDER).collect()}
+    assert kept == {d for d, c in got.items() if d == c}
+    assert minhash_join.least_matches(80) < minhash_join.least_matches(85)
+
+
 def test_mixture(spark, odd):
     rng = random.Random(4)
     rows = [(i, "w " * rng.randrange(40), rng.choice(["a", "b", None, "ä", "tiny"]) if i % 50 else "tiny") for i in range(2000)]
