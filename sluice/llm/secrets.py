@@ -117,7 +117,8 @@ def find_secrets(text: str) -> list[tuple[int, int, str, float]]:
         found += [(*m.span(), "assign", 1.0) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
     found += [(*m.span(), "access", 1.0) for m in ACCESS.finditer(text)]
     found += [(*m.span(), "hex", 1.0) for m in HEX.finditer(text)]
-    flat = low.replace("-", "_")
+    # As in name_weight: a text is skipped only if none of its names can have a weight.
+    flat = low.replace("-", "_").replace(".", "_")
     if any(p in flat or p.replace("_", "") in flat for p in NAME_WEIGHTS):
         best: dict[tuple[int, int], float] = {}
         for a, b, score in assigned_literals(text):

@@ -220,6 +220,20 @@ def test_secrets(spark, docs, odd):
     assert secrets.secret_spans(odd).count() == len(ODD)
 
 
+def test_every_scored_literal_is_found():
+    forms = ["{}", "fs.s3a.{}", "my-{}", "{}.value", "client_{}"]
+    for part in secrets.NAME_WEIGHTS:
+        words = part.split("_")
+        names = {sep.join(words) for sep in "_-."} | {"".join([words[0], *map(str.title, words[1:])]), "".join(words)}
+        for name in names | {n.upper() for n in names} | {n.title() for n in names}:
+            for form in forms:
+                for line in ('{} = "q7Zr-92kLmX0"', "{}=q7Zr92kLmX0", "{}: q7Zr92kLmX0", '"{}": "q7Zr-92kLmX0"'):
+                    text = line.format(form.format(name))
+                    found = {(a, b, s) for a, b, k, s in secrets.find_secrets(text) if k == "literal"}
+                    assert found == set(secrets.assigned_literals(text)), text
+    assert [k for _, _, k, _ in secrets.find_secrets("fs.s3a.access.key=q7Zr92kLmX0")] == ["literal"]
+
+
 def test_packing(spark, docs, odd):
     tokenizer = Tokenizer.from_file(PATH)
     df = spark.createDataFrame(docs + docs[:5] + list(enumerate(ODD)), "doc_id long, text string")
