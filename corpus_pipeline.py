@@ -27,9 +27,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the later occurrences of lines that many documents share."""
+    """Documents without the later occurrences of lines that two documents or more share."""
     prepare(spark)
-    return drop_repeated_lines(docs)
+    return drop_repeated_lines(docs, min_documents=2)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -199,10 +199,17 @@ def _key(doc_id: str, text: str) -> Column:
                     F.xxhash64(body, F.length(body)).alias("text"))
 
 
+def _classed(line: Column, min_chars: int) -> Column:
+    """Lines long enough for the join, and shorter ones with a letter or digit."""
+    return (F.length(line) >= min_chars) | line.rlike(r"[\p{L}\p{N}]")
+
+
 def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = 2,
                  min_chars: int = 30, min_documents: int = 10) -> DataFrame:
-    """Every line of ``min_chars`` characters or more that shares its class with another line.
+    """Every line that shares its class with another line.
 
+    Lines of ``min_chars`` characters or more are joined within ``edits``; shorter ones with a
+    letter or digit are classed with their equals only, as edits would join most short words.
     Columns: ``_key`` (none, id, text hash of the document), ``line`` (number from 0),
     ``first_id`` and ``first_line`` (where the class first occurs), ``removed``: the class occurs
     in ``min_documents`` documents or more and this is not its first occurrence. A line that
@@ -211,13 +218,13 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
     spark = docs.sparkSession
     small_batches(spark, LINE_BATCH)
     lines = docs.select(_key(doc_id, text).alias("_key"), F.posexplode(F.split(text_or_empty(text), "\n")).alias("line", "_text"))
-    lines = lines.where(F.length("_text") >= min_chars)
+    lines = lines.where(_classed(F.col("_text"), min_chars))
     a, b = F.xxhash64("_text"), F.xxhash64(F.lit(7), "_text", F.length("_text"))
     # Equal lines are one row of the join, however often they occur.
     distinct = staged(lines.groupBy(a.alias("_a"), b.alias("_b")).agg(
         F.first("_text").alias("_text"), F.count("*").alias("_copies")).withColumn(
         "_line", F.monotonically_increasing_id()), "lines")
-    posted = distinct.select("_line", "_text").mapInArrow(_segments(edits), "_line long, _probe boolean, _segment long")
+    posted = distinct.where(F.length("_text") >= min_chars).select("_line", "_text").mapInArrow(_segments(edits), "_line long, _probe boolean, _segment long")
     indexed = posted.where("not _probe").select("_segment", F.col("_line").alias("a"))
     probes = posted.where("_probe").select("_segment", F.col("_line").alias("b"))
     # A segment that many lines have is compared in blocks, all others by their pairs.
@@ -258,12 +265,12 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """One row per document: its lines' classes and which lines go.
 
     Columns: doc_id, n_lines, n_removed, ``removed_lines`` (numbers from 0) and ``lines`` (line,
-    first_id, first_line of all lines that are long enough). The cases are those of
+    first_id, first_line of all lines that are classed). The cases are those of
     ``drop_repeated_lines``.
     """
     found = _by_document(line_classes(docs, doc_id, text, min_chars=min_chars, **settings))
     parts = F.split(text_or_empty(text), "\n")
-    long = F.array_compact(F.transform(parts, lambda x, i: F.when(F.length(x) >= min_chars, i)))
+    long = F.array_compact(F.transform(parts, lambda x, i: F.when(_classed(x, min_chars), i)))
     own = docs.select(_key(doc_id, text).alias("_own"), F.size(parts).cast("long").alias("n_lines"), long.alias("_long"))
     joined = own.join(found, own["_own"].eqNullSafe(found["_key"]), "left")
     shared = F.coalesce("lines", F.array().cast(found.schema["lines"].dataType))
@@ -280,11 +287,12 @@ def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
     """Documents without the later occurrences of lines that many documents share.
 
     Lines of ``min_chars`` (30) characters or more that are within ``edits`` (2) insertions,
-    deletions or changes of a character of each other are linked; linked lines are one class. A
-    class in ``min_documents`` (10) documents or more keeps its first occurrence, by id and line.
+    deletions or changes of a character of each other are linked; linked lines are one class, and
+    so are equal shorter lines with a letter or digit. A class in ``min_documents`` (10) documents or more keeps its first occurrence, by id and line.
     A document all of whose text goes is dropped; other columns stay as they are.
 
-    Cases: a null or empty text has one empty line and stays; shorter lines stay; rows that agree
+    Cases: a null or empty text has one empty line and stays; short lines without a letter or
+    digit stay; rows that agree
     in id and text are one document and decided alike; null ids come last in order of first
     occurrence; an empty table gives an empty one.
     """

@@ -93,7 +93,7 @@ def op7_relative_lz(spark, folder):
 @query
 def op8_line_join(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return line_join.repeated_lines(docs)
+    return line_join.repeated_lines(docs, min_documents=2)
 
 
 @query

@@ -220,6 +220,40 @@ def test_secrets(spark, docs, odd):
     assert secrets.secret_spans(odd).count() == len(ODD)
 
 
+def test_short_and_rare_lines(spark, tmp_path):
+    rng = random.Random(8)
+    long = ["".join(rng.choice("abcdefgh ") for _ in range(40)) for _ in range(12)]
+    short = ["Share", "Home", "Homes", "© 2024", "}", "---", "", "a b"]
+    docs = []
+    for d in range(40):
+        own = [rng.choice(short) for _ in range(3)] + [f"own {d}", "twice here", "twice here"][: 3 if d == 7 else 1]
+        if d % 5 == 0:
+            line = rng.choice(long)
+            own.append(line[:9] + rng.choice("xy") + line[10:])
+        docs.append((d, "\n".join(own)))
+    docs += [(40, "Only once"), (41, "Share\nHome")]
+    wanted = brute.removed_lines(docs, min_documents=2)
+    places = defaultdict(list)
+    for d, t in docs:
+        for n, line in enumerate(t.split("\n")):
+            if len(line) < 30 and any(c.isalnum() for c in line):
+                places[line].append((d, n))
+    for own in places.values():
+        if len({d for d, _ in own}) >= 2:
+            for d, n in own[1:]:
+                wanted[d].append(n)
+    wanted = {d: sorted(n) for d, n in wanted.items()}
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op8_line_join"](spark, str(tmp_path)).collect()
+    assert {r["doc_id"]: r["removed_lines"] for r in rows} == wanted
+    firsts = {r["doc_id"]: {x["line"]: (x["first_id"], x["first_line"]) for x in r["lines"]} for r in rows}
+    assert all(firsts[d][n] == own[0] for own in places.values() for d, n in own)
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, df, str(tmp_path)).collect()}
+    texts = {d: "\n".join(x for n, x in enumerate(t.split("\n")) if n not in wanted[d]) for d, t in docs}
+    assert left == {d: t for d, t in texts.items() if t.strip() or not wanted[d]} and 41 not in left
+
+
 def test_every_scored_literal_is_found():
     forms = ["{}", "fs.s3a.{}", "my-{}", "{}.value", "client_{}"]
     for part in secrets.NAME_WEIGHTS:
