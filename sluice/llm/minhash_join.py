@@ -18,7 +18,7 @@ from sluice.llm.textbatch import U, Words, mix, window_hashes
 SHINGLE = 5
 #: Coordinates of a signature, and how often a pair whose similarity is exactly the limit may share
 #: too few of them to be verified; copies that are nearer share more.
-COORDINATES, MISSED = 96, 2e-3
+COORDINATES, MISSED = 96, 1e-6
 #: Rows of one side of a compared block.
 BLOCK = 512
 

@@ -160,6 +160,15 @@ def test_near_copies_of_the_stage(spark):
     assert minhash_join.least_matches(80) < minhash_join.least_matches(85)
 
 
+def test_links_at_the_limit(spark):
+    # Of 12,000 such pairs, at a similarity of 0.85, these share fewer than 71 of 96 coordinates.
+    docs = list(enumerate(copies([875, 914, 1237, 1574, 1939, 2293, 3893, 4314, 5244, 5691, 5853, 6066], 37, 3)))
+    got = {r["doc_id"]: r["component_id"] for r in minhash_join.near_documents(
+        spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {d: c for d, (_, c) in brute.near_documents(docs).items()} == {d: d // 2 * 2 for d, _ in docs}
+    assert (minhash_join.least_matches(85), minhash_join.least_matches(80)) == (63, 56)
+
+
 def test_mixture(spark, odd):
     rng = random.Random(4)
     rows = [(i, "w " * rng.randrange(40), rng.choice(["a", "b", None, "ä", "tiny"]) if i % 50 else "tiny") for i in range(2000)]
