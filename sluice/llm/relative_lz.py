@@ -1,4 +1,4 @@
-"""Repeated passages by relative Lempel-Ziv parsing of documents against all reference blocks."""
+"""Repeated passages by least-hash phrases of all documents and hashes of whole windows."""
 
 from __future__ import annotations
 
@@ -120,10 +120,9 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     A word is removed if a run of ``window`` words that covers it also starts anywhere else, in
     the same document or another. Every document is a reference block for all: its phrases (see
-    ``Parse``) are indexed, and a document is factored greedily along those of its phrases that
-    stand at more than one place of the corpus; a factor ends where the next phrase is new. A
-    factor's windows, those over its two boundaries included, are then confirmed by the hash of
-    all their words, and confirmed windows that touch make up a span. Hashes of phrase and window
+    ``Parse``) are indexed, and the windows that point to a phrase at more than one place of the
+    corpus are kept; no Lempel-Ziv factors are built. They are then confirmed by the hash of all
+    their words, and confirmed windows that touch make up a span. Hashes of phrase and window
     together have 128 bits. Equal texts are parsed once. ``spans`` has word places, ends
     exclusive; with ``keep_text``, ``kept`` has the remaining words joined by one space.
 
