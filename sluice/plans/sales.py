@@ -104,18 +104,17 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def latest_sales(fact: DataFrame, dim_date: DataFrame, dim_customer: DataFrame,
-                 dim_product: DataFrame, n: int = 3, loaded: bool = True) -> DataFrame:
+                 dim_product: DataFrame, n: int = 3) -> DataFrame:
     """The ``n`` facts with the greatest sale keys, spelled out.
 
-    ``loaded`` facts have the keys of these dimensions, as the loader gives them,
-    and are cut down to ``n`` before anything is joined.
+    Only facts whose date, product and customer are known count. Semi-joins with the keys alone
+    find them; a measured dimension under the broadcast threshold leaves the facts unshuffled.
     """
     known = fact.select("sale_key", "date_key", "customer_key", "product_key",
                         "quantity", "total_price")
-    # Only facts of known dates, products and customers count; then no more than n rows join.
     for dimension, key in ((dim_date, "date_key"), (dim_product, "product_key"),
                            (dim_customer, "customer_key")):
-        known = known.join(dimension.select(key), key, "left_semi") if not loaded else known
+        known = known.join(dimension.select(key), key, "left_semi")
     return (
         known.orderBy(F.desc("sale_key")).limit(n)
         .join(dim_date.select("date_key", "full_date"), "date_key")

@@ -21,10 +21,3 @@ def spark(tmp_path_factory):
 def frame(spark):
     """Build a frame from a DDL schema and tuples."""
     return lambda schema, *rows: spark.createDataFrame(list(rows), schema)
-
-
-def tuples(df, *columns):
-    """Rows as a sorted list of tuples, nulls first."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()),
-                  key=lambda r: tuple((v is not None, v if v is not None else 0) for v in r))

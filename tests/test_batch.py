@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import tuples
+from helpers import tuples
 from sluice import schemas
 from sluice.operators.dedupe import merge_shards
 from sluice.plans import batch

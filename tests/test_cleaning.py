@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import tuples
+from helpers import tuples
 from sluice import schemas
 from sluice.functions.cleaning import device_class, event_time
 from sluice.functions.numbers import growth, ratio_if_positive, rounded

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import tuples
+from helpers import tuples
 from sluice import schemas
 from sluice.functions.numbers import rounded
 from sluice.operators.cleaning import clean_interactions, clean_viewing

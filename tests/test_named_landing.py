@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import tuples
+from helpers import tuples
 from sluice.operators.matching import orphans, violation_counts
 from sluice.plans import findings, scoring
 from sluice.plans.batch import MissingDataError, Warehouse

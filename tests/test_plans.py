@@ -7,7 +7,7 @@ from contextlib import contextmanager
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import tuples
+from helpers import tuples
 from sluice import schemas
 from sluice.plans import engagement, scoring
 from sluice.registry import QUERIES

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import tuples
+from helpers import tuples
 from sluice import schemas
 from sluice.operators.checks import dataset_presence, null_rates, open_if_there, rule_violations
 from sluice.operators.matching import orphans, repeated_keys, violation_counts

@@ -3,7 +3,7 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import tuples
+from helpers import tuples
 from sluice.plans.reports import high_risk_users, top_content, worst_quality
 from sluice.plans.scoring import SEGMENTS, churn_risk
 

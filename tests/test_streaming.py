@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import tuples
+from helpers import tuples
 from sluice import schemas
 from sluice.session import scratch_path
 from sluice.sources.activity_log import kafka_options, read_message_files
