@@ -65,3 +65,62 @@ FROM ruled JOIN verdicts ON ruled.source IS NOT DISTINCT FROM verdicts.source
 """
 
 ORACLES = {"op2_chat_format": _CHAT, "op3_host_rules": _RULES}
+
+# Both rounds and the final assignment are the same steps over the codebook before.
+_FINITE = """
+SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+"""
+
+
+def _assigned(name: str, book: str) -> str:
+    """Each vector's parts, the index of the nearest entry of a codebook, and the squared distance."""
+    return f"""{name} AS (
+    SELECT p.r, p.part, any_value(p.w) AS w, min(d.d) AS d, arg_min(d.entry, d.d * 64 + d.entry) AS entry
+    FROM parts p JOIN (
+        SELECT a.r, a.part, b.entry, (a.w[1] - b.w[1]) ** 2 + (a.w[2] - b.w[2]) ** 2
+            + (a.w[3] - b.w[3]) ** 2 + (a.w[4] - b.w[4]) ** 2 AS d
+        FROM parts a JOIN {book} b USING (part)
+    ) d USING (r, part) GROUP BY p.r, p.part
+)"""
+
+
+def _moved(name: str, book: str, assigned: str) -> str:
+    means = ", ".join(f"floor(sum(w[{j}])::DECIMAL(38,0) / count(*))::BIGINT" for j in range(1, 5))
+    return f"""{name} AS (
+    SELECT part, entry, coalesce(m.w, b.w) AS w FROM {book} b LEFT JOIN (
+        SELECT part, entry, [{means}] AS w FROM {assigned} GROUP BY part, entry) m USING (part, entry)
+)"""
+
+
+_CODES = f"""
+WITH kept AS (SELECT *, row_number() OVER (ORDER BY vec_id) AS r FROM ({_FINITE})
+), parts AS (
+    SELECT r, part, list_transform(range(1, 5), lambda j: floor(256 * v[part * 4 + j])::BIGINT) AS w
+    FROM kept, range(16) t(part)
+), book0 AS (SELECT part, r - 1 AS entry, w FROM parts WHERE r <= 64
+), {_assigned('near0', 'book0')}, {_moved('book1', 'book0', 'near0')},
+{_assigned('near1', 'book1')}, {_moved('book2', 'book1', 'near1')}, {_assigned('near2', 'book2')},
+coded AS (
+    SELECT r, string_agg(lpad(printf('%x', entry::BIGINT), 2, '0'), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+    FROM near2 GROUP BY r
+), books AS (
+    SELECT sha256(string_agg(array_to_string(w, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM book2
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), books
+"""
+
+_NEAREST = f"""
+WITH kept AS (SELECT * FROM ({_FINITE}) WHERE len(list_filter(v, lambda x: x <> 0)) > 0
+), apart AS (
+    SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(q.v, c.v),
+        lambda p: (p[1] - p[2]) * (p[1] - p[2])), lambda a, b: a + b)) AS score
+    FROM kept q JOIN kept c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INTEGER AS rank FROM apart
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLES |= {"op11_grid_codes": _CODES, "op13_vp_trees": _NEAREST}

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import (best_fit, cap_filters, chat, host_rules, line_join, minhash_join, relative_lz,
-                        secrets, systematic, token_counts)
+from sluice.llm import (best_fit, cap_filters, chat, grid_codes, host_rules, line_join, minhash_join, relative_lz,
+                        secrets, systematic, token_counts, vp_trees, whitening)
 from sluice.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -114,3 +114,23 @@ def op9_secret_spans(spark, folder):
 def op10_best_fit(spark, folder):
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return best_fit.pack_documents(docs, public_tokenizers.path(TOKENIZER))
+
+
+def embeddings(spark, folder):
+    return table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+
+
+@query
+def op11_grid_codes(spark, folder):
+    return grid_codes.compress(embeddings(spark, folder), keep_vector=False).drop("label")
+
+
+@query
+def op12_whitening(spark, folder):
+    return whitening.whiten(embeddings(spark, folder).drop("label"), keep_vector=False)
+
+
+@query
+def op13_vp_trees(spark, folder):
+    vectors = embeddings(spark, folder)
+    return vp_trees.nearest_vectors(vectors, vectors.where(F.col("vec_id") % 100 == 0))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -150,3 +151,53 @@ def base_secrets(text):
     found += [(m.start(), 1, "access", m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
     found += [(m.start(), 2, "hex", m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 32]
     return [f"{k}:{a}:{b}" for a, _, k, b in sorted(found)]
+
+
+def usable(vector, zero=False):
+    """The vector as doubles if it counts; zero vectors count only if ``zero``."""
+    fine = vector and all(x is not None and np.isfinite(x) for x in vector)
+    return [float(x) for x in vector] if fine and (zero or any(vector)) else None
+
+
+def grid_codes(rows, parts=16, entries=64, rounds=2):
+    """(vec_id, code, error, label_error) of (vec_id, vector, label), plainly in whole numbers."""
+    last = max((i for i, *_ in rows if i is not None), default=0) + 1
+    kept = [(i, [int(np.floor(256 * x)) for x in usable(v, True)], y) for i, v, y in rows if usable(v, True)]
+    kept.sort(key=lambda r: (last if r[0] is None else r[0], r[1]))
+    width = len(kept[0][1]) // parts
+    cut = [[tuple(v[p * width: (p + 1) * width]) for p in range(parts)] for _, v, _ in kept]
+    books = [[c[p] for c in cut[:entries]] for p in range(parts)]
+
+    def nearest(p, x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e)), k) for k, e in enumerate(books[p]))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            own = defaultdict(list)
+            for c in cut:
+                own[nearest(p, c[p])[1]].append(c[p])
+            for k, points in own.items():
+                books[p][k] = tuple(sum(x) // len(points) for x in zip(*points))
+    found = [[nearest(p, c[p]) for p in range(parts)] for c in cut]
+    totals = Counter()
+    for (_, _, y), f in zip(kept, found):
+        totals[y] += sum(d for d, _ in f)
+    digest = hashlib.sha256(",".join(str(x) for b in books for e in b for x in e).encode()).hexdigest()
+    return [(i, "".join(f"{k:02x}" for _, k in f), sum(d for d, _ in f), totals[y]) for (i, _, y), f in zip(kept, found)], digest
+
+
+def nearest_vectors(rows, asked, k=10):
+    """(query_id, rank, vec_id, score) of (vec_id, vector) rows."""
+    points = sorted({(i, tuple(usable(v))) for i, v in rows if i is not None and usable(v)})
+    out = []
+    for q, v in points:
+        if asked(q):
+            near = []
+            for i, w in points:
+                if i != q and len(w) == len(v):
+                    total = 0.0
+                    for a, b in zip(v, w):
+                        total += (a - b) * (a - b)
+                    near.append((math.sqrt(total), i))
+            out += [(q, n + 1, i, s) for n, (s, i) in enumerate(sorted(near)[:k])]
+    return out
