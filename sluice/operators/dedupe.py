@@ -35,7 +35,7 @@ def replica_difference(first: DataFrame, second: DataFrame) -> DataFrame:
     )
 
 
-def dedupe_first(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+def first_per_key(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     """One row per key: the smallest by ``order``, ties settled by the other columns.
 
     The minimum of a struct is partly aggregated before the shuffle, so each
@@ -47,3 +47,9 @@ def dedupe_first(df: DataFrame, key: str, order: list[str] | None = None) -> Dat
     return df.groupBy(key).agg(first).select(
         *[F.col(c) if c == key else F.col("first")[c].alias(c) for c in df.columns]
     )
+
+
+def dedupe_first(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+    """One row per key; rows without key are not copies of each other and all stay."""
+    keyed = first_per_key(df.where(F.col(key).isNotNull()), key, order)
+    return keyed.unionByName(df.where(F.col(key).isNull()))

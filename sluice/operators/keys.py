@@ -1,4 +1,4 @@
-"""Surrogate keys without a global sort."""
+"""Surrogate keys without a global sort: in stripes with gaps, or dense in load order."""
 
 from __future__ import annotations
 
@@ -37,3 +37,57 @@ def assign_keys(
     position = F.row_number().over(Window.partitionBy(stripe).orderBy(natural_key))
     number = after + (position.cast("long") - 1) * stripes + stripe + 1
     return rows.select(number.alias(surrogate), "*")
+
+
+#: Ranges into which one group's rows are cut for numbering.
+PIECES = 64
+
+
+def key_ranges(rows: DataFrame, group: str, key: str, pieces: int = PIECES) -> DataFrame:
+    """(group, limits): values of ``key`` that cut each group into parts of about equal length.
+
+    One approximate quantile sketch a group, partly aggregated. Whatever the limits are, the
+    numbers that ``dense_keys`` gives are the same; but it has to see the same limits wherever
+    it reads them, so the result belongs in a stored table.
+    """
+    shares = [k / pieces for k in range(1, pieces)]
+    return rows.groupBy(F.col(group).alias("group")).agg(
+        F.percentile_approx(key, shares, 1000).alias("limits"))
+
+
+def dense_keys(rows: DataFrame, surrogate: str, group: str, key: str, rest: list[str], after: Column,
+               ranges: DataFrame, pieces: int = PIECES) -> DataFrame:
+    """Number rows after+1, after+2, ... by ``group``, then ``key``, without gaps.
+
+    Rows go to buckets of one group and one range of keys (``ranges`` from ``key_ranges``), are
+    put in order within their bucket only, and start after the rows of all buckets before it: a
+    group that holds most rows is sorted by many tasks. What is summed up over all buckets is a
+    count for each. Nulls come last. Rows without key stand behind the others of their group, in
+    buckets by hash, and are put in order by ``rest``, which also settles equal keys.
+    """
+    named = {"rows": F.struct(*rows.columns)}
+    limits = F.coalesce("limits", F.array().cast("array<bigint>"))
+    keyless = pieces + F.pmod(F.xxhash64(*[F.col("rows")[c] for c in rest]), F.lit(pieces)).cast("int")
+    ranged = rows.select(F.col(group).alias("at"), F.col(key).alias("key"), named["rows"].alias("rows"))
+    placed = ranged.join(ranges, ranged["at"].eqNullSafe(ranges["group"]), "left").select(
+        "at", "key", "rows",
+        F.when(F.col("key").isNull(), keyless).otherwise(
+            F.size(F.filter(limits, lambda x: x < F.col("key")))).alias("piece"))
+    counts = placed.groupBy("at", "piece").agg(F.count("*").alias("n"))
+    whole = counts.groupBy("at").agg(F.sum("n").alias("n"))
+
+    def earlier(by: Window) -> Column:
+        return F.coalesce(F.sum("n").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    # One row a group in one task; then at most two times ``pieces`` rows a group.
+    groups = whole.select(F.col("at").alias("group_at"),
+                          earlier(Window.orderBy(F.asc_nulls_last("at"))).alias("groups_before"))
+    inside = counts.select(F.col("at").alias("bucket_at"), F.col("piece").alias("bucket_piece"),
+                           earlier(Window.partitionBy("at").orderBy("piece")).alias("pieces_before"))
+    starts = inside.join(groups, inside["bucket_at"].eqNullSafe(groups["group_at"])).select(
+        "bucket_at", "bucket_piece", (F.col("groups_before") + F.col("pieces_before")).alias("start"))
+    order = [F.asc_nulls_last(F.col("rows")[c]) for c in rest]
+    position = F.row_number().over(Window.partitionBy("at", "piece").orderBy("key", *order))
+    numbered = placed.withColumn("position", position).join(
+        starts, F.col("at").eqNullSafe(F.col("bucket_at")) & (F.col("piece") == F.col("bucket_piece")))
+    return numbered.select((after + F.col("start") + F.col("position")).cast("long").alias(surrogate), "rows.*")

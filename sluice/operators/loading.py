@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.dedupe import dedupe_first
+from sluice.operators.dedupe import first_per_key
 from sluice.operators.keys import assign_keys, highest_key
 
 
@@ -62,15 +62,44 @@ def keys_present(existing: DataFrame, incoming: DataFrame, key: str) -> DataFram
     return existing.select(key).join(incoming.select(key), key, "left_semi").distinct()
 
 
+def keyless_balance(existing: DataFrame | None, incoming: DataFrame, key: str,
+                    alike: list[str]) -> DataFrame:
+    """Kinds of rows without key: ``alike`` columns, ``batch`` and ``present`` rows, one row of the batch.
+
+    A kind is all rows that are equal in ``alike``. Both tables are added up in one aggregation;
+    of ``existing`` only rows without key are read.
+    """
+    rest = [c for c in incoming.columns if c not in alike]
+    keyless = incoming.where(F.col(key).isNull())
+    both = keyless.select(*alike, F.struct(*rest).alias("row"), F.lit(1).alias("new"))
+    if existing is not None:
+        both = both.unionByName(existing.where(F.col(key).isNull()).select(
+            *alike, F.lit(None).cast(both.schema["row"].dataType).alias("row"), F.lit(0).alias("new")))
+    return both.groupBy(*alike).agg(
+        F.sum("new").alias("batch"), (F.count("*") - F.sum("new")).alias("present"),
+        F.min("row").alias("row"),
+    ).where(F.col("batch") > 0)
+
+
 def insert_ignore(existing: DataFrame | None, incoming: DataFrame, key: str,
-                  order: list[str] | None = None, batch_keys: DataFrame | None = None) -> DataFrame:
+                  order: list[str] | None = None, batch_keys: DataFrame | None = None,
+                  alike: list[str] | None = None) -> DataFrame:
     """Rows of the batch to append: one per key, and only keys not loaded before.
 
     ``batch_keys`` may hold the keys of the batch (or more) where they are had
     more cheaply than from ``incoming``, which would be computed twice.
+
+    No key tells rows without one apart. Of each kind of them, rows equal in ``alike`` (all
+    columns if not given), as many are appended as the batch has more than the table. So none
+    is lost, and a batch that comes again appends none.
     """
-    batch = dedupe_first(incoming, key, order)
+    alike = alike or [c for c in incoming.columns if c != key]
+    kinds = keyless_balance(existing, incoming, key, alike)
+    copies = F.explode(F.sequence(F.lit(1), (F.col("batch") - F.col("present")).cast("int")))
+    keyless = kinds.where(F.col("batch") > F.col("present")).withColumn("copy", copies).select(*[
+        F.col(c) if c in alike else F.col("row")[c].alias(c) for c in incoming.columns])
+    batch = first_per_key(incoming.where(F.col(key).isNotNull()), key, order)
     if existing is None:
-        return batch
+        return batch.unionByName(keyless)
     present = keys_present(existing, incoming if batch_keys is None else batch_keys, key)
-    return batch.join(present, key, "left_anti").select(incoming.columns)
+    return batch.join(present, key, "left_anti").select(incoming.columns).unionByName(keyless)

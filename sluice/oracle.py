@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from sluice.registry import AS_OF
+from sluice.registry import AS_OF, EARLY
 from sluice.views import VIEWS, view_sql
 
 CTES = {name: view_sql(name) for name in VIEWS}
@@ -61,7 +61,7 @@ FROM (SELECT unnest(generate_series(make_date(lo, 1, 1), make_date(hi, 12, 31),
       FROM (SELECT year(min(order_date))::int AS lo, year(max(order_date))::int AS hi
             FROM sales_orders))
 """
-DIM_STRIPES, FACT_STRIPES = 4096, 65536
+DIM_STRIPES = 4096
 PERSON = "first_name, last_name, email, city, state"
 
 CTES |= {
@@ -84,7 +84,8 @@ CTES |= {
     "first_lines": """
         SELECT * FROM lines QUALIFY row_number() OVER (PARTITION BY source_order_id
           ORDER BY date_key, customer_key, product_key, quantity, total_price, unit_price) = 1""",
-    "fact": f"SELECT {key('source_order_id', FACT_STRIPES)} AS sale_key, * FROM first_lines",
+    "fact": """
+        SELECT row_number() OVER (ORDER BY date_key, source_order_id) AS sale_key, * FROM first_lines""",
 }
 
 FACT_COLUMNS = """sale_key, date_key, customer_key, product_key, source_order_id, quantity,
@@ -114,13 +115,36 @@ SELECT {key('employee_id', DIM_STRIPES)} AS employee_key, employee_id AS source_
 FROM employees JOIN departments USING (department_id)""")
 define("fact_sales", f"SELECT {FACT_COLUMNS} FROM fact")
 define("fact_sales_rerun", f"""
-, old AS (SELECT {key('source_order_id', FACT_STRIPES)} AS sale_key, source_order_id
-          FROM (SELECT DISTINCT order_id AS source_order_id FROM sales_orders
-                JOIN customers USING (customer_id) WHERE shard = 'SE')),
+, old AS (SELECT DISTINCT order_id AS source_order_id FROM sales_orders
+          JOIN customers USING (customer_id) WHERE shard = 'SE'),
 fresh AS (SELECT * FROM first_lines WHERE source_order_id NOT IN (SELECT source_order_id FROM old)),
-keyed AS (SELECT {key('source_order_id', FACT_STRIPES, '(SELECT max(sale_key) FROM old)')}
+keyed AS (SELECT (SELECT count(*) FROM old) + row_number() OVER (ORDER BY date_key, source_order_id)
                  AS sale_key, * FROM fresh)
 SELECT {FACT_COLUMNS} FROM keyed""")
+LOADS = f"""
+, first_load AS (
+    SELECT row_number() OVER (ORDER BY date_key, source_order_id) AS sale_key, * FROM first_lines
+    WHERE date_key < {EARLY}0000),
+second_load AS (
+    SELECT (SELECT count(*) FROM first_load)
+             + row_number() OVER (ORDER BY date_key, source_order_id NULLS LAST) AS sale_key, *
+    FROM (SELECT * FROM first_lines WHERE date_key >= {EARLY}0000
+          UNION ALL SELECT * REPLACE (NULL::bigint AS source_order_id) FROM lines WHERE source_order_id % 10 = 7)),
+loads AS (SELECT 1 AS load, * FROM first_load UNION ALL SELECT 2, * FROM second_load)"""
+define("warehouse_two_loads", f"""
+{LOADS}
+SELECT load, (CASE WHEN source_order_id IS NOT NULL THEN sale_key END)::double AS sale_key, date_key,
+       source_customer_id, CASE WHEN state = 'NATION_12' THEN 'moved' ELSE city END AS city,
+       source_order_id::double AS source_order_id, quantity, total_price::double AS total_price
+FROM loads JOIN dim_c USING (customer_key)""")
+define("warehouse_audits", f"""
+{LOADS},
+batch AS (SELECT count(*) + count(*) FILTER (order_id % 10 = 1 AND shard = 'SE') AS n
+          FROM sales_orders JOIN customers USING (customer_id) WHERE year(order_date) < {EARLY})
+SELECT 1 AS load, (SELECT count(*) FROM first_load) AS inserted,
+       (SELECT n FROM batch) - (SELECT count(*) FROM first_load) AS already_present, 0::bigint AS unmatched
+UNION ALL
+SELECT 2, (SELECT count(*) FROM second_load), (SELECT count(*) FROM first_load), 0""")
 define("fact_load_audit", """
 , rows_ AS (SELECT o.order_id, shard = 'NE' AND category <> 'ECONOMY' AS ok
             FROM sales_orders o LEFT JOIN customers USING (customer_id)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.checks import open_if_there
 from sluice.operators.cleaning import clean_interactions, clean_viewing
+from sluice.operators.dedupe import dedupe_first, merge_shards
 from sluice.operators.loading import insert_ignore
 from sluice.plans import engagement, quality, reports, scoring, warehouse
 from sluice.session import scratch_path
@@ -169,6 +170,27 @@ def run_lake(lake: Lake) -> None:
     export(lake)
 
 
+@dataclass(frozen=True)
+class Shard:
+    """The tables of one sales database. Orders may be kept elsewhere, in the order log."""
+
+    customers: DataFrame
+    products: DataFrame
+    orders: DataFrame | None = None
+
+
+def shard_orders(shards: dict[str, Shard], order_log: DataFrame | None = None) -> DataFrame:
+    """Orders of all shards, then those of the order log; ``shard_order`` says who comes first.
+
+    An id that several hold is loaded from the first that has it. The log may hold an order more
+    than once; its first row counts. Orders without id are all kept.
+    """
+    sources = {name: shard.orders for name, shard in shards.items() if shard.orders is not None}
+    if order_log is not None:
+        sources["order log"] = dedupe_first(order_log, "order_id", ["order_date"])
+    return merge_shards(sources)
+
+
 @dataclass
 class Warehouse:
     """Star schema under one root folder; every load writes folders of its own.
@@ -202,6 +224,19 @@ class Warehouse:
         write_table(df, path)
         return read_table(self.spark, path)
 
+    def load_shards(self, load: int, shards: dict[str, Shard], employees: DataFrame,
+                    departments: DataFrame, days: DataFrame,
+                    order_log: DataFrame | None = None) -> DataFrame:
+        """Run load ``load`` from the shards, the staff tables and, if given, the order log.
+
+        Customers of all shards are merged, the last shard's row counting. The product table is
+        the same on all shards; the first shard's copy is taken.
+        """
+        customers = merge_shards({name: shard.customers for name, shard in shards.items()})
+        products = next(iter(shards.values())).products
+        return self.load(load, customers, products, employees, departments,
+                         shard_orders(shards, order_log), days)
+
     def load(self, load: int, customers: DataFrame, products: DataFrame, employees: DataFrame,
              departments: DataFrame, orders: DataFrame, days: DataFrame) -> DataFrame:
         """Run load number ``load`` (1, 2, ...), dimensions first; returns its audit row."""

@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.calendar import calendar_columns, date_key
-from sluice.operators.keys import assign_keys, highest_key
-from sluice.operators.loading import insert_ignore, keys_present, upsert
+from sluice.operators.keys import dense_keys, highest_key, key_ranges
+from sluice.operators.loading import insert_ignore, keyless_balance, keys_present, upsert
+from sluice.session import stored
 
 # Stripes bound the rows that one task numbers (operators/keys.py): ten billion
-# customers make stripes of 2.5 million rows, a trillion facts of 15 million.
+# customers make stripes of 2.5 million rows.
 DIMENSION_STRIPES = 4096
-FACT_STRIPES = 65536
 
 
 # -- dimensions ---------------------------------------------------------------
@@ -94,8 +94,9 @@ def looked_up(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame
 
     Facts, audit and gap report all follow from this table, so a load writes it once.
     """
+    from_shard = F.col("shard_order") if "shard_order" in orders.columns else F.lit(0)
     known = orders.select("order_id", "customer_id", "product_id", "quantity", "total_price",
-                          "order_date")
+                          "order_date", from_shard.alias("shard_order"))
     return known.join(_product_lookup(dim_product), "product_id", "left").join(
         _customer_lookup(dim_customer), "customer_id", "left")
 
@@ -116,22 +117,35 @@ def lines_of(found: DataFrame) -> DataFrame:
             date_key(F.col("order_date")).alias("date_key"),
             "customer_key", "product_key",
             F.col("order_id").alias("source_order_id"),
-            "quantity", "unit_price", "total_price",
+            "quantity", "unit_price", "total_price", "shard_order",
         )
     )
 
 
+# Columns that make two orders without id the same, and settle which row of an id counts.
 FACT_SEQUENCE = ["date_key", "customer_key", "product_key", "quantity", "total_price"]
 
 
 def new_facts(existing: DataFrame | None, lines: DataFrame,
               batch_keys: DataFrame | None = None) -> DataFrame:
-    """Lines to append, one per order id not loaded yet, without their sale key."""
-    return insert_ignore(existing, lines, "source_order_id", FACT_SEQUENCE, batch_keys)
+    """Lines to append, without their sale key.
+
+    One per order id not loaded yet, of the first shard that has it; and orders without id,
+    unless the same were loaded before (``insert_ignore``).
+    """
+    return insert_ignore(existing, lines, "source_order_id", ["shard_order", *FACT_SEQUENCE], batch_keys,
+                         FACT_SEQUENCE).drop("shard_order")
 
 
-def number_facts(facts: DataFrame, after: Column, stripes: int = FACT_STRIPES) -> DataFrame:
-    return assign_keys(facts, "sale_key", "source_order_id", after, stripes)
+def number_facts(facts: DataFrame, after: Column) -> DataFrame:
+    """Facts under dense sale keys above ``after``, in load order: by date, then order id.
+
+    The new facts are stored, as they are ranged, counted and numbered.
+    """
+    kept = stored(facts, "new-facts")
+    ranges = stored(key_ranges(kept, "date_key", "source_order_id"), "fact-ranges")
+    return dense_keys(kept, "sale_key", "date_key", "source_order_id",
+                      ["customer_key", "product_key", "quantity", "total_price", "unit_price"], after, ranges)
 
 
 def load_facts(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
@@ -171,24 +185,33 @@ def load_audit(orders: DataFrame, dim_customer: DataFrame, dim_product: DataFram
 def audit_of(found: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """The audit row of looked-up orders."""
     matched = F.col("customer_key").isNotNull() & F.col("product_key").isNotNull()
+    known = found.where(F.col("order_id").isNotNull())
     per_order = (
-        found.groupBy(F.col("order_id").alias("source_order_id"))
+        known.groupBy(F.col("order_id").alias("source_order_id"))
         .agg(F.count_if(matched).alias("loadable"), F.count_if(~matched).alias("unmatched"))
     )
     if existing is None:
         per_order = per_order.withColumn("present", F.lit(False))
     else:
-        known = keys_present(existing, _order_ids(found), "source_order_id")
+        there = keys_present(existing, _order_ids(known), "source_order_id")
         per_order = per_order.join(
-            known.withColumn("present", F.lit(True)), "source_order_id", "left"
+            there.withColumn("present", F.lit(True)), "source_order_id", "left"
         ).withColumn("present", F.coalesce("present", F.lit(False)))
-    inserts = (F.col("loadable") > 0) & ~F.col("present")
+    inserts = F.when((F.col("loadable") > 0) & ~F.col("present"), 1).otherwise(0)
+    # Orders without id, by kind, as ``new_facts`` takes them.
+    kinds = keyless_balance(existing, lines_of(found), "source_order_id", FACT_SEQUENCE)
+    added = F.greatest(F.col("batch") - F.col("present"), F.lit(0))
+    without_id = found.where(F.col("order_id").isNull() & ~matched).select(
+        F.lit(0).alias("inserted"), F.lit(0).alias("loadable"), F.lit(1).alias("unmatched"))
+    counted = per_order.select(inserts.alias("inserted"), "loadable", "unmatched").unionByName(
+        kinds.select(added.alias("inserted"), F.col("batch").alias("loadable"), F.lit(0).alias("unmatched"))
+    ).unionByName(without_id)
 
     def total(column: Column) -> Column:
         return F.coalesce(F.sum(column), F.lit(0)).cast("long")
 
-    return per_order.agg(
-        F.count_if(inserts).alias("inserted"),
-        total(F.col("loadable") - F.when(inserts, 1).otherwise(0)).alias("already_present"),
+    return counted.agg(
+        total(F.col("inserted")).alias("inserted"),
+        total(F.col("loadable") - F.col("inserted")).alias("already_present"),
         total(F.col("unmatched")).alias("unmatched"),
     )

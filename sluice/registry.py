@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators import checks, cleaning, dedupe, matching
 from sluice.plans import batch, engagement, findings, quality, reports, sales, scoring, warehouse
-from sluice.session import prepare, scratch_path
+from sluice.session import prepare, scratch_path, stored
 from sluice.sources import files
 from sluice.streaming import activity, alerts, sinks
 from sluice.views import TestTables
@@ -28,6 +28,7 @@ NULLABLE = {
     "dataset_presence": ["row_count"],
     "landing_interactions": ["content_id"],
     "viewer_growth": ["previous_viewer_count"],
+    "warehouse_two_loads": ["sale_key", "source_order_id"],
 }
 
 
@@ -53,13 +54,6 @@ def query(plan: Callable[[TestTables], DataFrame]) -> Callable[[TestTables], Dat
     return plan
 
 
-def as_table(t: TestTables, df: DataFrame, name: str) -> DataFrame:
-    """Write an intermediate table that is used more than once, and read it back."""
-    path = scratch_path(t.spark, f"{name}-{uuid4().hex}")
-    files.write_table(df, path)
-    return files.read_table(t.spark, path, df.schema)
-
-
 # -- warehouse ----------------------------------------------------------------
 
 def both_shards(t: TestTables) -> DataFrame:
@@ -134,7 +128,7 @@ def fact_sales_rerun(t):
     loaded = warehouse.load_facts(
         t.sales_orders, customers.join(of_shard, "source_customer_id", "left_semi"), products
     )
-    existing = as_table(t, loaded, "fact-sales")
+    existing = stored(loaded, "fact-sales")
     return warehouse.load_facts(t.sales_orders, customers, products, existing)
 
 
@@ -145,6 +139,57 @@ def _partial_dimensions(t: TestTables) -> tuple[DataFrame, DataFrame]:
     return customers, warehouse.load_products(None, products)
 
 
+def two_loads(t: TestTables) -> batch.Warehouse:
+    """A warehouse loaded twice, by shard.
+
+    First the orders of the early years: those of south-eastern customers on one shard, the
+    others on the other one, which also has every tenth order of the first at quantity 0. Then
+    all customers, those of one nation moved, and all orders again from the order log, which
+    holds those of the first line of an order twice, and those of the last lines without id too.
+    """
+    root = scratch_path(t.spark, f"warehouse-{uuid4().hex}")
+    house = batch.Warehouse(t.spark, root)
+    days = warehouse.whole_years(t.sales_orders, "order_date")
+    of_se = t.shard("SE").select("customer_id")
+    early = t.sales_orders.where(F.year("order_date") < EARLY)
+    se = early.join(of_se, "customer_id", "left_semi")
+    repeated = se.where(F.col("order_id") % 10 == 1).withColumn("quantity", F.lit(0))
+    ne = early.join(of_se, "customer_id", "left_anti").select(se.columns).unionByName(repeated)
+    house.load_shards(1, {"SE": batch.Shard(t.shard("SE"), t.products, se),
+                          "NE": batch.Shard(t.shard("NE"), t.products, ne)}, t.employees, t.departments, days)
+    moved = t.shard("NE").withColumn("city", F.when(F.col("state") == "NATION_12", "moved").otherwise(F.col("city")))
+    first = t.sales_orders.where(F.col("order_id") % 10 == 1)
+    without_id = t.sales_orders.where(F.col("order_id") % 10 == 7).withColumn("order_id", F.lit(None).cast("bigint"))
+    log = t.sales_orders.unionByName(first).unionByName(without_id)
+    for _ in range(2):  # the second load is run again, and changes nothing
+        house.load_shards(2, {"SE": batch.Shard(t.shard("SE"), t.products), "NE": batch.Shard(moved, t.products)},
+                          t.employees, t.departments, days, log)
+    return house
+
+
+EARLY = 1997
+
+
+@query
+def warehouse_two_loads(t):
+    """Facts of two loads with the present city of their customers.
+
+    Orders without id stand last of their day; which of them has which key isn't shown.
+    """
+    house = two_loads(t)
+    facts = t.spark.read.parquet(f"{house.root}/fact_sales")
+    people = house.whole("dim_customer", 2).select("customer_key", "source_customer_id", "city")
+    return facts.join(people, "customer_key").select(
+        F.col("load").cast("int").alias("load"), F.when(F.col("source_order_id").isNotNull(), F.col("sale_key")).alias("sale_key"),
+        "date_key", "source_customer_id", "city", "source_order_id", "quantity", "total_price")
+
+
+@query
+def warehouse_audits(t):
+    """What two loads inserted, found present and could not match."""
+    return t.spark.read.parquet(f"{two_loads(t).root}/load_audit").withColumn("load", F.col("load").cast("int"))
+
+
 @query
 def fact_load_audit(t):
     customers, products = _partial_dimensions(t)
@@ -561,20 +606,20 @@ def run_stream(t: TestTables, name: str, sink, stream: DataFrame) -> str:
     return f"{base}/data"
 
 
-def stored(t: TestTables, path: str, stream: DataFrame) -> DataFrame:
+def written(t: TestTables, path: str, stream: DataFrame) -> DataFrame:
     return t.spark.read.schema(stream.schema).parquet(path)
 
 
 @query
 def stream_parse_events(t):
     stream = event_stream(t)
-    return stored(t, run_stream(t, "parsed", sinks.to_table, stream), stream)
+    return written(t, run_stream(t, "parsed", sinks.to_table, stream), stream)
 
 
 def changed(t: TestTables, name: str, stream: DataFrame, *keys: str) -> DataFrame:
     """The latest state of each key of a stream that ran in update mode."""
     path = run_stream(t, name, sinks.to_changes, stream)
-    return sinks.latest(stored(t, path, stream.withColumn("batch", F.lit(0))), *keys)
+    return sinks.latest(written(t, path, stream.withColumn("batch", F.lit(0))), *keys)
 
 
 WINDOW_KEYS = ("window_start", "window_end", "content_id", "title")
@@ -590,7 +635,7 @@ def stream_concurrent_viewers(t):
 def stream_closed_viewers(t):
     """Windows that were closed by the watermark when the input ended."""
     stream = alerts.concurrent_viewers(event_stream(t))
-    return stored(t, run_stream(t, "concurrent", sinks.to_table, stream), stream)
+    return written(t, run_stream(t, "concurrent", sinks.to_table, stream), stream)
 
 
 @query
@@ -602,7 +647,7 @@ def stream_viewer_windows(t):
 def stream_viewer_snapshot(t):
     """The whole window table, written anew by each batch."""
     stream = alerts.viewer_windows(event_stream(t))
-    return stored(t, run_stream(t, "windows", sinks.to_snapshot, stream), stream)
+    return written(t, run_stream(t, "windows", sinks.to_snapshot, stream), stream)
 
 
 @query
@@ -620,7 +665,7 @@ def stream_poor_sessions(t):
 
 @query
 def cost_decile_share(t):
-    return findings.cost_decile_share(as_table(t, content_performance(t), "content-performance"))
+    return findings.cost_decile_share(stored(content_performance(t), "content-performance"))
 
 
 @query

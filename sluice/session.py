@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the plans rely on. Anything sized to a cluster (executors, memory,
 # number of shuffle partitions) is left to spark-submit.
@@ -60,3 +61,20 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """Place for one named intermediate table of this application."""
     return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{name}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that is used more than once to the shared folder and read it back.
+
+    The plan behind it is computed once, and it outlives the executors that made it.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove an intermediate table that nothing reads any more; a missing one is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

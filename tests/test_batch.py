@@ -107,3 +107,29 @@ def test_warehouse_loads(spark, frame, tmp_path):
         assert wh.whole("dim_employee", 2).count() == 1
     joined = wh.grown("fact_sales", 2).join(wh.whole("dim_customer", 2), "customer_key")
     assert joined.where(F.col("state") == "NY").count() == 1
+
+
+def test_shards_and_order_log(spark, frame, tmp_path):
+    """Two shards, one product copy, staff, and orders on the shards and in a log."""
+    wh = batch.Warehouse(spark, str(tmp_path))
+    days = spark.sql("SELECT DATE'2026-01-01' AS first_day, DATE'2026-12-31' AS last_day")
+    staff = frame(schemas.EMPLOYEES, (1, "a", "b", "e", "j", 10)), frame(schemas.DEPARTMENTS, (10, "HR", "Tampa"))
+    products = frame(schemas.PRODUCTS, (10, "pen", "office", Decimal(2)))
+
+    def orders(*rows):
+        return frame(schemas.SALES_ORDERS, *[(*o, Decimal(5), dt.date(2026, 3, day)) for *o, day in rows])
+
+    se = batch.Shard(frame(schemas.CUSTOMERS, (1, "Ann", "A", "e", "c", "FL")), products,
+                     orders((1, 1, 10, 1, 9), (2, 1, 10, 1, 4)))
+    ne = batch.Shard(frame(schemas.CUSTOMERS, (2, "Bob", "B", "e", "c", "NY")), products.limit(0),
+                     orders((3, 2, 10, 1, 5), (1, 2, 10, 77, 1)))
+    for _ in range(2):
+        assert tuple(wh.load_shards(1, {"SE": se, "NE": ne}, *staff, days).first()) == (3, 1, 0)
+    facts = wh.grown("fact_sales", 1)
+    assert tuples(facts, "sale_key", "source_order_id", "quantity") == [(1, 2, 1), (2, 3, 1), (3, 1, 1)]
+    log = orders((4, 2, 10, 1, 1), (4, 2, 10, 8, 2), (2, 1, 10, 1, 4), (None, 1, 10, 6, 7))
+    both = {"SE": batch.Shard(se.customers, products), "NE": batch.Shard(ne.customers, products)}
+    for _ in range(2):
+        assert tuple(wh.load_shards(2, both, *staff, days, log).first()) == (2, 1, 0)
+        assert tuples(wh.grown("fact_sales", 2).where("sale_key > 3"), "sale_key", "source_order_id", "quantity") == [
+            (4, 4, 1), (5, None, 6)]

@@ -13,7 +13,7 @@ from sluice.operators.dedupe import (
     replica_difference,
     shard_clashes,
 )
-from sluice.operators.keys import assign_keys, stripe_of
+from sluice.operators.keys import assign_keys, dense_keys, key_ranges, stripe_of
 from sluice.operators.loading import insert_ignore, upsert
 from sluice.plans import sales, warehouse
 
@@ -76,10 +76,41 @@ def test_stripes_are_even(spark):
     assert counts[0] > 1000 and counts[1] < 1500
 
 
+def dense(rows, pieces, after=0):
+    ranges = key_ranges(rows, "day", "id", pieces)
+    return dense_keys(rows, "sk", "day", "id", ["v", "w"], F.lit(after), ranges, pieces)
+
+
+@pytest.mark.parametrize("pieces", [1, 3, 64])
+def test_dense_keys_follow_group_and_key(frame, pieces):
+    rng = random.Random(pieces)
+    # Nine of ten rows on one day, ids far apart, repeated, negative and missing; a day missing.
+    rows = [(rng.choice([1] * 18 + [2, None]), rng.choice([None, 7, -3, 10**17, rng.randrange(500), rng.randrange(10**6)]),
+             rng.randrange(5), rng.randrange(3)) for _ in range(900)]
+    df = frame("day INT, id BIGINT, v INT, w INT", *rows).repartition(7)
+    got = dense(df, pieces, 1000).collect()
+    assert sorted(r["sk"] for r in got) == list(range(1001, 1901))
+    last = 10**18
+
+    def order(r):
+        return (r["day"] is None, r["day"] or 0, r["id"] is None, last if r["id"] is None else r["id"])
+
+    by_key = sorted(got, key=lambda r: r["sk"])
+    assert [order(r) for r in by_key] == sorted(order(r) for r in got)
+    with_id = [(*order(r), r["v"], r["w"]) for r in by_key if r["id"] is not None]
+    assert with_id == sorted(with_id)
+    assert sorted(map(tuple, got)) == sorted(map(tuple, dense(df.repartition(3), pieces, 1000).collect()))
+
+
+def test_dense_keys_of_nothing(frame):
+    assert dense(frame("day INT, id BIGINT, v INT, w INT"), 4).collect() == []
+
+
 def test_dedupe_takes_the_first_by_order_then_by_the_rest(frame):
     df = frame("id INT, at INT, v STRING", (1, 2, "a"), (1, 1, "z"), (1, 1, "b"), (2, 5, None),
                (None, 1, "n"), (None, 2, "m"))
-    assert tuples(dedupe_first(df, "id", ["at"])) == [(None, 1, "n"), (1, 1, "b"), (2, 5, None)]
+    assert tuples(dedupe_first(df, "id", ["at"])) == [
+        (None, 1, "n"), (None, 2, "m"), (1, 1, "b"), (2, 5, None)]  # rows without key all stay
 
 
 def test_hot_key_is_reduced_before_the_shuffle(spark):
@@ -178,6 +209,27 @@ def test_an_order_is_taken_from_its_first_row_that_can_be_loaded(frame, star):
     assert tuples(warehouse.load_audit(batch, *star)) == [(1, 0, 1)]
 
 
+def test_orders_without_id_are_loaded_once_each(frame, star):
+    same = (None, 1, 10, 3, 6, DAY)
+    batch = orders(frame, same, same, (None, 2, 20, 1, 5, DAY), (None, 7, 20, 1, 5, DAY), (100, 1, 10, 3, 6, DAY))
+    facts = warehouse.load_facts(batch, *star)
+    assert tuples(facts, "source_order_id", "total_price") == [(None, 5), (None, 6), (None, 6), (100, 6)]
+    assert tuples(facts, "sale_key") == [(1,), (2,), (3,), (4,)]
+    assert tuples(warehouse.load_audit(batch, *star)) == [(4, 0, 1)]
+    # The same batch again adds nothing; one more of a kind adds one.
+    assert warehouse.load_facts(batch, *star, facts).count() == 0
+    assert tuples(warehouse.load_audit(batch, *star, facts)) == [(0, 4, 1)]
+    more = batch.union(orders(frame, same))
+    assert tuples(warehouse.load_facts(more, *star, facts), "sale_key", "total_price") == [(5, 6)]
+    assert tuples(warehouse.load_audit(more, *star, facts)) == [(1, 4, 1)]
+
+
+def test_an_id_on_both_shards_is_loaded_from_the_first(frame, star):
+    merged = merge_shards({"SE": orders(frame, (1, 2, 20, 9, 9, DAY)),
+                           "NE": orders(frame, (1, 1, 10, 1, 1, DAY), (2, 1, 10, 1, 4, DAY))})
+    assert tuples(warehouse.load_facts(merged, *star), "sale_key", "source_order_id", "total_price") == [(1, 1, 9), (2, 2, 4)]
+
+
 def test_insert_ignore_does_not_shuffle_the_existing_table(spark):
     existing = spark.range(100000).withColumn("v", F.lit(1))
     batch = spark.range(99990, 100010).withColumn("v", F.lit(2))
