@@ -77,7 +77,7 @@ CTES |= {
         SELECT year(order_date)::int * 10000 + month(order_date)::int * 100
                  + day(order_date)::int AS date_key,
                customer_key, product_key, order_id AS source_order_id, quantity,
-               p.unit_price, total_price
+               p.unit_price, total_price, source_customer_id, source_product_id
         FROM sales_orders
         JOIN dim_c ON customer_id = source_customer_id
         JOIN dim_p p ON product_id = source_product_id""",
@@ -128,13 +128,15 @@ LOADS = f"""
 second_load AS (
     SELECT (SELECT count(*) FROM first_load)
              + row_number() OVER (ORDER BY date_key, source_order_id NULLS LAST) AS sale_key, *
-    FROM (SELECT * FROM first_lines WHERE date_key >= {EARLY}0000
+    FROM (SELECT * FROM lines WHERE date_key >= {EARLY}0000 AND source_order_id IS NOT NULL
+          QUALIFY row_number() OVER (PARTITION BY source_order_id ORDER BY date_key, source_customer_id,
+                                     source_product_id, quantity, total_price) = 1
           UNION ALL SELECT * REPLACE (NULL::bigint AS source_order_id) FROM lines WHERE source_order_id % 10 = 7)),
 loads AS (SELECT 1 AS load, * FROM first_load UNION ALL SELECT 2, * FROM second_load)"""
 define("warehouse_two_loads", f"""
 {LOADS}
 SELECT load, (CASE WHEN source_order_id IS NOT NULL THEN sale_key END)::double AS sale_key, date_key,
-       source_customer_id, CASE WHEN state = 'NATION_12' THEN 'moved' ELSE city END AS city,
+       dim_c.source_customer_id, CASE WHEN state = 'NATION_12' THEN 'moved' ELSE city END AS city,
        source_order_id::double AS source_order_id, quantity, total_price::double AS total_price
 FROM loads JOIN dim_c USING (customer_key)""")
 define("warehouse_audits", f"""
