@@ -53,6 +53,8 @@ class Lake:
     spread: int | None = None
     # Declared columns of landing datasets where they differ from the usual ones.
     schemas: dict[str, str] = field(default_factory=dict)
+    # Keep viewing rows that agree in all columns after cleaning once.
+    distinct_viewing: bool = False
     _staged: dict[str, DataFrame] | None = field(default=None, repr=False)
 
     def landing(self) -> dict[str, DataFrame]:
@@ -112,7 +114,7 @@ def transform(lake: Lake) -> None:
     delivery = raw["streaming-quality"]
     viewing, interactions = together(
         lake.spark,
-        partial(lake.store, "curated", "viewing-history", clean_viewing(raw["viewing-history"])),
+        partial(lake.store, "curated", "viewing-history", clean_viewing(raw["viewing-history"], distinct=lake.distinct_viewing)),
         partial(lake.store, "curated", "user-interactions",
                 clean_interactions(raw["user-interactions"])),
     )

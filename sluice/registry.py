@@ -395,7 +395,7 @@ def landing_json(t):
     root = scratch_path(t.spark, f"json-{uuid4().hex}")
     path = files.zone_path(root, "landing", "content-catalog")
     t.content_catalog.write.option("compression", "gzip").json(path)
-    return files.read_landing(t.spark, root, "content-catalog")
+    return files.read_landing(t.spark, root, "content-catalog").drop(files.UNDECLARED)
 
 
 def land(df: DataFrame, root: str, dataset: str) -> None:
@@ -415,7 +415,11 @@ def untidy_landing(t: TestTables, dataset: str, df: DataFrame, spoilt: str) -> D
     broken = F.when(F.col("user_id") % 97 == 0, "n/a").otherwise(F.col(spoilt).cast("string"))
     build = F.concat(F.lit("b"), F.col("user_id") % 3).alias("app_build")
     land(df.withColumn(spoilt, broken).select(build, *reversed(df.columns)), root, dataset)
-    return files.read_landing(t.spark, root, dataset)
+    landed = files.read_landing(t.spark, root, dataset)
+    if files.UNDECLARED not in landed.columns:
+        return landed
+    read = F.variant_get(files.UNDECLARED, "$.app_build", "string")
+    return landed.withColumn("app_build", read).drop(files.UNDECLARED)
 
 
 def day_text(viewing: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -35,33 +35,64 @@ def read_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def by_name(df: DataFrame, schema: str, optional: bool = False) -> DataFrame:
+def by_name(df: DataFrame, schema: str) -> DataFrame:
     """Text columns under declared names and types, wherever they stand, then all others.
 
     A value that isn't of the declared type becomes null. A declared column that isn't there is
-    an error or, if ``optional``, null.
+    an error.
     """
     declared = StructType.fromDDL(schema)
     absent = [f.name for f in declared if f.name not in df.columns]
-    if absent and not optional:
+    if absent:
         raise ValueError(f"columns {', '.join(absent)} are not there")
-    typed = [
-        (F.lit(None).cast(f.dataType) if f.name in absent else F.col(f"`{f.name}`").try_cast(f.dataType)).alias(f.name)
-        for f in declared
-    ]
+    typed = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in declared]
     return df.select(*typed, *[F.col(f"`{c}`") for c in df.columns if c not in declared.names])
 
 
+#: JSON fields that a schema doesn't name, as one variant column.
+UNDECLARED = "undeclared"
+
+
+def _json_text(name: str) -> Column:
+    """A field of the parsed line as text, null if it isn't there."""
+    quoted = name.replace("\\", "\\\\").replace("'", "\\'")
+    return F.try_variant_get(F.col("line"), f"$['{quoted}']", "string")
+
+
+def _json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of JSON files, each parsed once: (value, line)."""
+    text = spark.read.text(path).where(F.trim("value") != "")
+    return text.select("value", F.try_parse_json("value").alias("line"))
+
+
+def read_json_named(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines by field name in one pass: declared columns, then ``undeclared``.
+
+    Each line is parsed into a variant, from which the declared fields are cast; numbers read as
+    text are in plain form (1.50 is 1.5). What is left of the object is kept as one variant, null
+    if nothing is; its fields can be had with ``variant_get``. A line that is no JSON object, or
+    holds a field twice, has no fields and is kept there as text.
+    """
+    declared = StructType.fromDDL(schema)
+    lines = _json_lines(spark, path)
+    fields = F.expr("try_cast(line AS map<string, variant>)")
+    rest = F.map_filter(fields, lambda name, _: ~name.isin(*declared.names))
+    undeclared = F.when(fields.isNull(), F.col("value").cast("variant")).when(
+        F.size(rest) > 0, F.to_variant_object(rest))
+    return lines.select(
+        *[_json_text(f.name).try_cast(f.dataType).alias(f.name) for f in declared],
+        undeclared.alias(UNDECLARED))
+
+
 def read_named(spark: SparkSession, path: str, fmt: str, schema: str) -> DataFrame:
-    """CSV or JSON by column name, with all its columns.
+    """CSV or JSON by column name, with all its columns, in one pass over the data.
 
-    The names of CSV columns come from the header line, without a pass over the data; JSON
-    objects have to be read through for them, and leave out what is null. A folder without files
-    has the declared columns and no rows.
+    The names of CSV columns come from the header line; JSON fields that aren't declared are one
+    column (``read_json_named``). A folder without files has the declared columns and no rows.
     """
+    if fmt == "json":
+        return read_json_named(spark, path, schema)
     try:
-        if fmt == "json":
-            return by_name(spark.read.option("primitivesAsString", True).json(path), schema, optional=True)
         names = spark.read.option("header", True).csv(path).columns
     except AnalysisException as problem:
         if problem.getCondition() != "UNABLE_TO_INFER_SCHEMA":
@@ -76,9 +107,11 @@ def read_named(spark: SparkSession, path: str, fmt: str, schema: str) -> DataFra
 def uncast(df: DataFrame, path: str, fmt: str, schema: str) -> DataFrame:
     """One row: for each declared column, the values of the source that were not of its type."""
     spark = df.sparkSession
-    raw = (spark.read.option("primitivesAsString", True).json(path) if fmt == "json"
-           else spark.read.option("header", True).csv(path))
     declared = StructType.fromDDL(schema)
+    if fmt == "json":
+        raw = _json_lines(spark, path).select(*[_json_text(f.name).alias(f.name) for f in declared])
+    else:
+        raw = spark.read.option("header", True).csv(path)
     return raw.agg(*[
         F.count_if(F.col(f"`{f.name}`").isNotNull() & F.col(f"`{f.name}`").try_cast(f.dataType).isNull()).alias(f.name)
         for f in declared if f.name in raw.columns
@@ -89,8 +122,9 @@ def read_landing(spark: SparkSession, root: str, dataset: str,
                  spread: int | None = None, schema: str | None = None) -> DataFrame:
     """A landing dataset: its declared columns by name, then any others.
 
-    ``schema`` replaces the declared types, for example where ids are text. A gzip file is read by one task. With few large files, ``spread`` deals the
-    rows out to that many tasks for the work that follows.
+    ``schema`` replaces the declared types, for example where ids are text. A gzip file is read
+    by one task. With few large files, ``spread`` deals the rows out to that many tasks for the
+    work that follows.
     """
     fmt, declared = LANDING[dataset]
     df = read_named(spark, zone_path(root, "landing", dataset), fmt, schema or declared)

@@ -38,10 +38,45 @@ def test_missing_column_is_an_error(spark, tmp_path):
 
 
 def test_json_keeps_other_fields(spark, tmp_path):
-    _landing(tmp_path, "user-interactions", "a.json",
-             '{"user_id": 1, "content_id": 5, "timestamp": "t", "interaction_type": "like"}\n')
+    _landing(tmp_path, "user-interactions", "a.json", "\n".join([
+        '{"user_id": 1, "content_id": 5, "timestamp": "t", "interaction_type": "like", "at": {"x": [1, null]}}',
+        '{"user_id": "2", "content_id": "n/a", "search_query": 7.50}',
+        '{"user_id": 1.5, "content_id": null, "search_query": "é \\"q\\""}', "", "broken {", "[3]",
+        '{"user_id": 4, "user_id": 5}']))
+    path = str(tmp_path / "landing/user-interactions")
     df = files.read_landing(spark, str(tmp_path), "user-interactions")
-    assert tuples(df, "user_id", "content_id", "search_query", "interaction_type") == [(1, 5, None, "like")]
+    declared = ["user_id", "content_id", "timestamp", "search_query"]
+    assert df.columns == [*declared, files.UNDECLARED]
+    rest = F.col(files.UNDECLARED)
+    got = tuples(df.select(*declared, F.variant_get(rest, "$.interaction_type", "string").alias("kind"),
+                           F.to_json(rest).alias("rest")))
+    assert got == [
+        (None, None, None, None, None, '"[3]"'), (None, None, None, None, None, '"broken {"'),
+        (None, None, None, None, None, '"{\\"user_id\\": 4, \\"user_id\\": 5}"'),
+        (None, None, None, 'é "q"', None, None), (1, 5, "t", None, "like", '{"at":{"x":[1,null]},"interaction_type":"like"}'),
+        (2, None, None, "7.5", None, None)]
+    counted = files.uncast(df, path, *files.LANDING["user-interactions"]).first()
+    assert (counted["user_id"], counted["content_id"]) == (1, 1)
+    df.write.parquet(str(tmp_path / "kept"))  # the variant can be stored
+    assert spark.read.parquet(str(tmp_path / "kept")).where(F.variant_get(rest, "$.at.x[0]", "int") == 1).count() == 1
+
+
+def test_json_is_read_in_one_pass(spark, tmp_path):
+    _landing(tmp_path, "user-interactions", "a.json", '{"user_id": 1}\n')
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("reading", "no job before the read itself")
+    try:
+        df = files.read_landing(spark, str(tmp_path), "user-interactions")
+        assert list(jobs.getJobIdsForGroup("reading")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("parseJson") == 1
+
+
+def test_json_folder_without_files(spark, tmp_path):
+    (tmp_path / "landing" / "user-interactions").mkdir(parents=True)
+    assert files.read_landing(spark, str(tmp_path), "user-interactions").count() == 0
 
 
 def test_loads_refuse_missing_and_later_loads(spark, tmp_path):

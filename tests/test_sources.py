@@ -32,7 +32,8 @@ def test_landing_schemas_are_never_guessed(spark, tmp_path):
     for name, (_, schema) in files.LANDING.items():
         (tmp_path / "landing" / name).mkdir(parents=True)
         df = files.read_landing(spark, str(tmp_path), name)
-        assert df.schema == spark.createDataFrame([], schema).schema
+        assert df.drop(files.UNDECLARED).schema == spark.createDataFrame([], schema).schema
+        assert (files.UNDECLARED in df.columns) == (files.LANDING[name][0] == "json")
 
 
 def test_zone_names():
