@@ -462,6 +462,53 @@ for name in ("concurrent_viewers", "stream_concurrent_viewers"):
 define("stream_closed_viewers", """
 SELECT * FROM sliding WHERE window_end <=
   (SELECT date_trunc('millisecond', max(event_time)) - INTERVAL 15 MINUTE FROM plays)""")
+WATERMARK = "date_trunc('millisecond', max(event_time)) - INTERVAL 30 MINUTE"
+CTES |= {"gap_sessions": """
+SELECT min(event_time) AS session_start, max(event_time) + INTERVAL 6 HOUR AS session_end, session_id,
+       count(*) FILTER (action = 'buffering') AS buffering_count, count(*) AS events
+FROM (SELECT *, sum(fresh) OVER (PARTITION BY session_id ORDER BY event_time RANGE UNBOUNDED PRECEDING) AS n
+      FROM (SELECT *, CASE WHEN event_time <= lag(event_time) OVER (PARTITION BY session_id ORDER BY event_time)
+                                + INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM activity))
+GROUP BY session_id, n HAVING buffering_count > 1"""}
+define("poor_sessions_gap", "SELECT * FROM gap_sessions")
+define("stream_poor_sessions_gap", f"""
+SELECT * FROM gap_sessions WHERE session_end <= (SELECT {WATERMARK} FROM activity)""")
+define("stream_last_seen_spikes", f"""
+SELECT * FROM grown WHERE previous_viewer_count > 0 AND growth_ratio > 2.0
+  AND window_end <= (SELECT {WATERMARK} FROM plays)""")
+
+
+def arrived(table: str, watermark: str) -> str:
+    """Events by the part they arrive in, and the watermark before each part."""
+    return f"""
+, parts AS (SELECT *, CASE WHEN event_id::bigint % 10 = 0 THEN 3 WHEN day(event_time) <= 15 THEN 1 ELSE 2 END AS part
+            FROM activity),
+marks AS (SELECT part, coalesce((SELECT {watermark} FROM parts q WHERE q.part < p.part {table}),
+                                TIMESTAMP '1970-01-01') AS watermark
+          FROM (SELECT DISTINCT part FROM parts) p)"""
+
+
+define("stream_lateness", f"""
+{arrived("AND q.action = 'play'", WATERMARK)},
+late AS (SELECT DISTINCT part, time_bucket(INTERVAL 15 MINUTE, event_time) AS w, content_id, title
+         FROM parts JOIN marks USING (part)
+         WHERE action = 'play' AND time_bucket(INTERVAL 15 MINUTE, event_time) + INTERVAL 15 MINUTE <= watermark)
+SELECT m.part::int AS part, (SELECT count(*) FROM parts p WHERE p.part = m.part) AS input_rows,
+       (SELECT count(*) FROM late l WHERE l.part = m.part) AS dropped, watermark FROM marks m""")
+define("stream_late_events", f"""
+{arrived("", WATERMARK)}
+SELECT (m.part - 1)::bigint AS batch, count(*) AS events, count(*) FILTER (event_time < watermark) AS late,
+       0::bigint AS without_time, watermark FROM marks m JOIN parts USING (part) GROUP BY m.part, watermark""")
+define("stream_rejected", """
+, told AS (SELECT *, event_id::bigint AS n FROM activity),
+judged AS (SELECT *, CASE WHEN n % 7 = 0 THEN 'broken JSON' WHEN n % 11 = 0 THEN 'no value' WHEN n % 13 = 0 THEN 'no known field'
+                          WHEN n % 17 = 0 THEN 'no usable time' END AS reason FROM told)
+SELECT CASE WHEN reason IS NULL THEN 'parsed' ELSE 'rejected' END AS status, reason,
+       CASE WHEN reason IS NULL THEN event_id END AS event_id, CASE WHEN reason IS NULL THEN event_time END AS event_time,
+       CASE WHEN reason IS NOT NULL THEN session_id END AS key,
+       CASE reason WHEN 'broken JSON' THEN '{"event_id": "' || event_id WHEN 'no known field' THEN '{"other": ' || event_id || '}'
+            WHEN 'no usable time' THEN '{"event_id": "' || event_id || '", "event_ts": "noon"}' END AS value
+FROM judged""")
 for name in ("poor_sessions", "stream_poor_sessions"):
     define(name, """
 SELECT session_id, count(*) FILTER (action = 'buffering') AS buffering_count

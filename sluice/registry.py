@@ -6,14 +6,14 @@ from collections.abc import Callable
 from functools import reduce
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.operators import checks, cleaning, dedupe, matching
 from sluice.plans import batch, engagement, findings, quality, reports, sales, scoring, warehouse
 from sluice.session import prepare, scratch_path, stored
 from sluice.sources import files
-from sluice.streaming import activity, alerts, sinks
+from sluice.streaming import activity, alerts, lateness, sinks, spikes
 from sluice.views import TestTables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -647,11 +647,120 @@ def stream_viewer_windows(t):
     return changed(t, "windows", alerts.viewer_windows(event_stream(t)), *WINDOW_KEYS)
 
 
+# Events that arrive in several parts, each taken in by a stream that goes on where it was.
+
+BY_TIME = ["day(ts) <= 10", "day(ts) > 10 AND day(ts) <= 20", "day(ts) > 20"]
+LATE_LAST = ["day(ts) <= 15 AND event_id % 10 <> 0", "day(ts) > 15 AND event_id % 10 <> 0", "event_id % 10 = 0"]
+
+
+def run_parts(t: TestTables, name: str, parts: list[str], start) -> str:
+    """Run ``start(messages, data, checkpoint)`` to its end after each part of the events arrives."""
+    base = scratch_path(t.spark, f"{name}-{uuid4().hex}")
+    events = t.base("events")
+    for part in parts:
+        events.where(part).write.mode("append").parquet(f"{base}/arrived")
+        source = t.spark.readStream.schema(events.schema).parquet(f"{base}/arrived")
+        sinks.finish(start(t.messages(source), f"{base}/data", f"{base}/checkpoint"))
+    return f"{base}/data"
+
+
 @query
 def stream_viewer_snapshot(t):
-    """The whole window table, written anew by each batch."""
-    stream = alerts.viewer_windows(event_stream(t))
-    return written(t, run_stream(t, "windows", sinks.to_snapshot, stream), stream)
+    """The whole window table after several batches, each of which publishes it anew."""
+    def start(messages, data, checkpoint):
+        return sinks.to_snapshot(alerts.viewer_windows(activity.parse_activity(messages)), data, checkpoint)
+
+    return sinks.read_snapshot(t.spark, run_parts(t, "snapshot", BY_TIME, start))
+
+
+@query
+def stream_last_seen_spikes(t):
+    """Spikes against the last window seen, from state that the stream keeps between batches."""
+    plans = []
+
+    def start(messages, data, checkpoint):
+        plans.append(spikes.last_seen_spikes(activity.parse_activity(messages)))
+        return sinks.to_table(plans[-1], data, checkpoint)
+
+    path = run_parts(t, "spikes", BY_TIME, start)
+    return written(t, path, plans[-1])
+
+
+GAP = "6 hours"
+
+
+@query
+def poor_sessions_gap(t):
+    return alerts.poor_gap_sessions(activity_events(t), threshold=1, gap=GAP)
+
+
+@query
+def stream_poor_sessions_gap(t):
+    """Poor sessions that were over when the input ended."""
+    stream = alerts.poor_gap_sessions(event_stream(t), threshold=1, gap=GAP)
+    return written(t, run_stream(t, "gap-sessions", sinks.to_table, stream), stream)
+
+
+@query
+def stream_lateness(t):
+    """What the windowed count reports of three parts of the events, of which the last is late."""
+    base = scratch_path(t.spark, f"lateness-{uuid4().hex}")
+    with lateness.ProgressLog(t.spark, f"{base}/progress") as log:
+        def start(messages, data, checkpoint):
+            return log.watch(sinks.to_changes(
+                alerts.viewer_windows(activity.parse_activity(messages)), data, checkpoint, name="viewer windows"))
+
+        run_parts(t, "late-windows", LATE_LAST, start)
+    seen = log.table().where((F.col("name") == "viewer windows") & (F.col("input_rows") > 0))
+    return seen.select(
+        F.row_number().over(Window.orderBy("batch")).alias("part"), "input_rows", "dropped", since_epoch("watermark"))
+
+
+def since_epoch(name: str):
+    """A time, or the first one there is if it isn't known."""
+    return F.coalesce(name, F.lit("1970-01-01 00:00:00").cast("timestamp")).alias(name)
+
+
+@query
+def stream_late_events(t):
+    """Events of each batch that were older than the watermark, counted one by one."""
+    def start(messages, data, checkpoint):
+        return lateness.late_events(activity.parse_activity(messages), data, checkpoint)
+
+    path = run_parts(t, "late-events", LATE_LAST, start)
+    found = t.spark.read.schema(lateness.LATE).parquet(path)
+    return found.select("batch", "events", "late", "without_time", since_epoch("watermark"))
+
+
+def spoilt_messages(messages: DataFrame) -> DataFrame:
+    """Messages some of which are cut off, empty, of another kind or without a usable time."""
+    text = F.col("value").cast("string")
+    number = F.get_json_object(text, "$.event_id").cast("bigint")
+    broken = (
+        F.when(number % 7 == 0, F.concat(F.lit('{"event_id": "'), number))
+        .when(number % 11 == 0, F.lit(None))
+        .when(number % 13 == 0, F.concat(F.lit('{"other": '), number, F.lit("}")))
+        .when(number % 17 == 0, F.concat(F.lit('{"event_id": "'), number, F.lit('", "event_ts": "noon"}')))
+        .otherwise(text)
+    )
+    return messages.withColumn("value", broken.cast("binary"))
+
+
+@query
+def stream_rejected(t):
+    """Readable and broken messages of a stream in three batches, from the tables it keeps."""
+    plans = []
+
+    def start(messages, data, checkpoint):
+        plans.append(activity.judge_messages(spoilt_messages(messages)))
+        return sinks.to_parsed_and_rejected(plans[-1], data, checkpoint)
+
+    path = run_parts(t, "judged", BY_TIME, start)
+    both = [sinks.kept(t.spark, path, status, plans[-1].schema).withColumn("status", F.lit(status))
+            for status in ("parsed", "rejected")]
+    return both[0].unionByName(both[1]).select(
+        "status", "reason", "event_id", "event_time", F.col("key").cast("string").alias("key"),
+        F.col("value").cast("string").alias("value"))
 
 
 @query

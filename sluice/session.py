@@ -74,7 +74,46 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system, local or remote."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Remove an intermediate table that nothing reads any more; a missing one is no error."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    place, system = _folder(spark, path)
+    system.delete(place, True)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly under a folder."""
+    place, system = _folder(spark, path)
+    return sorted(f.getPath().getName() for f in system.listStatus(place)) if system.exists(place) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small text file, or None if it isn't there."""
+    place, system = _folder(spark, path)
+    if not system.exists(place):
+        return None
+    stream = system.open(place)
+    try:
+        return stream.readUTF()
+    finally:
+        stream.close()
+
+
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file beside ``path`` and move it there, over what is there, at once."""
+    fresh = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid4().hex}")
+    place, system = _folder(spark, path)
+    out = system.create(fresh, False)
+    out.writeUTF(text)
+    out.close()
+    options = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename")
+    over = spark.sparkContext._gateway.new_array(options, 1)
+    over[0] = options.OVERWRITE
+    context = spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        system.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(fresh, place, over)

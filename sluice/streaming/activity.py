@@ -25,6 +25,36 @@ def parse_activity(raw: DataFrame) -> DataFrame:
     return fields.withColumn("event_time", event_time(F.col("event_ts")))
 
 
+#: Why a message is rejected, in the order in which the reasons are looked for.
+REJECTED = ("no value", "broken JSON", "no known field", "no usable time")
+
+
+def judge_messages(raw: DataFrame) -> DataFrame:
+    """Every message with a ``status``, parsed or rejected, from one parse.
+
+    Columns are those of ``parse_activity``, null where a message is rejected, then ``reason``,
+    ``key`` and ``value`` (the message as it came, null where it is parsed), ``status``.
+    """
+    text = F.col("value").cast("string")
+    schema = f"{schemas.ACTIVITY}, _broken STRING"
+    read = F.from_json(text, schema, {"columnNameOfCorruptRecord": "_broken"})
+    fields = [f.strip().split(" ")[0] for f in schemas.ACTIVITY.split(",")]
+    opened = raw.select("key", "value", F.inline(F.array(read))).withColumn(
+        "event_time", event_time(F.col("event_ts")))
+    reason = (
+        F.when(F.col("value").isNull(), REJECTED[0])
+        .when(F.col("_broken").isNotNull(), REJECTED[1])
+        .when(F.coalesce(*fields).isNull(), REJECTED[2])
+        .when(F.col("event_time").isNull(), REJECTED[3])
+    )
+    judged = opened.withColumn("reason", reason)
+    good = F.col("reason").isNull()
+    return judged.select(
+        *[F.when(good, F.col(c)).alias(c) for c in (*fields, "event_time")], "reason",
+        *[F.when(~good, F.col(c)).alias(c) for c in ("key", "value")],
+        F.when(good, "parsed").otherwise("rejected").alias("status"))
+
+
 def decode_report(raw: DataFrame) -> DataFrame:
     """One row: messages, messages without any field, and messages without a usable time."""
     parsed = parse_activity(raw)

@@ -11,6 +11,7 @@ from sluice.functions.numbers import growth as relative_growth
 COUNT_WINDOW, COUNT_SLIDE, COUNT_LATENESS = "5 minutes", "1 minute", "15 minutes"
 TREND_WINDOW, TREND_LATENESS = "15 minutes", "30 minutes"
 SESSION_LATENESS = "30 minutes"
+SESSION_GAP = "30 minutes"
 BUFFERING_LIMIT = 3
 GROWTH_LIMIT = 2.0
 
@@ -72,6 +73,30 @@ def poor_sessions(events: DataFrame, threshold: int = BUFFERING_LIMIT,
     return session_buffering(events, late, window).where(F.col("buffering_count") > threshold)
 
 
+def gap_sessions(events: DataFrame, gap: str = SESSION_GAP, late: str = SESSION_LATENESS) -> DataFrame:
+    """Buffering events per session, where a session ends once nothing came for ``gap``.
+
+    An id that comes back later is a session of its own. The watermark ends sessions, so that a
+    stream (append mode) reports each one once and keeps only sessions that may still go on.
+    """
+    flag = F.when(F.col("action") == "buffering", 1).otherwise(0)
+    counts = (
+        events.withWatermark("event_time", late)
+        .groupBy(F.session_window("event_time", gap).alias("window"), "session_id")
+        .agg(F.sum(flag).alias("buffering_count"), F.count("*").alias("events"))
+    )
+    return counts.select(
+        F.col("window.start").alias("session_start"), F.col("window.end").alias("session_end"),
+        "session_id", "buffering_count", "events",
+    )
+
+
+def poor_gap_sessions(events: DataFrame, threshold: int = BUFFERING_LIMIT, gap: str = SESSION_GAP,
+                      late: str = SESSION_LATENESS) -> DataFrame:
+    """Sessions by gap with more than ``threshold`` buffering events."""
+    return gap_sessions(events, gap, late).where(F.col("buffering_count") > threshold)
+
+
 def viewer_growth(windows: DataFrame, mode: str = "last_seen") -> DataFrame:
     """Each window's count beside the one before it for the same content, and the growth.
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from sluice.session import discard, list_names, read_text, replace_text
+
 
 def _writer(stream: DataFrame, mode: str, checkpoint: str, name: str | None,
             every: str | None) -> DataStreamWriter:
@@ -22,16 +26,39 @@ def to_table(stream: DataFrame, path: str, checkpoint: str, name: str | None = N
     return _writer(stream, "append", checkpoint, name, every).format("parquet").start(path)
 
 
+#: Names the version of a snapshot table that readers see.
+POINTER = "_current"
+
+
 def to_snapshot(stream: DataFrame, path: str, checkpoint: str, name: str | None = None,
                 every: str | None = None) -> StreamingQuery:
-    """Keep a Parquet table equal to the whole current result (complete mode).
+    """Keep a table equal to the whole current result (complete mode); ``read_snapshot`` reads it.
 
-    A batch that is repeated after a failure writes the same table again.
+    Each batch writes a folder of its own, then one small file that names it is replaced, which
+    file systems do at once. So a reader sees the table of one batch or of the next one, whole.
+    The version before the current one stays for readers that have begun with it, older ones are
+    removed. A batch that is repeated after it was published is published again, with equal rows.
     """
-    def refresh(result: DataFrame, batch: int) -> None:
-        result.write.mode("overwrite").parquet(path)
+    spark = stream.sparkSession
+
+    def publish(result: DataFrame, batch: int) -> None:
+        before = read_text(spark, f"{path}/{POINTER}")
+        version = f"version-{batch}-{uuid4().hex}"
+        result.write.parquet(f"{path}/{version}")
+        replace_text(spark, f"{path}/{POINTER}", version)
+        for old in list_names(spark, path):
+            if old.startswith("version-") and old not in (before, version):
+                discard(spark, f"{path}/{old}")
+
+    return _writer(stream, "complete", checkpoint, name, every).foreachBatch(publish).start()
+
 
-    return _writer(stream, "complete", checkpoint, name, every).foreachBatch(refresh).start()
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The table that ``to_snapshot`` last published under ``path``."""
+    version = read_text(spark, f"{path}/{POINTER}")
+    if version is None:
+        raise FileNotFoundError(f"no snapshot under {path}")
+    return spark.read.parquet(f"{path}/{version}")
 
 
 def to_changes(stream: DataFrame, path: str, checkpoint: str, name: str | None = None,
@@ -47,6 +74,25 @@ def to_changes(stream: DataFrame, path: str, checkpoint: str, name: str | None =
     return _writer(stream, "update", checkpoint, name, every).foreachBatch(keep).start()
 
 
+def to_parsed_and_rejected(messages: DataFrame, path: str, checkpoint: str, name: str | None = None,
+                           every: str | None = None) -> StreamingQuery:
+    """Keep readable messages and broken ones, each exactly once, from one pass over a batch.
+
+    ``messages`` come from ``activity.judge_messages``. A batch is written at once, to a folder of its own
+    that a repeated batch replaces; in it each status has a folder. ``kept`` reads either.
+    """
+    def keep(judged: DataFrame, batch: int) -> None:
+        judged.write.mode("overwrite").partitionBy("status").parquet(f"{path}/batch={batch}")
+
+    return _writer(messages, "append", checkpoint, name, every).foreachBatch(keep).start()
+
+
+def kept(spark: SparkSession, path: str, status: str, schema) -> DataFrame:
+    """Messages of one status that ``to_parsed_and_rejected`` has written, in ``judge_messages`` columns."""
+    stored = spark.read.schema(schema).parquet(path)
+    return stored.where(F.col("status") == status).drop("status")
+
+
 def latest(changes: DataFrame, *keys: str) -> DataFrame:
     """The current row of each key in a table that ``to_changes`` keeps."""
     values = [c for c in changes.columns if c not in (*keys, "batch")]
