@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
@@ -74,3 +74,37 @@ def open_if_there(spark: SparkSession, path: str, fmt: str = "parquet",
         if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
+
+
+class Measured:
+    """Row count, nulls by column and broken rules of a table, counted while it is written.
+
+    The figures ride along with the tasks that write the table, so that they cost no further
+    pass. ``table`` is what has to be written; after that the figures can be had.
+    """
+
+    def __init__(self, df: DataFrame, columns: list[str] | None = None, rules: dict[str, Column] | None = None):
+        self.columns, self.rules = columns or df.columns, list(rules or {})
+        self._seen = Observation()
+        self.table = df.observe(
+            self._seen, F.count("*").alias("rows"),
+            *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"null {i}") for i, c in enumerate(self.columns)],
+            *[F.count_if(broken).alias(f"rule {i}") for i, broken in enumerate((rules or {}).values())])
+
+    @property
+    def rows(self) -> int:
+        return self._seen.get["rows"]
+
+    def violations(self) -> list[tuple[str, int]]:
+        return [(name, self._seen.get[f"rule {i}"]) for i, name in enumerate(self.rules)]
+
+    def nulls(self) -> list[tuple[str, int, int]]:
+        """(column, nulls, rows), one for each column."""
+        return [(c, self._seen.get[f"null {i}"], self.rows) for i, c in enumerate(self.columns)]
+
+
+def null_rates_of(measured: dict[str, Measured], spark: SparkSession) -> DataFrame:
+    """Null rates of measured datasets: (dataset, column_name, null_count, row_count, null_rate)."""
+    rows = [(name, *row) for name, m in measured.items() for row in m.nulls()]
+    table = spark.createDataFrame(rows, "dataset STRING, column_name STRING, null_count BIGINT, row_count BIGINT")
+    return table.withColumn("null_rate", F.round(F.try_divide(F.col("null_count"), F.col("row_count")), 6))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.operators.dedupe import first_per_key
@@ -16,13 +18,15 @@ def upsert(
     surrogate: str,
     precedence: str | None = None,
     stripes: int = 64,
+    after: Column | None = None,
 ) -> DataFrame:
     """New state of a dimension.
 
     An incoming row replaces all attributes of the existing row with the same
     natural key (nulls too) and keeps its surrogate key; new natural keys get
     new surrogate keys; other rows stay. If the batch holds a natural key more
-    than once, the row with the highest ``precedence`` wins, then the greatest.
+    than once, the row with the highest ``precedence`` wins, then the greatest. New keys start
+    above ``after``, by default the highest of ``existing``.
 
     Old and new rows are merged by one aggregation instead of a join: repeated
     keys shrink before the shuffle. The branch for new rows reads the same
@@ -46,12 +50,35 @@ def upsert(
         .select(surrogate, natural_key, *[F.col("row")[c].alias(c) for c in attributes])
     )
     fresh = merged.where(F.col(surrogate).isNull()).drop(surrogate)
-    fresh = assign_keys(fresh, surrogate, natural_key, highest_key(existing, surrogate), stripes)
+    after = highest_key(existing, surrogate) if after is None else after
+    fresh = assign_keys(fresh, surrogate, natural_key, after, stripes)
     if existing is None:
         return fresh
     return merged.where(F.col(surrogate).isNotNull()).unionByName(fresh)
 
 
+def bucket_of(key: Column, buckets: int) -> Column:
+    """Folder number of a natural key, the same in every run."""
+    return F.pmod(F.xxhash64(key.cast("string")), F.lit(buckets)).cast("int")
+
+
+def upsert_buckets(existing: Callable[[list[int] | None], DataFrame | None], incoming: DataFrame, natural_key: str,
+                   surrogate: str, precedence: str | None = None, stripes: int = 64,
+                   buckets: int = 64) -> DataFrame:
+    """New rows of those buckets of a dimension that the batch has keys of, with their ``bucket``.
+
+    ``existing`` gives the rows of some buckets, or of all, and None if there are none. Buckets
+    without a key of the batch are neither read nor to be written; only their surrogate keys are
+    read, of which the highest is needed. The outcome is that of ``upsert`` over the whole
+    dimension. The numbers of the buckets touched are collected.
+    """
+    place = bucket_of(F.col(natural_key), buckets)
+    touched = sorted(r[0] for r in incoming.select(place.alias("bucket")).distinct().collect())
+    highest = highest_key(existing(None), surrogate)
+    merged = upsert(existing(touched), incoming, natural_key, surrogate, precedence, stripes, highest)
+    return merged.withColumn("bucket", place)
+
+
 def keys_present(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
     """Those keys of ``incoming`` that ``existing`` already holds.
 

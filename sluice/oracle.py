@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 
-from sluice.registry import AS_OF, EARLY
+from sluice.registry import AS_OF, CHANGED_MONTH, EARLY
 from sluice.views import VIEWS, view_sql
 
 CTES = {name: view_sql(name) for name in VIEWS}
@@ -109,6 +109,8 @@ fresh AS (SELECT {key('product_id', DIM_STRIPES, '(SELECT max(product_key) FROM
 SELECT product_key, product_id AS source_product_id, product_name, category,
        unit_price::double AS unit_price
 FROM products JOIN (SELECT * FROM old UNION ALL SELECT * FROM fresh) USING (product_id)""")
+define("dim_customer_buckets", """
+SELECT * REPLACE (CASE WHEN state = 'NATION_12' THEN 'moved' ELSE city END AS city) FROM dim_c""")
 define("dim_employee", f"""
 SELECT {key('employee_id', DIM_STRIPES)} AS employee_key, employee_id AS source_employee_id,
        first_name, last_name, email, job_title, department_name, location AS department_location
@@ -326,6 +328,10 @@ define("enriched_sessions", "SELECT * FROM sessions")
 define("monthly_interactions", "SELECT * FROM month_i")
 define("user_monthly_engagement", "SELECT * FROM engaged")
 define("daily_user_engagement", "SELECT * FROM engaged")
+ORACLES["engagement_two_runs"] = ORACLES["user_monthly_engagement"].replace(CTES["viewing_history"], f"""
+SELECT * REPLACE (CASE WHEN year(start_time::date) * 100 + month(start_time::date) = {CHANGED_MONTH}
+                       THEN duration_watched_min / 2 ELSE duration_watched_min END AS duration_watched_min)
+FROM ({CTES["viewing_history"]})""")
 define("content_performance", "SELECT * FROM titles")
 define("quality_region_isp", "SELECT * FROM region_isp")
 define("churn_risk", "SELECT * FROM risk_exact")
@@ -337,6 +343,9 @@ for name in ("top_content", "top_content_csv"):
 define("worst_quality_regions", """
 SELECT * FROM region_isp
 ORDER BY avg_buffering_events DESC, avg_latency_ms DESC, cdn_region, isp LIMIT 100""")
+define("viewers_by_quarter_sketch", """
+SELECT year(start_time::timestamp)::int AS year, quarter(start_time::timestamp)::int AS quarter, count(*) AS sessions,
+       count(DISTINCT user_id) AS viewers, true AS close FROM viewing_history GROUP BY ALL""")
 define("landing_csv", "SELECT * FROM user_profiles")
 define("landing_json", "SELECT * FROM content_catalog")
 
@@ -396,7 +405,8 @@ WHERE NOT EXISTS (SELECT 1 FROM user_profiles u WHERE u.user_id = v.user_id AND
 SELECT *, NOT fatal OR violations = 0 AS passed FROM counted"""
 
 
-define("dq_report", gates("true", "true"))
+for name in ("dq_report", "dq_report_staged"):
+    define(name, gates("true", "true"))
 define("dq_report_lost_profiles", gates("NOT is_churned", "release_year > 1980"))
 define("dq_null_rates", " UNION ALL ".join(
     f"""SELECT '{v.replace("_", "-")}' AS dataset, '{c}' AS column_name, count(*) FILTER ("{c}" IS NULL) AS null_count,
@@ -404,6 +414,7 @@ define("dq_null_rates", " UNION ALL ".join(
     FROM {v}"""
     for v in ("viewing_history", "content_catalog", "user_profiles", "user_interactions", "streaming_quality")
     for c in VIEWS[v].columns))
+ORACLES["dq_null_rates_staged"] = ORACLES["dq_null_rates"]
 define("dataset_presence", " UNION ALL ".join(
     [f"SELECT '{n.replace('_', '-')}' AS dataset, count(*)::double AS row_count, true AS present "
      f"FROM {n}" for n in ("viewing_history", "content_catalog", "user_profiles",

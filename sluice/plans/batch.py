@@ -15,13 +15,15 @@ from uuid import uuid4
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from sluice.operators.checks import open_if_there
+from sluice.operators.checks import Measured, open_if_there
 from sluice.operators.cleaning import clean_interactions, clean_viewing
 from sluice.operators.dedupe import dedupe_first, merge_shards
 from sluice.operators.loading import insert_ignore
 from sluice.plans import engagement, quality, reports, scoring, warehouse
-from sluice.session import scratch_path
+from sluice.plans.refresh import refresh_copy, refresh_engagement
+from sluice.session import discard, list_names, scratch_path
 from sluice.sources.files import LANDING, read_named, read_table, write_report, write_table, zone_path
 
 
@@ -55,7 +57,12 @@ class Lake:
     schemas: dict[str, str] = field(default_factory=dict)
     # Keep viewing rows that agree in all columns after cleaning once.
     distinct_viewing: bool = False
+    # Compute and write only the months of the engagement table that changed since the last run.
+    by_month: bool = False
+    # Row counts, nulls and broken row rules of the landing data, counted while they were staged.
+    measured: dict[str, Measured] = field(default_factory=dict, repr=False)
     _staged: dict[str, DataFrame] | None = field(default=None, repr=False)
+    _scratch: str | None = field(default=None, repr=False)
 
     def landing(self) -> dict[str, DataFrame]:
         found = {
@@ -77,11 +84,14 @@ class Lake:
         is read and parsed for the first time only.
         """
         if self._staged is None:
-            run = uuid4().hex
+            self._scratch = scratch_path(self.spark, f"landing-{uuid4().hex}")
+            rules = quality.row_rules()
 
             def stage(name: str, df: DataFrame) -> DataFrame:
-                path = scratch_path(self.spark, f"landing-{run}/{name}")
-                write_table(df, path)
+                declared = StructType.fromDDL(self.schemas.get(name, LANDING[name][1])).names
+                self.measured[name] = Measured(df, declared, rules.get(name))
+                path = f"{self._scratch}/{name}"
+                write_table(self.measured[name].table, path)
                 return read_table(self.spark, path, df.schema)
 
             raw = self.landing()
@@ -89,6 +99,12 @@ class Lake:
             self._staged = dict(zip(raw, tables, strict=True))
         return self._staged
 
+    def release(self) -> None:
+        """Remove the staged tables; a later run stages the landing data anew."""
+        if self._scratch:
+            discard(self.spark, self._scratch)
+        self._staged, self._scratch = None, None
+
     def store(self, zone: str, dataset: str, df: DataFrame,
               partition_by: tuple[str, ...] = ()) -> DataFrame:
         path = zone_path(self.root, zone, dataset)
@@ -100,11 +116,8 @@ class Lake:
 
 
 def gate(lake: Lake) -> list:
-    raw = lake.staged()
-    return quality.enforce(quality.quality_report(
-        raw["viewing-history"], raw["user-profiles"], raw["content-catalog"],
-        raw["streaming-quality"], raw["user-interactions"],
-    ))
+    staged = lake.staged()
+    return quality.enforce(quality.measured_report(lake.measured, staged))
 
 
 def transform(lake: Lake) -> None:
@@ -122,6 +135,8 @@ def transform(lake: Lake) -> None:
         lake.spark,
         partial(lake.store, "curated", "enriched-viewing-sessions",
                 engagement.enrich_sessions(viewing, catalog, users, delivery)),
+        partial(refresh_engagement, lake.spark, zone_path(lake.root, "analytics", "user-monthly-engagement"),
+                viewing, users, delivery, interactions) if lake.by_month else
         partial(lake.store, "analytics", "user-monthly-engagement",
                 engagement.user_monthly_engagement(viewing, users, delivery, interactions),
                 partition_by=("year", "month")),
@@ -160,13 +175,20 @@ def export(lake: Lake) -> None:
                  path("top-content"))
     write_report(reports.worst_quality(lake.table("analytics", "streaming-quality-region-isp")),
                  path("worst-quality-region-isp"))
-    write_table(lake.table("analytics", "user-monthly-engagement"),
-                path("daily-user-engagement"), partition_by=("year", "month"))
+    if lake.by_month:
+        refresh_copy(lake.spark, zone_path(lake.root, "analytics", "user-monthly-engagement"), path("daily-user-engagement"))
+    else:
+        write_table(lake.table("analytics", "user-monthly-engagement"),
+                    path("daily-user-engagement"), partition_by=("year", "month"))
 
 
 def run_lake(lake: Lake) -> None:
-    gate(lake)
-    transform(lake)
+    """Landing data through gates, zones, scores and reports."""
+    try:
+        gate(lake)
+        transform(lake)
+    finally:
+        lake.release()
     check_outputs(lake)
     score(lake)
     export(lake)
@@ -197,22 +219,44 @@ def shard_orders(shards: dict[str, Shard], order_log: DataFrame | None = None) -
 class Warehouse:
     """Star schema under one root folder; every load writes folders of its own.
 
-    Dimensions are written whole as ``<table>/load=<n>``; dates and facts only
-    grow, so a load adds what is new and all its folders together are the table.
-    A load that is run again replaces its own folders and nothing else.
+    Dimensions are dealt over buckets by natural key; a load writes those buckets that it has
+    keys of, as ``<table>/load=<n>/bucket=<b>``, and the table is the latest folder of each
+    bucket. Dates and facts only grow, so a load adds what is new and all its folders together
+    are the table. A load that is run again replaces its own folders and nothing else.
     """
 
     spark: SparkSession
     root: str
+    # Folders of a dimension; the rows of one should be a few files. Fixed for a warehouse.
+    buckets: int = 64
 
-    def whole(self, table: str, load: int) -> DataFrame | None:
-        """State of a dimension after ``load``; an error if that load was never run."""
+    def whole(self, table: str, load: int, buckets: list[int] | None = None) -> DataFrame | None:
+        """A dimension, or some buckets of it, after ``load``; None if there are no rows.
+
+        It is an error if that load was never run. Only folders are listed to find the latest
+        version of each bucket.
+        """
         if not load:
             return None
-        found = open_if_there(self.spark, f"{self.root}/{table}/load={load}")
-        if found is None:
+        place = f"{self.root}/{table}"
+        if f"load={load}" not in list_names(self.spark, place):
             raise MissingDataError(f"{table} of load {load}")
-        return found
+        latest: dict[str, int] = {}
+        for n in range(1, load + 1):
+            latest |= dict.fromkeys((name for name in list_names(self.spark, f"{place}/load={n}")
+                                     if name.startswith("bucket=")), n)
+        wanted = None if buckets is None else {f"bucket={b}" for b in buckets}
+        paths = [f"{place}/load={n}/{name}" for name, n in latest.items() if wanted is None or name in wanted]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def upsert(self, table: str, load: int, incoming: DataFrame) -> DataFrame:
+        """Write the buckets of a dimension that a batch touches; the whole dimension after it."""
+        rows = warehouse.DIMENSIONS[table].upsert_buckets(
+            partial(self.whole, table, load - 1), incoming, self.buckets)
+        path = f"{self.root}/{table}/load={load}"
+        write_table(rows, path, partition_by=("bucket",))
+        found = self.whole(table, load)
+        return rows.drop("bucket").limit(0) if found is None else found
 
     def grown(self, table: str, load: int) -> DataFrame | None:
         """Rows that loads up to ``load`` have added."""
@@ -245,18 +289,14 @@ class Warehouse:
         before = load - 1
         if open_if_there(self.spark, f"{self.root}/fact_sales/load={load + 1}") is not None:
             raise ValueError(f"load {load} can't be run again: load {load + 1} builds on it")
-        dimensions = {
-            "dim_customer": warehouse.load_customers(
-                self.whole("dim_customer", before), customers),
-            "dim_product": warehouse.load_products(self.whole("dim_product", before), products),
-            "dim_employee": warehouse.load_employees(
-                self.whole("dim_employee", before), employees, departments),
-            "dim_date": insert_ignore(
-                self.grown("dim_date", before), warehouse.dim_date(days), "date_key"),
-        }
-        dim_customer, dim_product, *_ = together(self.spark, *[
-            partial(self.save, table, load, df) for table, df in dimensions.items()
-        ])
+        dim_customer, dim_product, *_ = together(
+            self.spark,
+            partial(self.upsert, "dim_customer", load, warehouse.customer_rows(customers)),
+            partial(self.upsert, "dim_product", load, warehouse.product_rows(products)),
+            partial(self.upsert, "dim_employee", load, warehouse.denormalize_employees(employees, departments)),
+            partial(self.save, "dim_date", load, insert_ignore(
+                self.grown("dim_date", before), warehouse.dim_date(days), "date_key")),
+        )
         existing = self.grown("fact_sales", before)
         # Looked up once for facts and audit; the next load writes its own over it.
         lookup = f"{self.root}/order_lookup"

@@ -131,3 +131,38 @@ def content_performance(viewing: DataFrame, catalog: DataFrame) -> DataFrame:
             ratio_if_positive(F.col("license_cost_monthly"), F.col("total_viewing_hours")),
         )
     )
+
+
+#: Logarithm of a sketch's registers; its relative error is about 1.04 / sqrt(registers).
+SKETCH_SIZE = 14
+
+
+def sketch_error(size: int = SKETCH_SIZE, deviations: float = 3.0) -> float:
+    """Relative error of a sketched count that so many standard deviations allow."""
+    return deviations * 1.04 / 2 ** (size / 2)
+
+
+def viewer_sketches(viewing: DataFrame, *groups: str, size: int = SKETCH_SIZE) -> DataFrame:
+    """A mergeable sketch of the viewers of each month (and ``groups``), to be stored.
+
+    A sketch has a few kilobytes, whatever the number of viewers, and counts of longer spans
+    follow from the sketches of their months without the sessions. ``content_performance`` and
+    the monthly tables count exactly; this is for spans that nobody has counted.
+    """
+    known = _with_month(viewing, "start_time").where(F.col("user_id").isNotNull())
+    return known.groupBy(*groups, "year", "month").agg(
+        F.hll_sketch_agg(F.col("user_id").cast("string"), size).alias("viewers"), F.count("*").alias("sessions"))
+
+
+def quarterly_viewers(viewing: DataFrame) -> DataFrame:
+    """Exact distinct viewers of each quarter."""
+    moment = event_time(F.col("start_time"))
+    return viewing.groupBy(F.year(moment).alias("year"), F.quarter(moment).alias("quarter")).agg(
+        F.count_distinct("user_id").alias("viewers"))
+
+
+def sketched_viewers(sketches: DataFrame, *span: str) -> DataFrame:
+    """Estimated distinct viewers and exact sessions of each span, from stored sketches of months."""
+    quarter = F.ceil(F.col("month") / 3).cast("int")
+    return sketches.withColumn("quarter", quarter).groupBy(*span).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("viewers")).alias("viewers"), F.sum("sessions").alias("sessions"))

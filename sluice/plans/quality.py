@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.checks import rule_violations
+from sluice.operators.checks import Measured, rule_violations
 from sluice.operators.matching import violation_counts
 
 # The order in which broken rules end a run, and the rules that never do.
@@ -40,6 +40,12 @@ def quality_range():
     )
 
 
+def row_rules() -> dict[str, dict[str, Column]]:
+    """Rules that a row breaks by itself, by dataset; they can be counted while it is written."""
+    return {"viewing-history": {"viewing_range": viewing_range()},
+            "streaming-quality": {"quality_range": quality_range()}}
+
+
 def quality_report(viewing: DataFrame, users: DataFrame, catalog: DataFrame,
                    quality: DataFrame, interactions: DataFrame) -> DataFrame:
     """(gate_order, rule, violations, fatal, passed), one row per rule.
@@ -47,18 +53,33 @@ def quality_report(viewing: DataFrame, users: DataFrame, catalog: DataFrame,
     Gates are judged in ``gate_order``. The range of viewing rows is reported
     but lets the run go on, because cleaning repairs such rows.
     """
-    counted = reduce(DataFrame.unionByName, [
-        violation_counts(
-            viewing,
-            {
-                "viewing_unknown_user": ("user_id", users),
-                "viewing_unknown_content": ("content_id", catalog),
-            },
-            {"viewing_range": viewing_range()},
-        ),
-        rule_violations(quality, {"quality_range": quality_range()}),
+    rules = row_rules()
+    return _judged(reduce(DataFrame.unionByName, [
+        violation_counts(viewing, _viewing_keys(users, catalog), rules["viewing-history"]),
+        rule_violations(quality, rules["streaming-quality"]),
         violation_counts(interactions, {"interaction_unknown_user": ("user_id", users)}),
-    ])
+    ]))
+
+
+def measured_report(measured: dict[str, Measured], tables: dict[str, DataFrame]) -> DataFrame:
+    """The same report of staged tables whose row rules were counted while they were written.
+
+    Only keys are read once more, for the rules on other tables' keys.
+    """
+    users, catalog = tables["user-profiles"], tables["content-catalog"]
+    counted = [row for m in measured.values() for row in m.violations()]
+    return _judged(reduce(DataFrame.unionByName, [
+        users.sparkSession.createDataFrame(counted, "rule STRING, violations BIGINT"),
+        violation_counts(tables["viewing-history"], _viewing_keys(users, catalog)),
+        violation_counts(tables["user-interactions"], {"interaction_unknown_user": ("user_id", users)}),
+    ]))
+
+
+def _viewing_keys(users: DataFrame, catalog: DataFrame) -> dict[str, tuple[str, DataFrame]]:
+    return {"viewing_unknown_user": ("user_id", users), "viewing_unknown_content": ("content_id", catalog)}
+
+
+def _judged(counted: DataFrame) -> DataFrame:
     position = F.coalesce(*[
         F.when(F.col("rule") == rule, F.lit(i)) for i, rule in enumerate(GATES, start=1)
     ])

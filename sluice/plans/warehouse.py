@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.calendar import calendar_columns, date_key
 from sluice.operators.keys import dense_keys, highest_key, key_ranges
-from sluice.operators.loading import insert_ignore, keyless_balance, keys_present, upsert
+from sluice.operators.loading import insert_ignore, keyless_balance, keys_present, upsert, upsert_buckets
 from sluice.session import stored
 
 # Stripes bound the rows that one task numbers (operators/keys.py): ten billion
@@ -37,24 +40,52 @@ def load_dates(existing: DataFrame | None, days: DataFrame) -> DataFrame:
     return insert_ignore(existing, days, "date_key")
 
 
-def load_customers(existing: DataFrame | None, customers: DataFrame) -> DataFrame:
-    """Customer dimension from merged shards; on a clash the later shard's row counts."""
-    incoming = customers.select(
+@dataclass(frozen=True)
+class Dimension:
+    """How a dimension's rows are told apart and numbered."""
+
+    natural_key: str
+    surrogate: str
+    precedence: str | None = None
+
+    def upsert(self, existing: DataFrame | None, incoming: DataFrame) -> DataFrame:
+        return upsert(existing, incoming, self.natural_key, self.surrogate, self.precedence, DIMENSION_STRIPES)
+
+    def upsert_buckets(self, existing: Callable[[list[int] | None], DataFrame | None], incoming: DataFrame,
+                       buckets: int) -> DataFrame:
+        return upsert_buckets(existing, incoming, self.natural_key, self.surrogate, self.precedence,
+                              DIMENSION_STRIPES, buckets)
+
+
+DIMENSIONS = {
+    "dim_customer": Dimension("source_customer_id", "customer_key", "shard_order"),
+    "dim_product": Dimension("source_product_id", "product_key"),
+    "dim_employee": Dimension("source_employee_id", "employee_key"),
+}
+
+
+def customer_rows(customers: DataFrame) -> DataFrame:
+    return customers.select(
         F.col("customer_id").alias("source_customer_id"),
         "first_name", "last_name", "email", "city", "state", "shard_order",
     )
-    return upsert(existing, incoming, "source_customer_id", "customer_key",
-                  precedence="shard_order", stripes=DIMENSION_STRIPES)
 
 
-def load_products(existing: DataFrame | None, products: DataFrame) -> DataFrame:
-    """Product dimension from one copy of the replicated product table."""
-    incoming = products.select(
+def product_rows(products: DataFrame) -> DataFrame:
+    return products.select(
         F.col("product_id").alias("source_product_id"),
         "product_name", "category", "unit_price",
     )
-    return upsert(existing, incoming, "source_product_id", "product_key",
-                  stripes=DIMENSION_STRIPES)
+
+
+def load_customers(existing: DataFrame | None, customers: DataFrame) -> DataFrame:
+    """Customer dimension from merged shards; on a clash the later shard's row counts."""
+    return DIMENSIONS["dim_customer"].upsert(existing, customer_rows(customers))
+
+
+def load_products(existing: DataFrame | None, products: DataFrame) -> DataFrame:
+    """Product dimension from one copy of the replicated product table."""
+    return DIMENSIONS["dim_product"].upsert(existing, product_rows(products))
 
 
 def denormalize_employees(employees: DataFrame, departments: DataFrame) -> DataFrame:
@@ -71,14 +102,11 @@ def denormalize_employees(employees: DataFrame, departments: DataFrame) -> DataF
 
 def load_employees(existing: DataFrame | None, employees: DataFrame,
                    departments: DataFrame) -> DataFrame:
-    return upsert(existing, denormalize_employees(employees, departments),
-                  "source_employee_id", "employee_key", stripes=DIMENSION_STRIPES)
+    return DIMENSIONS["dim_employee"].upsert(existing, denormalize_employees(employees, departments))
 
 
 # -- fact ---------------------------------------------------------------------
 
-
-
 def _customer_lookup(dim_customer: DataFrame) -> DataFrame:
     return dim_customer.select(F.col("source_customer_id").alias("customer_id"), "customer_key")
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice.operators import checks, cleaning, dedupe, matching
-from sluice.plans import batch, engagement, findings, quality, reports, sales, scoring, warehouse
+from sluice.plans import batch, engagement, findings, quality, refresh, reports, sales, scoring, warehouse
 from sluice.session import prepare, scratch_path, stored
 from sluice.sources import files
 from sluice.streaming import activity, alerts, lateness, sinks, spikes
@@ -101,6 +101,15 @@ def dim_customer_upsert(t):
     return warehouse.load_customers(existing, both_shards(t))
 
 
+@query
+def dim_customer_buckets(t):
+    """Customers in bucket folders; a second load brings only those of one nation, who moved."""
+    house = batch.Warehouse(t.spark, scratch_path(t.spark, f"buckets-{uuid4().hex}"), buckets=8)
+    moved = t.shard("NE").where(F.col("state") == "NATION_12").withColumn("city", F.lit("moved"))
+    house.upsert("dim_customer", 1, warehouse.customer_rows(both_shards(t)))
+    return house.upsert("dim_customer", 2, warehouse.customer_rows(dedupe.merge_shards({"NE": moved})))
+
+
 @query
 def dim_product_upsert(t):
     """All products arrive; those of one category were loaded before at no price."""
@@ -332,6 +341,17 @@ def content_performance(t):
     return engagement.content_performance(clean_viewing(t), t.content_catalog)
 
 
+@query
+def viewers_by_quarter_sketch(t):
+    """Viewers of each quarter from stored sketches of its months, held against exact counts."""
+    sketches = stored(engagement.viewer_sketches(t.viewing_history), "viewer-sketches")
+    exact = engagement.quarterly_viewers(t.viewing_history)
+    return engagement.sketched_viewers(sketches, "year", "quarter").withColumnRenamed("viewers", "estimate").join(
+        exact, ["year", "quarter"]).select(
+        "year", "quarter", "sessions", "viewers",
+        (F.abs(F.col("estimate") - F.col("viewers")) <= F.col("viewers") * engagement.sketch_error()).alias("close"))
+
+
 @query
 def quality_region_isp(t):
     return engagement.quality_by_region_isp(t.streaming_quality)
@@ -371,6 +391,23 @@ def daily_user_engagement(t):
     return files.read_table(t.spark, path)
 
 
+@query
+def engagement_two_runs(t):
+    """The engagement table after a second run, before which the sessions of one month changed."""
+    path = scratch_path(t.spark, f"engagement-runs-{uuid4().hex}")
+    before = t.viewing_history
+    changed_month = refresh.of_months("start_time", [CHANGED_MONTH])
+    after = before.withColumn("duration_watched_min", F.when(
+        changed_month, F.col("duration_watched_min") / 2).otherwise(F.col("duration_watched_min")))
+    for viewing in (before, after):
+        refresh.refresh_engagement(t.spark, path, cleaning.clean_viewing(viewing), t.user_profiles,
+                                   t.streaming_quality, clean_interactions(t))
+    return files.read_table(t.spark, path)
+
+
+CHANGED_MONTH = 199803
+
+
 @query
 def top_content_csv(t):
     """The report written as CSV and read again."""
@@ -516,6 +553,30 @@ def landing_tables(t: TestTables) -> dict[str, DataFrame]:
     }
 
 
+def landed(t: TestTables) -> batch.Lake:
+    """A lake whose landing files hold the tables as they are."""
+    root = scratch_path(t.spark, f"measured-{uuid4().hex}")
+    for dataset, df in {**landing_tables(t), "viewing-history": day_text(t.viewing_history)}.items():
+        land(df, root, dataset)
+    return batch.Lake(t.spark, root)
+
+
+@query
+def dq_report_staged(t):
+    """The gates over landing files, with row rules counted while the files are staged."""
+    lake = landed(t)
+    tables = lake.staged()
+    return quality.measured_report(lake.measured, tables)
+
+
+@query
+def dq_null_rates_staged(t):
+    """Null rates of landing files, counted while the files are staged."""
+    lake = landed(t)
+    lake.staged()
+    return checks.null_rates_of(lake.measured, t.spark)
+
+
 @query
 def dataset_presence(t):
     return checks.dataset_presence({**landing_tables(t), "ratings": None}, t.spark)

@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from helpers import tuples
 from sluice import schemas
 from sluice.operators.dedupe import merge_shards
-from sluice.plans import batch
+from sluice.operators import checks
+from sluice.plans import batch, engagement, quality, refresh, warehouse
 from sluice.plans.quality import QualityGateError
+from sluice.session import list_names
+from sluice.sources import files
 from sluice.sources.files import read_csv, zone_path
 
 
@@ -133,3 +136,94 @@ def test_shards_and_order_log(spark, frame, tmp_path):
         assert tuple(wh.load_shards(2, both, *staff, days, log).first()) == (2, 1, 0)
         assert tuples(wh.grown("fact_sales", 2).where("sale_key > 3"), "sale_key", "source_order_id", "quantity") == [
             (4, 4, 1), (5, None, 6)]
+
+
+def parts(path):
+    """Data files by folder, marks left out."""
+    return {str(f.relative_to(path)) for f in path.rglob("*.parquet") if refresh.MARKS not in str(f)}
+
+
+def test_only_changed_months_are_written(spark, frame, tmp_path):
+    users = frame(schemas.USER_PROFILES, (1, "basic", True), (2, "max", False))
+    delivery = frame(schemas.STREAMING_QUALITY, (1, "s1", "eu", "x", 4, 3.0, 1, 20.0))
+    clicks = [(1, 1, "2026-01-06 00:00:00", None), (2, 5, "2026-03-01 00:00:00", None)]
+    sessions = [(1, 1, 90.0, 100.0, 50.0, "web", "2026-01-05 10:00:00"), (2, 2, 30.0, 60.0, 50.0, "web", "2026-02-05 10:00:00"),
+                (2, 2, 60.0, 60.0, 50.0, "web", "2026-03-05 10:00:00"), (2, 2, 60.0, 60.0, 50.0, "web", None)]
+
+    def run(rows, seen=clicks, people=users):
+        tables = frame(schemas.VIEWING_HISTORY, *rows), people, delivery, frame(schemas.USER_INTERACTIONS, *seen)
+        months = refresh.refresh_engagement(spark, str(path), *tables)
+        wanted = engagement.user_monthly_engagement(*tables)
+        assert tuples(spark.read.parquet(str(path)).select(wanted.columns)) == tuples(wanted)
+        copied = refresh.refresh_copy(spark, str(path), str(tmp_path / "copy"))
+        assert tuples(spark.read.parquet(str(tmp_path / "copy")).select(wanted.columns)) == tuples(wanted)
+        assert copied == months
+        return months
+
+    path = tmp_path / "engagement"
+    assert run(sessions) == [refresh.NO_MONTH, 202601, 202602, 202603]
+    first = parts(path)
+    assert run(list(reversed(sessions))) == [] and parts(path) == first  # the order of rows doesn't matter
+    changed = [sessions[0], (2, 2, 31.0, 60.0, 50.0, "web", "2026-02-05 10:00:00"), *sessions[2:]]
+    assert run(changed) == [202602]
+    assert {f for f in first if "month=2/" not in f} == {f for f in parts(path) if "month=2/" not in f}
+    assert run(changed, clicks + clicks[1:]) == [202603]
+    assert run(changed[:2], clicks + clicks[1:]) == []  # two months are gone
+    assert len(parts(path)) == 2
+    everyone = frame(schemas.USER_PROFILES, (1, "basic", False), (2, "max", False))
+    assert run(changed[:2], clicks, everyone) == [202601, 202602]
+
+
+def test_lake_run_by_month(spark, frame, tmp_path):
+    root = str(tmp_path)
+    write_landing(frame, root)
+    lake = batch.Lake(spark, root, by_month=True)
+    batch.run_lake(lake)
+    report = tmp_path / "analytics" / "reports" / "daily-user-engagement"
+    first = parts(report)
+    assert lake.table("analytics", "user-monthly-engagement").count() == 3 and len(first) == 2
+    batch.run_lake(batch.Lake(spark, root, by_month=True))
+    assert parts(report) == first
+    assert lake.measured["viewing-history"].rows == 3 and lake.measured["viewing-history"].violations() == [("viewing_range", 1)]
+    assert ("device", 1, 3) in lake.measured["viewing-history"].nulls()
+
+
+def test_staged_gates_equal_the_plain_report(spark, frame, tmp_path):
+    root = str(tmp_path)
+    write_landing(frame, root, viewing_user=99)
+    lake = batch.Lake(spark, root)
+    staged = lake.staged()
+    plain = quality.quality_report(staged["viewing-history"], staged["user-profiles"], staged["content-catalog"],
+                                   staged["streaming-quality"], staged["user-interactions"])
+    assert tuples(quality.measured_report(lake.measured, staged)) == tuples(plain)
+    rates = checks.null_rates_of(lake.measured, spark)
+    for name, df in staged.items():
+        declared = [c for c in df.columns if c != files.UNDECLARED]
+        assert tuples(rates.where(F.col("dataset") == name).drop("dataset")) == tuples(checks.null_rates(df, declared))
+    scratch = lake._scratch
+    assert list_names(spark, scratch)
+    lake.release()
+    assert list_names(spark, scratch) == []
+
+
+def test_only_touched_buckets_are_written(spark, frame, tmp_path):
+    """The buckets together are what one upsert of the whole dimension gives."""
+    wh = batch.Warehouse(spark, str(tmp_path), buckets=8)
+    person = "customer_id BIGINT, first_name STRING, last_name STRING, email STRING, city STRING, state STRING, shard_order INT"
+
+    def rows(*people):
+        return warehouse.customer_rows(frame(person, *[(i, "a", "b", "e", city, "FL", 0) for i, city in people]))
+
+    plain, files_of = None, {}
+    batches = [[(i, "old") for i in range(40)], [(3, "new"), (3, "newer"), (100, "x")], [], [(101, "y")]]
+    for load, people in enumerate(batches, start=1):
+        for _ in range(2):  # run again, with the same result
+            incoming = rows(*people)
+            got = wh.upsert("dim_customer", load, incoming)
+        plain = warehouse.DIMENSIONS["dim_customer"].upsert(plain, incoming)
+        assert tuples(got, *plain.columns) == tuples(plain)
+        files_of[load] = {f.parent.name for f in (tmp_path / "dim_customer" / f"load={load}").rglob("*.parquet")}
+    assert len(files_of[1]) == 8 and 1 <= len(files_of[2]) <= 2 and not files_of[3] and len(files_of[4]) == 1
+    assert wh.whole("dim_customer", 4, [0]).count() < 12
+    empty = wh.upsert("dim_product", 1, warehouse.product_rows(frame(schemas.PRODUCTS)))
+    assert empty.count() == 0 and wh.whole("dim_product", 1) is None
