@@ -19,9 +19,15 @@ def orphans(df: DataFrame, reference: DataFrame, key: str) -> DataFrame:
 
 def comparable(value: Column, one: str, two: str) -> Column:
     """A key as text that is equal where keys of both types are equal."""
-    numbers = {"tinyint", "smallint", "int", "bigint"}
-    if one != two and {one, two} - numbers and {one, two} <= numbers | {"float", "double"}:
-        value = value.cast("double")
+    kinds = {one.split("(")[0], two.split("(")[0]}
+    whole = {"tinyint", "smallint", "int", "bigint"}
+    if one != two and kinds <= whole | {"float", "double", "decimal"}:
+        if kinds & {"float", "double"}:
+            value = value.cast("double")
+        elif "decimal" in kinds:
+            # As many decimals as the finer type has.
+            scale = max(int(t.rstrip(")").split(",")[1]) for t in (one, two) if t.startswith("decimal"))
+            value = value.cast(f"decimal(38,{scale})")
     return value.cast("string")
 
 

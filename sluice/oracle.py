@@ -408,6 +408,9 @@ SELECT *, NOT fatal OR violations = 0 AS passed FROM counted"""
 for name in ("dq_report", "dq_report_staged"):
     define(name, gates("true", "true"))
 define("dq_report_lost_profiles", gates("NOT is_churned", "release_year > 1980"))
+define("dq_first_failure", gates("NOT is_churned", "release_year > 1980")
+       + " ORDER BY passed, gate_order LIMIT 1")
+ORACLES["dq_first_failure"] = f"SELECT rule, violations FROM ({ORACLES['dq_first_failure']}) WHERE NOT passed"
 define("dq_null_rates", " UNION ALL ".join(
     f"""SELECT '{v.replace("_", "-")}' AS dataset, '{c}' AS column_name, count(*) FILTER ("{c}" IS NULL) AS null_count,
     count(*) AS row_count, round(count(*) FILTER ("{c}" IS NULL)::double / count(*), 6) AS null_rate

@@ -24,6 +24,10 @@ REPORTED_ONLY = ("viewing_range",)
 class QualityGateError(ValueError):
     """A rule that must hold for the run to go on is broken."""
 
+    def __init__(self, rule: str, violations: int):
+        super().__init__(f"{rule}: {violations} rows break this rule")
+        self.rule, self.violations = rule, violations
+
 
 def viewing_range():
     watched_too_long = F.col("duration_watched_min") > F.col("total_duration_min")
@@ -98,5 +102,5 @@ def enforce(report: DataFrame) -> list:
     rows = report.orderBy("gate_order").collect()
     for row in rows:
         if not row["passed"]:
-            raise QualityGateError(f"{row['rule']}: {row['violations']} rows break this rule")
+            raise QualityGateError(row["rule"], row["violations"])
     return rows

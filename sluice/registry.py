@@ -535,6 +535,18 @@ def dq_report_lost_profiles(t):
     )
 
 
+@query
+def dq_first_failure(t):
+    """Which rule ends a run without the profiles of churned users, and after how many broken rows."""
+    try:
+        quality.enforce(dq_report_lost_profiles(t))
+    except quality.QualityGateError as failure:
+        found = [(failure.rule, failure.violations)]
+    else:
+        found = []
+    return t.spark.createDataFrame(found, "rule STRING, violations BIGINT")
+
+
 @query
 def dq_null_rates(t):
     return reduce(DataFrame.unionByName, [

@@ -103,6 +103,10 @@ def test_keys_of_different_types(frame):
     known = frame("k LONG", (1,), (2,))
     assert tuples(violation_counts(doubles, {"unknown": ("k", known)})) == [("unknown", 2)]
     assert tuples(orphans(doubles, known, "k"), "v") == [("c",), ("d",)]
+    exact = doubles.withColumn("k", F.col("k").cast("decimal(10,2)"))
+    finer = known.withColumn("k", F.col("k").cast("decimal(20,4)"))
+    for table in (known, finer, known.withColumn("k", F.col("k").cast("int"))):
+        assert tuples(violation_counts(exact, {"unknown": ("k", table)})) == [("unknown", 2)]
 
 
 def test_parameters_keep_their_digits(frame):
