@@ -20,6 +20,8 @@ SETTINGS = {
     # Split a hot partition even if the next step then has to shuffle again.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Shuffle files of a finished query are of no more use, and many queries make one run.
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     # Window state of long streams lives outside the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
