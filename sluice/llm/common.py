@@ -7,7 +7,7 @@ from uuid import uuid4
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.session import scratch_path
+from sluice.session import discard, scratch_path
 
 SPACES = r"[\x20\x09-\x0D]+"
 #: Rows in one Arrow batch; texts are long, so that batches stay at a few MB.
@@ -40,12 +40,20 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
     Unlike a cached or locally checkpointed frame it outlives the executors that made it,
-    and unlike the plan behind it, it is computed once.
+    and unlike the plan behind it, it is computed once. ``unstaged`` removes it.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm/{name}-{uuid4().hex}")
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_path = path
+    return table
+
+
+def unstaged(*tables: DataFrame) -> None:
+    """Remove staged tables from which all that was wanted has been written to others."""
+    for table in tables:
+        discard(table.sparkSession, table.staged_path)
 
 
 def without(df: DataFrame, *names: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import staged
+from sluice.llm.common import staged, unstaged
 
 
 def _sum_of(edges: DataFrame) -> tuple[int, int]:
@@ -37,7 +37,8 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     contractions: every round rewires edges to smaller nodes until the edges are stars, which
     takes a number of rounds in the order of log(nodes). Each round is written to the shared
     folder, so a lost executor costs no more than the running round. Sides of a hub are
-    partially aggregated before they are shuffled and its join is one that can be split.
+    partially aggregated before they are shuffled and its join is one that can be split. The
+    result reads the last round's table, which ``unstaged`` removes.
     """
     edges = staged(
         links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -46,12 +47,15 @@ def components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         if not seen[0]:
             break
-        edges = staged(_small_star(_large_star(edges)), "edges")
+        before, edges = edges, staged(_small_star(_large_star(edges)), "edges")
+        unstaged(before)
         now = _sum_of(edges)
         if now == seen:
             break
         seen = now
     else:
         raise RuntimeError("components did not settle")
-    return edges.select(F.col("b").alias("node"), F.col("a").alias("root")).union(
+    found = edges.select(F.col("b").alias("node"), F.col("a").alias("root")).union(
         edges.select(F.col("a").alias("node"), F.col("a").alias("root")).distinct())
+    found.staged_path = edges.staged_path
+    return found

@@ -10,15 +10,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import small_batches, staged, text_or_empty
+from sluice.llm.common import small_batches, staged, text_or_empty, unstaged
 from sluice.llm.components import components
-from sluice.llm.textbatch import U, mix, run_hashes
+from sluice.llm.textbatch import U, RunHashes, mix
 
 _CHAR_BASE = 0xA0761D6478BD642F
 #: Rows in one Arrow batch of lines or of pairs of lines.
 LINE_BATCH = 2048
 #: Index entries from which a segment's list is compared in blocks, and rows of a block.
-LONG, BLOCK = 32, 512
+LONG, BLOCK = 8, 512
 #: Bins into which a line's characters are counted.
 BINS = 64
 
@@ -39,12 +39,12 @@ def segment_keys(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray,
     """
     chars, size = code_points(lines)
     begin = np.cumsum(size) - size
-    values = mix(chars.astype(U), 0x11E)
+    hashes = RunHashes(mix(chars.astype(U), 0x11E), _CHAR_BASE)
     parts = edits + 1
     rows, probes, keys = [], [], []
 
     def add(which, start, length, indexed, number, probe):
-        key = run_hashes(values, begin[which] + start, begin[which] + start + length, _CHAR_BASE)
+        key = hashes.of(begin[which] + start, begin[which] + start + length)
         rows.append(which)
         probes.append(np.full(len(which), probe))
         keys.append(mix(key, 0) ^ mix(indexed.astype(U) * U(parts) + U(number), 0x5E6))
@@ -245,6 +245,7 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
         "_copies > 1 or root is not null").select("_a", "_b", F.coalesce("root", "_line").alias("_class"))
     occurrences = staged(lines.select("_key", "line", a.alias("_a"), b.alias("_b")).join(classes, ["_a", "_b"]).drop(
         "_a", "_b"), "occurrences")
+    unstaged(distinct, long, held, pairs, asked, links, roots)
     by_document = occurrences.groupBy("_class", "_key").agg(F.min("line").alias("line"))
     counts = by_document.groupBy("_class").agg(
         F.count("*").alias("_documents"), F.min(F.struct("_key", "line")).alias("_first"))

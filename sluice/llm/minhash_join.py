@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import small_batches, staged, text_or_empty, without
+from sluice.llm.common import small_batches, staged, text_or_empty, unstaged, without
 from sluice.llm.components import components
 from sluice.llm.textbatch import U, Words, mix, window_hashes
 
@@ -219,6 +219,7 @@ def near_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.col("_text").cast("string"), F.length(F.col("_text").cast("string"))).alias("key")))
     signed = staged(keyed_read.mapInArrow(
         _signed, f"_id struct<id:{id_type},key:long>, _digest binary, _size long, _signature array<long>"), "signed")
+    sizes = staged(signed.drop("_signature"), "sizes")
     # One row for each text with words, however often it occurs.
     classes = staged(signed.where("_size > 0").groupBy("_digest").agg(
         F.min(F.struct(F.col("_id.id").isNull().alias("none"), F.col("_id.id").alias("id"),
@@ -226,8 +227,11 @@ def near_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.first("_signature").alias("_signature")).select(
         F.monotonically_increasing_id().alias("_class"), "_digest", F.col("_rep.id").alias("_first"),
         F.col("_rep.key").alias("_key"), "_signature"), "classes")
+    unstaged(signed)
     posted = staged(_postings(classes, least_matches(percent)), "posted")
     wanted = staged(posted.select("_class").join(classes, "_class").drop("_prefix"), "wanted")
+    named = staged(classes.drop("_signature"), "named")
+    unstaged(classes)
     # One text of each class that is a candidate; its copies stay where they are.
     asked = wanted.select(F.col("_first").alias("_wanted"), F.col("_key").alias("_wanted_key"))
     texts = keyed_read.join(asked, F.col("_id.id").eqNullSafe(F.col("_wanted"))
@@ -237,7 +241,7 @@ def near_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.first("_set").alias("_set")), "sets")
 
     lists = staged(posted.select("_class", "_score", F.explode("_prefix").alias("_value")), "lists")
-    links, roots = None, None
+    links, roots, parts = None, None, []
     for turn in range(hub_rounds + 1):
         known = lists.withColumn("_root", F.col("_class")) if roots is None else lists.join(
             roots, lists["_class"] == roots["node"], "left").withColumn("_root", F.coalesce("root", "_class"))
@@ -246,6 +250,7 @@ def near_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             F.max(F.struct(first.alias("s"), F.col("_class").alias("hub"), F.col("_root").alias("hub_root"))).alias("_hub"),
             F.min("_root").alias("_r0"), F.max("_root").alias("_r1"), F.count("*").alias("_n")).where(
             "_r0 < _r1").select("_value", "_n", "_hub.hub", "_hub.hub_root"), "open")
+        parts.append(open_lists)
         if open_lists.isEmpty():
             break
         if turn == hub_rounds:
@@ -258,15 +263,18 @@ def near_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 F.least("_class", "hub").alias("a"), F.greatest("_class", "hub").alias("b")).distinct()
             new = _linked(pairs, wanted, sets, percent)
         new = staged(new, "links")
+        parts.append(new)
         links = new if links is None else links.union(new)
-        roots = components(links)
-    rooted = classes.withColumn("_root", F.col("_class")) if roots is None else classes.join(
-        roots, classes["_class"] == roots["node"], "left").withColumn("_root", F.coalesce("root", "_class"))
+        before, roots = roots, components(links)
+        parts += [before] if before is not None else []
+    rooted = named.withColumn("_root", F.col("_class")) if roots is None else named.join(
+        roots, named["_class"] == roots["node"], "left").withColumn("_root", F.coalesce("root", "_class"))
     rooted = rooted.select("_digest", "_first", "_root")
     rooted = staged(rooted, "rooted")
+    unstaged(named, posted, wanted, sets, lists, *parts, *([roots] if roots is not None else []))
     least = rooted.groupBy("_root").agg(F.min("_first").alias("_component"))
-    named = rooted.join(least, "_root").select("_digest", "_component")
-    result = signed.join(named, "_digest", "left").select(
+    components_of = rooted.join(least, "_root").select("_digest", "_component")
+    result = sizes.join(components_of, "_digest", "left").select(
         "_id", F.col("_size").alias("n_shingles"),
         F.coalesce("_component", "_id.id").alias("component_id"))
     result = result.withColumn(

@@ -48,16 +48,26 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have[0][:n], have[1][:n]
 
 
+class RunHashes:
+    """Hashes of runs of ``values``, all from one prefix sum."""
+
+    def __init__(self, values: np.ndarray, base: int):
+        power, self.inverse = _powers(base, len(values))
+        self.sums = np.empty(len(values) + 1, U)
+        self.sums[0] = 0
+        np.cumsum(values * power, out=self.sums[1:])
+
+    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Hash of values[start:end] for each pair; ends are exclusive."""
+        if not len(starts):
+            return np.empty(0, U)
+        inside = (self.sums[ends] - self.sums[starts]) * self.inverse[starts]
+        return mix(inside + (ends - starts).astype(U))
+
+
 def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: int) -> np.ndarray:
     """Hash of values[start:end] for each pair, from one prefix sum; ends are exclusive."""
-    if not len(starts):
-        return np.empty(0, U)
-    power, inverse = _powers(base, len(values))
-    sums = np.empty(len(values) + 1, U)
-    sums[0] = 0
-    np.cumsum(values * power, out=sums[1:])
-    inside = (sums[ends] - sums[starts]) * inverse[starts]
-    return mix(inside + (ends - starts).astype(U))
+    return RunHashes(values, base).of(starts, ends)
 
 
 class Words:
