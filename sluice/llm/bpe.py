@@ -9,9 +9,10 @@ and only what is left is merged.
 from __future__ import annotations
 
 import json
+import string
+import struct
 from functools import lru_cache
 
-import numpy as np
 import regex
 import tiktoken
 from tokenizers import Tokenizer
@@ -21,8 +22,9 @@ PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 #: Letters, digits and spaces below are the same in all three libraries (tests compare them);
 #: a chunk with a character beyond is left to the tokenizer itself.
 SAME_BELOW = "Ͱ"
-#: Chunks remembered by one worker before it starts anew.
+#: Chunks remembered by one worker before it starts anew, and characters of whole texts.
 REMEMBERED = 400_000
+REMEMBERED_CHARS = 16_000_000
 
 
 def _byte_letters() -> dict[str, int]:
@@ -41,8 +43,9 @@ def _loaded(path: str):
     vocabulary = {bytes(letters[c] for c in token): i for token, i in model["model"]["vocab"].items()
                   if all(c in letters for c in token)}
     special = [t["content"] for t in model["added_tokens"]]
-    merger = tiktoken.Encoding("merges", pat_str=PRE_TOKENS, special_tokens={},
-                               mergeable_ranks={k: v for k, v in vocabulary.items() if k.decode("latin-1") not in special})
+    ranks = {k: v for k, v in vocabulary.items() if k.decode("latin-1") not in special}
+    # Its core merges single pre-tokens; finding them is done here.
+    merger = tiktoken.Encoding("merges", pat_str=PRE_TOKENS, special_tokens={}, mergeable_ranks=ranks)._core_bpe
     return tokenizer, vocabulary, special, merger
 
 
@@ -65,28 +68,48 @@ def whole_tokens(path: str) -> dict[str, int]:
     return {s: i for (s, i), e in zip(strings.items(), encoded, strict=True) if e.ids == [i]}
 
 
+#: ASCII characters that are neither white space nor letters nor digits.
+MARKS = frozenset(string.punctuation)
+PACK = [struct.Struct(f"<{n}I").pack for n in range(17)]
+
+
 class _Unsafe(Exception):
     """A chunk whose ends touch more white space."""
 
 
 class _Chunks(dict):
-    """Little-endian 32-bit ids, or the number of ids, of " " + chunk; filled as asked."""
+    """Little-endian 32-bit ids, or the number of ids, of ``before`` + chunk; filled as asked.
 
-    def __init__(self, encoder: "Encoder"):
-        super().__init__()
-        self.encoder = encoder
-        self.restart()
+    ``before`` is a space, or nothing where a chunk begins a text or a line.
+    """
 
-    def restart(self) -> None:
-        self.clear()
-        self.update(self.encoder.known)
+    def __init__(self, encoder: "Encoder", before: str):
+        super().__init__()
+        self.encoder, self.before = encoder, before
+        n = len(before)
+        self.known = {s[n:]: v for s, v in encoder.whole.items()
+                      if s.startswith(before) and len(s) > n and not s[n].isspace() and not s[-1].isspace()}
+        self.update(self.known)
 
     def __missing__(self, chunk: str):
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Unsafe
-        value = self.encoder.piecewise(" " + chunk)
+        encoder = self.encoder
+        # ASCII letters, after a space or not, are one pre-token, and so are a mark that follows
+        # them and a line's end between two characters that aren't white space.
+        if not chunk.isascii():
+            value = encoder.piecewise(self.before + chunk)
+        elif chunk.isalpha():
+            value = encoder.value(encoder.merger.encode_single_piece((self.before + chunk).encode()))
+        elif chunk[-1] in MARKS and (word := chunk[:-1]).isalpha():
+            value = self[word] + encoder.merged(chunk[-1])
+        elif (at := chunk.find("\n")) > 0 and not chunk[at - 1].isspace() and not chunk[at + 1].isspace():
+            value = self[chunk[:at]] + encoder.merged("\n") + encoder.starts[chunk[at + 1:]]
+        else:
+            value = encoder.piecewise(self.before + chunk)
         if len(self) > REMEMBERED:
-            self.restart()
+            self.clear()
+            self.update(self.known)
         self[chunk] = value
         return value
 
@@ -102,13 +125,19 @@ class Encoder:
         self.special_ids = {s: self.tokenizer.token_to_id(s) for s in self.special}
         self.ids, self.pattern = ids, regex.compile(PRE_TOKENS)
         self.whole = {s: self.value([i]) for s, i in whole.items()}
-        self.known = {s[1:]: v for s, v in self.whole.items()
-                      if s[0] == " " and len(s) > 1 and not s[1].isspace() and not s[-1].isspace()}
         self.nothing = b"" if ids else 0
-        self.chunks = _Chunks(self)
+        self.chunks, self.starts = _Chunks(self, " "), _Chunks(self, "")
+        self.texts, self.chars = {}, 0
 
     def value(self, ids: list[int]):
-        return np.array(ids, "<u4").tobytes() if self.ids else len(ids)
+        if not self.ids:
+            return len(ids)
+        return PACK[len(ids)](*ids) if len(ids) < len(PACK) else struct.pack(f"<{len(ids)}I", *ids)
+
+    def merged(self, piece: str):
+        """Encode one pre-token."""
+        known = self.whole.get(piece)
+        return self.value(self.merger.encode_single_piece(piece.encode())) if known is None else known
 
     def total(self, values):
         return b"".join(values) if self.ids else sum(values)
@@ -116,9 +145,7 @@ class Encoder:
     def piecewise(self, text: str):
         """Encode a text that has no special string: whole tokens first, merges for the rest."""
         if text.isascii() or max(text) < SAME_BELOW:
-            return self.total([self.whole[p] if p in self.whole
-                               else self.value(self.merger.encode_ordinary(p))
-                               for p in self.pattern.findall(text)])
+            return self.total(map(self.merged, self.pattern.findall(text)))
         return self.value(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def plain(self, text: str):
@@ -127,12 +154,23 @@ class Encoder:
         first, *rest = text.split(" ")
         if first and not first[-1].isspace():
             try:
-                return self.total([self.piecewise(first), *map(self.chunks.__getitem__, rest)])
+                return self.total([self.starts[first], *map(self.chunks.__getitem__, rest)])
             except _Unsafe:
                 pass
         return self.piecewise(text)
 
     def encode(self, text: str):
+        """Ids or count of a text; copies of a text met before are not encoded again."""
+        value = self.texts.get(text)
+        if value is None:
+            if self.chars + len(text) > REMEMBERED_CHARS:
+                self.texts.clear()
+                self.chars = 0
+            value = self.texts[text] = self._encoded(text)
+            self.chars += len(text)
+        return value
+
+    def _encoded(self, text: str):
         found = [s for s in self.special if s in text]
         if not found:
             return self.plain(text)

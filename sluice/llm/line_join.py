@@ -17,8 +17,10 @@ from sluice.llm.textbatch import U, RunHashes, mix
 _CHAR_BASE = 0xA0761D6478BD642F
 #: Rows in one Arrow batch of lines or of pairs of lines.
 LINE_BATCH = 2048
-#: Index entries from which a segment's list is compared in blocks, and rows of a block.
-LONG, BLOCK = 8, 512
+#: A segment indexed by more lines than ``FEW`` has its probes counted too. Its list is compared
+#: in blocks of ``BLOCK`` rows if more than ``LONG`` lines are indexed, or its pairs are more than
+#: the square of that; else by its pairs, as are all others.
+FEW, LONG, BLOCK = 4, 32, 512
 #: Bins into which a line's characters are counted.
 BINS = 64
 
@@ -30,12 +32,13 @@ def code_points(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         [len(x) for x in lines], np.int64)
 
 
-def segment_keys(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def segment_keys(lines: list[str], edits: int, probing: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(line, probe?, key) rows of the join: edits + 1 segments a line, and its probes.
 
     Of two lines within so many edits, one segment of the shorter stands in the longer, shifted
     by no more than the edits before or after it allow. Keys hold the indexed line's length and
-    the segment's number, so that only lines of fitting lengths meet.
+    the segment's number, so that only lines of fitting lengths meet. Without ``probing`` there
+    are the lines' own segments only.
     """
     chars, size = code_points(lines)
     begin = np.cumsum(size) - size
@@ -50,7 +53,7 @@ def segment_keys(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray,
         keys.append(mix(key, 0) ^ mix(indexed.astype(U) * U(parts) + U(number), 0x5E6))
 
     every = np.arange(len(lines))
-    for less in range(edits + 1):
+    for less in range(edits + 1 if probing else 1):
         indexed = size - less
         short = parts - indexed % parts
         base = indexed // parts
@@ -59,6 +62,8 @@ def segment_keys(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray,
             length = base + (i >= short)
             if not less:
                 add(every, place, length, indexed, i, False)
+            if not probing:
+                continue
             low = np.maximum(np.maximum(place - i, place + less - (edits - i)), 0)
             high = np.minimum(np.minimum(place + i, place + less + (edits - i)), size - length)
             for shift in range(2 * edits + 1):
@@ -126,12 +131,12 @@ def within(one: list[str], two: list[str], edits: int) -> np.ndarray:
     return result
 
 
-def _segments(edits: int):
+def _segments(edits: int, probing: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            row, probe, key = segment_keys(batch.column("_text").to_pylist(), edits)
+            row, probe, key = segment_keys(batch.column("_text").to_pylist(), edits, probing)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("_line").take(pa.array(row)), pa.array(probe), pa.array(key.view(np.int64))],
                 names=["_line", "_probe", "_segment"])
@@ -221,18 +226,29 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
     lines = lines.where(_classed(F.col("_text"), min_chars))
     a, b = F.xxhash64("_text"), F.xxhash64(F.lit(7), "_text", F.length("_text"))
     # Equal lines are one row of the join, however often they occur.
-    distinct = staged(lines.groupBy(a.alias("_a"), b.alias("_b")).agg(
-        F.first("_text").alias("_text"), F.count("*").alias("_copies")).withColumn(
-        "_line", F.monotonically_increasing_id()), "lines")
-    posted = distinct.where(F.length("_text") >= min_chars).select("_line", "_text").mapInArrow(_segments(edits), "_line long, _probe boolean, _segment long")
-    indexed = posted.where("not _probe").select("_segment", F.col("_line").alias("a"))
-    probes = posted.where("_probe").select("_segment", F.col("_line").alias("b"))
-    # A segment that many lines have is compared in blocks, all others by their pairs.
-    long = staged(indexed.groupBy("_segment").agg(F.count("*").alias("n")).where(F.col("n") > LONG).select("_segment"), "long")
-    held = staged(posted.join(long, "_segment", "left_semi").select("_segment", "_line").distinct(), "held")
-    indexed = indexed.join(long, "_segment", "left_anti")
-    pairs = staged(indexed.join(probes, "_segment").where("a <> b").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
+    distinct = staged(lines.groupBy("_text").agg(F.count("*").alias("_copies")).select(
+        a.alias("_a"), b.alias("_b"), "_text", "_copies", F.monotonically_increasing_id().alias("_line")), "lines")
+    long_lines = distinct.where(F.length("_text") >= min_chars).select("_line", "_text")
+    schema = "_line long, _probe boolean, _segment long"
+    own = long_lines.mapInArrow(_segments(edits, False), schema).select("_segment", F.col("_line").alias("a"))
+    posted = long_lines.mapInArrow(_segments(edits, True), schema)
+    # Segments that several lines have are looked at whole, before anything is paired.
+    many = staged(own.groupBy("_segment").agg(F.count("*").alias("n")).where(F.col("n") > FEW).select("_segment"), "many")
+    shared = staged(posted.join(many, "_segment", "left_semi"), "shared")
+    sides = shared.groupBy("_segment").agg(F.count_if("_probe").alias("probes"), F.count_if(~F.col("_probe")).alias("own"))
+    long = staged(sides.where((F.col("own") > LONG) | (F.col("own") * F.col("probes") > LONG * LONG)).select("_segment"), "long")
+    held = staged(shared.join(long, "_segment", "left_semi").select("_segment", "_line").distinct(), "held")
+
+    def met(indexed: DataFrame, probes: DataFrame) -> DataFrame:
+        return indexed.join(probes, "_segment").where("a <> b").select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    short = shared.join(long, "_segment", "left_anti")
+    few = own.join(many, "_segment", "left_anti")
+    pairs = staged(met(few, posted.where("_probe").select("_segment", F.col("_line").alias("b"))).union(met(
+        short.where("not _probe").select("_segment", F.col("_line").alias("a")),
+        short.where("_probe").select("_segment", F.col("_line").alias("b")))).distinct(), "line-pairs")
+    unstaged(many, shared)
     # Texts are fetched once, of lines in some pair or long list only.
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("_line")).union(held.select("_line")).distinct()
     asked = staged(distinct.select("_line", "_text").join(wanted, "_line", "left_semi"), "asked")
@@ -240,12 +256,13 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
         asked.select(F.col("_line").alias("b"), F.col("_text").alias("_tb")), "b")
     links = staged(texts.select("a", "b", "_ta", "_tb").mapInArrow(_verified(edits), "a long, b long").union(
         _in_blocks(held, asked, edits)), "line-links")
+    unstaged(long, held, pairs, asked)
     roots = components(links)
     classes = distinct.drop("_text").join(roots, distinct["_line"] == roots["node"], "left").where(
         "_copies > 1 or root is not null").select("_a", "_b", F.coalesce("root", "_line").alias("_class"))
     occurrences = staged(lines.select("_key", "line", a.alias("_a"), b.alias("_b")).join(classes, ["_a", "_b"]).drop(
         "_a", "_b"), "occurrences")
-    unstaged(distinct, long, held, pairs, asked, links, roots)
+    unstaged(distinct, links, roots)
     by_document = occurrences.groupBy("_class", "_key").agg(F.min("line").alias("line"))
     counts = by_document.groupBy("_class").agg(
         F.count("*").alias("_documents"), F.min(F.struct("_key", "line")).alias("_first"))
