@@ -32,15 +32,21 @@ PLACEHOLDERS = re.compile(r"(?i)^(your|my|the|some)?[_-]?(example|sample|dummy|t
                           r"redacted|none|null|true|false|todo|insert)|^[xX*.]+$|^<.*>$|^\$\{?.*\}?$|^%.*%$|^\{\{.*\}\}$")
 LEAST_SCORE = 0.5
 
+#: Possessive repeats and escapes as tokens of their own: no character is looked at more than a
+#: few times, whatever the text. An apostrophe inside a word opens no string.
 _TOKEN = re.compile(r"""
-    (?P<comment>(?:\#|//)[^\n]*)
-  | (?P<string>"(?:[^"\\\n]|\\.)*" | '(?:[^'\\\n]|\\.)*' | `(?:[^`\\\n]|\\.)*`)
-  | (?P<name>[A-Za-z_$][A-Za-z0-9_$]*(?:[.-][A-Za-z_$][A-Za-z0-9_$]*)*)
+    (?P<comment>(?:\#|//)[^\n]*+)
+  | (?P<string>(?:(?<![A-Za-z0-9_$])[fFrRbBuU]{1,2})?+(?:
+        \"\"\"(?:[^"\\]|\\.|"(?!\"\"))*+\"\"\" | '''(?:[^'\\]|\\.|'(?!''))*+'''
+      | "(?:[^"\\\n]|\\.)*+" | (?<![A-Za-z0-9])'(?:[^'\\\n]|\\.)*+' | (?<=[fFrRbBuU])'(?:[^'\\\n]|\\.)*+'
+      | `(?:[^`\\\n]|\\.)*+`))
+  | (?P<escape>\\.)
+  | (?P<name>[A-Za-z_$][A-Za-z0-9_$]*+(?:[.-][A-Za-z_$][A-Za-z0-9_$]*+)*+)
   | (?P<op>:=|=>|==+|!=|<=|>=|[=:+])
   | (?P<line>\n)
-  | (?P<space>[^\S\n]+)
+  | (?P<space>[^\S\n]++)
   | (?P<other>.)
-""", re.VERBOSE | re.ASCII)
+""", re.VERBOSE | re.ASCII | re.DOTALL)
 #: An unquoted value of a configuration line, to the end of its line.
 _BARE = re.compile(r"[A-Za-z0-9+/_.=@!$%^&*~-]+(?=[ \t]*(?:\n|\Z|[#;,]))", re.ASCII)
 
@@ -62,51 +68,140 @@ def literal_weight(value: str) -> float:
     return min(1.0, 0.25 + 0.15 * kinds + 0.1 * bits)
 
 
+#: Characters and literals of one constant; a name with more is none, as no credential is so long.
+LONGEST, MOST_PLACES = 4096, 64
+#: Tokens of a type that may stand between a name's colon and its equals sign.
+TYPE_TOKENS = 12
+
+
+class _Value:
+    """Text of a constant and the places of the literals that it was made from, each once."""
+
+    def __init__(self, text: str, places: tuple[tuple[int, int], ...]):
+        self.text, self.places = text, places
+
+    def joined(self, other: _Value) -> _Value | None:
+        """Both, one after the other; nothing if that is longer than any constant may be."""
+        places = tuple(dict.fromkeys(self.places + other.places))
+        if len(self.text) + len(other.text) > LONGEST or len(places) > MOST_PLACES:
+            return None
+        return _Value(self.text + other.text, places)
+
+
+class _Lexed:
+    """Tokens of a text, and what its assignments say of names so far."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.tokens = [(m.lastgroup, m.start(), m.end()) for m in _TOKEN.finditer(text)
+                       if m.lastgroup not in ("space", "comment")]
+        self.known: dict[str, _Value] = {}
+
+    def shown(self, i: int) -> str:
+        return self.text[self.tokens[i][1]: self.tokens[i][2]] if 0 <= i < len(self.tokens) else ""
+
+    def kind(self, i: int) -> str:
+        return self.tokens[i][0] if 0 <= i < len(self.tokens) else ""
+
+    def inside(self, i: int) -> tuple[int, int]:
+        """Place of what stands between a string's quotes."""
+        _, start, end = self.tokens[i]
+        while self.text[start] not in "\"'`":
+            start += 1
+        n = 3 if self.text.startswith(('"""', "'''"), start) and end - start >= 6 else 1
+        return start + n, end - n
+
+    def names_before(self, i: int) -> list[str]:
+        """Names that the operator at ``i`` may assign to: the nearest first."""
+        kind = self.kind(i - 1)
+        if kind == "string":
+            a, b = self.inside(i - 1)
+            return [self.text[a:b]]
+        if self.shown(i - 1) == "]":  # a["name"] = …
+            if self.shown(i - 3) != "[":
+                return []
+            if self.kind(i - 2) == "string":
+                a, b = self.inside(i - 2)
+                return [self.text[a:b]]
+            return [self.shown(i - 2)] if self.kind(i - 2) == "name" else []
+        if kind != "name":
+            return []
+        # String name = …, or name string = …
+        return [self.shown(k) for k in (i - 1, i - 2) if self.kind(k) == "name"]
+
+    def after_type(self, i: int) -> int:
+        """The equals sign that ends the type which begins at ``i``, or -1."""
+        for j in range(i, min(i + TYPE_TOKENS, len(self.tokens))):
+            shown = self.shown(j)
+            if shown == "=":
+                return j if j > i else -1
+            if self.kind(j) != "name" and shown not in ("[", "]", ",", "|", "."):
+                return -1
+        return -1
+
+    def operand(self, i: int) -> _Value | None:
+        kind = self.kind(i)
+        if kind == "string":
+            a, b = self.inside(i)
+            return _Value(self.text[a:b], ((a, b),))
+        return self.known.get(self.shown(i)) if kind == "name" else None
+
+    def value_at(self, i: int) -> tuple[_Value | None, int]:
+        """The value whose tokens begin at ``i``, and the token behind it."""
+        j = i
+        while self.shown(j) == "(":
+            j += 1
+        value = self.operand(j)
+        if value is not None:
+            j += 1
+            while self.shown(j) == "+" and (more := self.operand(j + 1)) is not None:
+                value, j = value and value.joined(more), j + 2
+            if self.shown(j) == "+":  # something that isn't known follows
+                value = None
+            return value, j
+        # A bare word to the end of its line.
+        if j < len(self.tokens) and self.kind(j) in ("name", "other") and (bare := _BARE.match(self.text, self.tokens[j][1])):
+            while j < len(self.tokens) and self.tokens[j][1] < bare.end():
+                j += 1
+            return _Value(bare[0], (bare.span(),)), j
+        return None, i
+
+
 def assigned_literals(text: str) -> Iterator[tuple[int, int, float]]:
     """(start, end, score) of literals that reach a sensitive name.
 
     Names followed by ``=``, ``:``, ``:=`` or ``=>`` take the value on the right: strings and
-    names joined by ``+``, or a bare word to the end of its line. A name whose value is known is
-    a constant, and passes it on, with the places of the literals it came from, to the names it
-    is assigned to. Comments are skipped.
+    names joined by ``+``, in brackets or not, or a bare word to the end of its line. A type may
+    stand before the name, behind it, or between its colon and equals sign, and the name may be a
+    quoted key or a subscript; of several names the most sensitive counts. A name whose value is
+    known is a constant, and passes it on, with the places of the literals it came from, to the
+    names it is assigned to; it is forgotten when something else is assigned to it. Comments are
+    skipped. Time and memory grow with the text's length only.
     """
-    tokens = [(m.lastgroup, m.start(), m.end()) for m in _TOKEN.finditer(text) if m.lastgroup != "space"]
-    known: dict[str, tuple[str, tuple[tuple[int, int], ...]]] = {}
-
-    def term(i: int):
-        """Value and places of the literals of one operand."""
-        kind, start, end = tokens[i]
-        if kind == "string":
-            return text[start + 1: end - 1], ((start + 1, end - 1),)
-        return known.get(text[start:end]) if kind == "name" else None
-
-    i = 0
-    while i + 2 < len(tokens):
-        kind, start, end = tokens[i]
-        op = text[tokens[i + 1][1]: tokens[i + 1][2]] if tokens[i + 1][0] == "op" else ""
-        if kind not in ("name", "string") or op not in ("=", ":", ":=", "=>"):
+    lexed = _Lexed(text)
+    i = 1
+    while i + 1 < len(lexed.tokens):
+        op = lexed.shown(i) if lexed.kind(i) == "op" else ""
+        names = lexed.names_before(i) if op in ("=", ":", ":=", "=>") else []
+        if not names:
             i += 1
             continue
-        name = text[start:end].strip("\"'`")
-        j, value = i + 2, None
-        first = term(j)
-        if first is not None:
-            value, j = first, j + 1
-            while j + 1 < len(tokens) and text[tokens[j][1]: tokens[j][2]] == "+" and (more := term(j + 1)):
-                value, j = (value[0] + more[0], value[1] + more[1]), j + 2
-        elif tokens[j][0] in ("name", "other") and (bare := _BARE.match(text, tokens[j][1])):
-            value = bare[0], (bare.span(),)
-            while j < len(tokens) and tokens[j][1] < bare.end():
-                j += 1
+        begin = i + 1
+        if op == ":" and (equals := lexed.after_type(begin)) > 0:
+            names = [*names[:1], lexed.shown(equals - 1)]
+            begin = equals + 1
+        name = max(names, key=name_weight)
+        value, behind = lexed.value_at(begin)
         if value is None:
+            lexed.known.pop(name, None)
             i += 1
             continue
-        known[name] = value
-        score = name_weight(name) * literal_weight(value[0])
+        lexed.known[name] = value
+        score = name_weight(name) * literal_weight(value.text)
         if score >= LEAST_SCORE:
-            for a, b in value[1]:
+            for a, b in value.places:
                 yield a, b, score
-        i = j
+        i = max(behind, i + 1)
 
 
 def find_secrets(text: str) -> list[tuple[int, int, str, float]]:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 from collections import defaultdict
 
@@ -229,6 +230,39 @@ def test_secrets(spark, docs, odd):
     assert secrets.secret_spans(odd).count() == len(ODD)
 
 
+LITERAL = "q7Zr-92kLmX0vB"
+FORMS = [
+    'private_key: str = "{}"', 'const privateKey string = "{}"', 'os.environ["PRIVATE_KEY"] = "{}"', 'private_key = ("{}")',
+    'private_key = """{}"""', "private_key = '''{}'''", 'private_key = f"{}"', "private_key = rb'{}'", "It's here, private_key = '{}', isn't it",
+    "share: private_key={}", 'String privateKey = "{}";', 'cfg[private_key] = "{}"', 'private_key: Optional[str] = "{}"', '{{"private_key": "{}"}}',
+    'x = "{}"\ny = x\nprivate_key = y', "private_key => '{}'", 'let private_key := `{}`', 'a = "{}" # note\nprivate_key = (a)', "private_key: {}",
+]
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_forms_of_assignments(form):
+    text = form.format(LITERAL)
+    assert [text[a:b] for a, b, k, _ in secrets.find_secrets(text) if k == "literal"] == [LITERAL]
+
+
+def test_no_literal_where_none_is_assigned():
+    for text in ('k = "q7Zr-92kLmX0vB"\nk = input()\nprivate_key = k', 'private_key == "q7Zr-92kLmX0vB"', '# private_key = "q7Zr-92kLmX0vB"',
+                 'k = "q7Zr-92kLmX0vB"\nprivate_key = k + unknown', 'private_key = "changeme"', "private_key = f(x)"):
+        assert [k for *_, k, _ in secrets.find_secrets(text) if k == "literal"] == [], text
+
+
+@pytest.mark.parametrize("text", [
+    'private_key = "ab"\na = "xy"\n' + "a = a + a\n" * 5000 + "private_key = a", "private_key = " + '\\"' * 100_000,
+    "private_key = " + " + ".join(['"ab"'] * 40_000), 'private_key = ' + '"' * 100_001, "private_key = '" + "\\'" * 100_000,
+    "private_key: " + "a[" * 50_000, "private_key = " + "(" * 50_000, "private_key " * 40_000 + "= x", '"""' + "private_key" + '\\"""' * 50_000,
+    "private_key " + "f'" * 50_001, "x = '' \n" + "x = x + x\n" * 5000 + "private_key = x", "a-" * 100_000 + "private_key", "fr" * 100_000 + "private_key="],
+    ids=range(13))
+def test_lexing_takes_linear_time(text):
+    start = time.process_time()
+    secrets.find_secrets(text)
+    assert time.process_time() - start < 4
+
+
 def test_short_and_rare_lines(spark, tmp_path):
     rng = random.Random(8)
     long = ["".join(rng.choice("abcdefgh ") for _ in range(40)) for _ in range(12)]
