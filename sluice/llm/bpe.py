@@ -23,8 +23,8 @@ PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(
 #: a chunk with a character beyond is left to the tokenizer itself.
 SAME_BELOW = "Ͱ"
 #: Chunks remembered by one worker before it starts anew, and characters of whole texts.
-REMEMBERED = 400_000
-REMEMBERED_CHARS = 16_000_000
+REMEMBERED = 200_000
+REMEMBERED_CHARS = 2_000_000
 
 
 def _byte_letters() -> dict[str, int]:
