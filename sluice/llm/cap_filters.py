@@ -114,8 +114,9 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     that no bucket is cut or sampled. A pair is counted under the first filter that it shares;
     of the links themselves only a spanning forest of each block leaves its task. The number of
     filters follows the number of vectors of the largest label, so that random vectors meet a
-    bounded number of others. Recall is a matter of chance at about 0.999 for pairs at the
-    threshold and higher above; every counted link is verified.
+    bounded number of others. Every counted link is verified. Recall is a matter of chance and
+    falls with the largest label's rows, as the number of filters is fixed: for random pairs at a
+    cosine of 0.93 it is 0.99 at ten thousand rows, 0.95 at a million and 0.89 at ten million.
 
     Cases: a vector that is null, empty, zero, or has null or non-finite parts, and one without
     label, links with nothing; vectors of different lengths don't link; rows with one id are one
