@@ -21,6 +21,9 @@ LINE_BATCH = 2048
 LONG, BLOCK = 8, 512
 #: Bins into which a line's characters are counted.
 BINS = 64
+#: Lines sampled to find the segments that many rows have, the rows among them that make a segment
+#: common, and tasks over which its rows are spread. They set the load of tasks, not the result.
+SAMPLE, COMMON, SALTS = 50_000, 64, 64
 
 
 def code_points(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -35,7 +38,8 @@ def segment_keys(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray,
 
     Of two lines within so many edits, one segment of the shorter stands in the longer, shifted
     by no more than the edits before or after it allow. Keys hold the indexed line's length and
-    the segment's number, so that only lines of fitting lengths meet.
+    the segment's number, so that only lines of fitting lengths meet. Unshifted segments of lines
+    of one length meet as indexed rows and are no probes.
     """
     chars, size = code_points(lines)
     begin = np.cumsum(size) - size
@@ -49,7 +53,6 @@ def segment_keys(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray,
         probes.append(np.full(len(which), probe))
         keys.append(mix(key, 0) ^ mix(indexed.astype(U) * U(parts) + U(number), 0x5E6))
 
-    every = np.arange(len(lines))
     for less in range(edits + 1):
         indexed = size - less
         short = parts - indexed % parts
@@ -58,12 +61,13 @@ def segment_keys(lines: list[str], edits: int) -> tuple[np.ndarray, np.ndarray,
             place = i * base + np.maximum(0, i - short)
             length = base + (i >= short)
             if not less:
-                add(every, place, length, indexed, i, False)
+                ok = np.flatnonzero(base > 0)
+                add(ok, place[ok], length[ok], indexed[ok], i, False)
             low = np.maximum(np.maximum(place - i, place + less - (edits - i)), 0)
             high = np.minimum(np.minimum(place + i, place + less + (edits - i)), size - length)
             for shift in range(2 * edits + 1):
                 start = low + shift
-                ok = np.flatnonzero((start <= high) & (base > 0))
+                ok = np.flatnonzero((start <= high) & (base > 0) & ((less > 0) | (start != place)))
                 if len(ok):
                     add(ok, start[ok], length[ok], indexed[ok], i, True)
     return np.concatenate(rows), np.concatenate(probes), np.concatenate(keys)
@@ -126,18 +130,107 @@ def within(one: list[str], two: list[str], edits: int) -> np.ndarray:
     return result
 
 
-def _segments(edits: int):
+def _segments(edits: int, listed: np.ndarray, spread: np.ndarray):
+    """Rows of the join. ``_kind`` is 0 for an indexed segment, 1 for a probe and 2 for a row of a
+    segment that is known to have a long list. Rows of common segments are dealt over salts; the few
+    indexed rows of a segment that is common for its probes go to each of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
             row, probe, key = segment_keys(batch.column("_text").to_pylist(), edits)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_line").take(pa.array(row)), pa.array(probe), pa.array(key.view(np.int64))],
-                names=["_line", "_probe", "_segment"])
+            line, key = batch.column("_line").to_numpy()[row], key.view(np.int64)
+            kind, salt = probe.astype(np.int8), np.zeros(len(key), np.int16)
+            if len(listed) + len(spread):
+                own = (mix(line.view(U), 0x5A17) % U(SALTS)).astype(np.int16)
+                long, common = np.isin(key, listed), np.isin(key, spread)
+                kind[long] = 2
+                salt = np.where(long | common, own, salt)
+                again = np.flatnonzero(common & (kind == 0))
+                salt[again] = 0
+                copies = np.repeat(again, SALTS - 1)
+                line, key, kind = (np.concatenate([x, x[copies]]) for x in (line, key, kind))
+                salt = np.concatenate([salt, np.tile(np.arange(1, SALTS, dtype=np.int16), len(again))])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (key, salt, kind, line)],
+                                             names=["_segment", "_salt", "_kind", "_line"])
     return run
 
 
+_ROWS = "_segment long, _salt short, _kind byte, _line long"
+
+
+def _common_segments(texts: DataFrame, edits: int, lines: int) -> tuple[np.ndarray, np.ndarray]:
+    """Segments that many of some 50,000 sampled lines have: those whose list is long, and others.
+
+    There are no more of them than the sample's rows by ``COMMON``, about ten thousand.
+    """
+    none = np.empty(0, np.int64)
+    sampled = texts.sample(fraction=min(1.0, SAMPLE / max(lines, 1)), seed=8)
+    seen = sampled.mapInArrow(_segments(edits, none, none), _ROWS).groupBy("_segment").agg(
+        F.count("*").alias("n"), F.count_if(F.col("_kind") == 0).alias("indexed")).where(F.col("n") >= COMMON).collect()
+    return tuple(np.array(sorted(r["_segment"] for r in seen if (r["indexed"] > LONG) == long), np.int64)
+                 for long in (True, False))
+
+
+def _lists(segment: np.ndarray, salt: np.ndarray, kind: np.ndarray, line: np.ndarray, old: np.ndarray,
+           last: bool) -> tuple[pa.RecordBatch, list[np.ndarray]]:
+    """What rows sorted by segment, salt and kind give, and the rows that the next ones may meet.
+
+    Indexed rows come first in a segment's run, so that they alone are kept of a run that goes on.
+    ``old`` marks rows that an earlier call has answered for.
+    """
+    new = np.ones(len(line), bool)
+    new[1:] = (segment[1:] != segment[:-1]) | (salt[1:] != salt[:-1])
+    start = np.flatnonzero(new)
+    run = np.cumsum(new) - 1
+    indexed = np.add.reduceat(kind == 0, start, dtype=np.int64)
+    end, kept = len(line), slice(len(line), None)
+    if not last:
+        open_list = indexed[-1] <= LONG and (kind[start[-1]:] == 0).all()
+        end = start[-1] if open_list else end
+        kept = slice(start[-1], None if open_list else start[-1] + min(indexed[-1], LONG + 1))
+    rest = [x[kept] for x in (segment, salt, kind, line)]
+    rest.append(old[kept] if not last and open_list else np.ones(len(rest[0]), bool))
+    ready = ~old & (np.arange(len(line)) < end)
+    long = (kind == 2) | (indexed > LONG)[run]
+    held = np.flatnonzero(ready & long)
+    at = np.flatnonzero(ready & ~long & (indexed[run] > 0) & ~new)
+    one, two = [], []
+    for k in range(LONG):
+        other = start[run[at]] + k
+        at, other = (x[(other < at) & (k < indexed[run[at]])] for x in (at, other))
+        if not len(at):
+            break
+        one.append(line[other])
+        two.append(line[at])
+    one, two = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (one, two))
+    apart = one != two
+    one, two = one[apart], two[apart]
+    nothing = np.zeros(len(held) + len(one), bool)
+    nothing[: len(held)] = True
+    out = pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate([line[held], np.minimum(one, two)])),
+         pa.array(np.concatenate([line[held], np.maximum(one, two)]), mask=nothing),
+         pa.array(np.concatenate([segment[held], one]), mask=~nothing)], names=["a", "b", "_segment"])
+    return out, rest
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of lines (a, b) of short segment lists, and members (a, _segment) of long ones."""
+    kept: list[np.ndarray] | None = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        rows = [batch.column(c).to_numpy() for c in ("_segment", "_salt", "_kind", "_line")]
+        rows.append(np.zeros(len(batch), bool))
+        if kept is not None:
+            rows = [np.concatenate(x) for x in zip(kept, rows, strict=True)]
+        out, kept = _lists(*rows, last=False)
+        yield out
+    if kept is not None and len(kept[0]):
+        yield _lists(*kept, last=True)[0]
+
+
 def _verified(edits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -224,15 +317,16 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
     distinct = staged(lines.groupBy(a.alias("_a"), b.alias("_b")).agg(
         F.first("_text").alias("_text"), F.count("*").alias("_copies")).withColumn(
         "_line", F.monotonically_increasing_id()), "lines")
-    posted = distinct.where(F.length("_text") >= min_chars).select("_line", "_text").mapInArrow(_segments(edits), "_line long, _probe boolean, _segment long")
-    indexed = posted.where("not _probe").select("_segment", F.col("_line").alias("a"))
-    probes = posted.where("_probe").select("_segment", F.col("_line").alias("b"))
-    # A segment that many lines have is compared in blocks, all others by their pairs.
-    long = staged(indexed.groupBy("_segment").agg(F.count("*").alias("n")).where(F.col("n") > LONG).select("_segment"), "long")
-    held = staged(posted.join(long, "_segment", "left_semi").select("_segment", "_line").distinct(), "held")
-    indexed = indexed.join(long, "_segment", "left_anti")
-    pairs = staged(indexed.join(probes, "_segment").where("a <> b").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "line-pairs")
+    joined = distinct.where(F.length("_text") >= min_chars).select("_line", "_text")
+    listed, spread = _common_segments(joined, edits, distinct.count())
+    posted = joined.mapInArrow(_segments(edits, listed, spread), _ROWS)
+    # All rows of a segment, or of its salt, meet once, in order: a short list gives its pairs, and
+    # the members of a long one are compared in blocks.
+    met = staged(posted.repartition("_segment", "_salt").sortWithinPartitions("_segment", "_salt", "_kind").mapInArrow(
+        _met, "a long, b long, _segment long"), "met")
+    pairs = staged(met.where("b is not null").select("a", "b").distinct(), "line-pairs")
+    held = staged(met.where("b is null").select("_segment", F.col("a").alias("_line")).distinct(), "held")
+    unstaged(met)
     # Texts are fetched once, of lines in some pair or long list only.
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("_line")).union(held.select("_line")).distinct()
     asked = staged(distinct.select("_line", "_text").join(wanted, "_line", "left_semi"), "asked")
@@ -245,7 +339,7 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
         "_copies > 1 or root is not null").select("_a", "_b", F.coalesce("root", "_line").alias("_class"))
     occurrences = staged(lines.select("_key", "line", a.alias("_a"), b.alias("_b")).join(classes, ["_a", "_b"]).drop(
         "_a", "_b"), "occurrences")
-    unstaged(distinct, long, held, pairs, asked, links, roots)
+    unstaged(distinct, held, pairs, asked, links, roots)
     by_document = occurrences.groupBy("_class", "_key").agg(F.min("line").alias("line"))
     counts = by_document.groupBy("_class").agg(
         F.count("*").alias("_documents"), F.min(F.struct("_key", "line")).alias("_first"))
