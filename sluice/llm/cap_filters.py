@@ -15,9 +15,10 @@ from sluice.llm.ranks import runs_for
 
 #: Random vectors that share a filter with one vector, on average, at most; sets the caps' size.
 BY_CHANCE = 4.0
-#: Filters that a vector exceeds on average. A pair at cosine 0.93 shares one of them with about
-#: one half each; of 26,584 such pairs of one label of check_s none was missed.
-FILTERS = 22.0
+#: Filters that a vector exceeds on average, at first and at most. More are taken until so large a
+#: share of random pairs at the linking cosine meets in a filter, measured on so many pairs.
+FILTERS, MOST = 22.0, 400.0
+RECALL, TRIALS = 0.985, 2000
 #: Filters that every vector is given, its best ones if it exceeds fewer.
 LEAST = 12
 #: Rows of one side of a compared block.
@@ -33,9 +34,9 @@ class ProductCode:
     sum can still reach the level.
     """
 
-    def __init__(self, dim: int, rows: float, seed: int = 5):
+    def __init__(self, dim: int, rows: float, seed: int = 5, filters: float = FILTERS):
         share = min(0.00135, BY_CHANCE / max(rows, 1.0))
-        self.words = max(2, round((FILTERS / share) ** 0.5))
+        self.words = max(2, round((filters / share) ** 0.5))
         rng = np.random.default_rng(seed)
         size = max(2, dim)
         # Cosine that this share of random directions reaches: the tail of (1 - x**2)**((size-3)/2).
@@ -72,6 +73,37 @@ class ProductCode:
         return found
 
 
+    def met(self, cosine: float, pairs: int = TRIALS, seed: int = 1) -> float:
+        """Share of random pairs at this cosine that meet in a filter."""
+        rng = np.random.default_rng(seed)
+        hits = 0
+        for done in range(0, pairs, 200):
+            one, off = rng.standard_normal((2, min(200, pairs - done), self.size))
+            one /= np.linalg.norm(one, axis=1, keepdims=True)
+            off -= (off * one).sum(axis=1, keepdims=True) * one
+            off /= np.linalg.norm(off, axis=1, keepdims=True)
+            two = cosine * one + max(0.0, 1 - cosine * cosine) ** 0.5 * off
+            hits += sum(len(np.intersect1d(a, b)) > 0 for a, b in zip(self.decode(one), self.decode(two), strict=True))
+        return hits / pairs
+
+
+def fitted_code(dim: int, rows: float, cosine: float, seed: int = 5) -> ProductCode:
+    """A code whose filters are as many as ``RECALL`` takes at this cosine and number of rows."""
+    filters, before = FILTERS, None
+    while True:
+        code = ProductCode(dim, rows, seed, filters)
+        missed = 1 - code.met(cosine)
+        if missed <= 1 - RECALL or filters >= MOST:
+            return code
+        if before is None or filters >= 2 * before[0]:
+            if before is not None and missed > 0.8 * before[1]:
+                return before[2]  # in few dimensions more filters are the same ones again
+            before = filters, missed, code
+        # At least what it would take if filters missed a pair independently of each other.
+        more = np.log(1 - RECALL) / np.log(min(missed, 0.9))
+        filters = min(MOST, filters * max(1.3, more))
+
+
 def _units(vectors) -> np.ndarray:
     raw = np.array([np.asarray(v, np.float64) for v in vectors])
     raw = raw / np.abs(raw).max(axis=1, keepdims=True)
@@ -112,11 +144,11 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
     that it exceeds; rows of one label and filter are compared in blocks of some hundred rows
     each, and a block with many rows is dealt over as many tasks as it has pairs of blocks, so
     that no bucket is cut or sampled. A pair is counted under the first filter that it shares;
-    of the links themselves only a spanning forest of each block leaves its task. The number of
-    filters follows the number of vectors of the largest label, so that random vectors meet a
-    bounded number of others. Every counted link is verified. Recall is a matter of chance and
-    falls with the largest label's rows, as the number of filters is fixed: for random pairs at a
-    cosine of 0.93 it is 0.99 at ten thousand rows, 0.95 at a million and 0.89 at ten million.
+    of the links themselves only a spanning forest of each block leaves its task. The caps follow
+    the number of vectors of the largest label, so that random vectors meet a bounded number of
+    others, and the number of filters follows the caps and the cosine (``fitted_code``), so that
+    the chance to miss a link does not grow with the table. Every counted link is verified. The
+    code's words, which are broadcast, grow with the root of the rows: 13,000 at ten million.
 
     Cases: a vector that is null, empty, zero, or has null or non-finite parts, and one without
     label, links with nothing; vectors of different lengths don't link; rows with one id are one
@@ -147,7 +179,7 @@ def near_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "e
         return keyed.select(
             *[F.col(f"`{c}`") for c in given.columns if c != "_v"], F.lit(0).cast("long").alias("n_links"),
             F.col(vec_id).alias("component_id"), F.col(vec_id).isNotNull().alias("kept"))
-    code = spark.sparkContext.broadcast(ProductCode(sizes["dim"], sizes["n"], seed))
+    code = spark.sparkContext.broadcast(fitted_code(sizes["dim"], sizes["n"], cosine, seed))
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -111,6 +111,14 @@ def test_vectors(spark):
     assert cap_filters.near_vectors(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("rows", [10**3, 10**5, 10**7])
+def test_cap_recall_holds_at_any_size(rows):
+    code = cap_filters.fitted_code(64, rows, 0.93)
+    assert code.met(0.93, 1000, seed=99) >= 0.975
+    assert code.met(0.97, 400, seed=98) >= 0.99
+    assert cap_filters.ProductCode(64, rows).words <= code.words < 20_000
+
+
 def test_near_documents(spark, docs, odd):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     for keep in (True, False):
