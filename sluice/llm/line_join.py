@@ -297,6 +297,32 @@ def _classed(line: Column, min_chars: int) -> Column:
     return (F.length(line) >= min_chars) | line.rlike(r"[\p{L}\p{N}]")
 
 
+#: Spark's runtime filter for a join whose large side is texts, whatever its size; 8 MB at most.
+_RUNTIME_FILTER = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "256MB",
+    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
+    "spark.sql.optimizer.runtime.bloomFilter.numBits": "67108864",
+}
+
+
+def _fetched(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Texts of the wanted lines. Others are mostly left out before the shuffle, by a Bloom filter of
+    the wanted numbers; beyond some ten million of them it passes more and more, and in the end Spark
+    plans none. The join decides."""
+    spark = texts.sparkSession
+    before = {name: spark.conf.get(name, None) for name in _RUNTIME_FILTER}
+    try:
+        for name, value in _RUNTIME_FILTER.items():
+            spark.conf.set(name, value)
+        # The condition, true of all numbers, is what lets the optimizer plan the filter.
+        return staged(texts.join(wanted.where("_line >= 0"), "_line", "left_semi"), "asked")
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value) if value is not None else spark.conf.unset(name)
+
+
 def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", edits: int = 2,
                  min_chars: int = 30, min_documents: int = 10) -> DataFrame:
     """Every line that shares its class with another line.
@@ -328,8 +354,9 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
     held = staged(met.where("b is null").select("_segment", F.col("a").alias("_line")).distinct(), "held")
     unstaged(met)
     # Texts are fetched once, of lines in some pair or long list only.
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("_line")).union(held.select("_line")).distinct()
-    asked = staged(distinct.select("_line", "_text").join(wanted, "_line", "left_semi"), "asked")
+    wanted = staged(pairs.select(F.explode(F.array("a", "b")).alias("_line")).union(
+        held.select("_line")).distinct(), "wanted")
+    asked = _fetched(distinct.select("_line", "_text"), wanted)
     texts = pairs.join(asked.select(F.col("_line").alias("a"), F.col("_text").alias("_ta")), "a").join(
         asked.select(F.col("_line").alias("b"), F.col("_text").alias("_tb")), "b")
     links = staged(texts.select("a", "b", "_ta", "_tb").mapInArrow(_verified(edits), "a long, b long").union(
@@ -339,7 +366,7 @@ def line_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ed
         "_copies > 1 or root is not null").select("_a", "_b", F.coalesce("root", "_line").alias("_class"))
     occurrences = staged(lines.select("_key", "line", a.alias("_a"), b.alias("_b")).join(classes, ["_a", "_b"]).drop(
         "_a", "_b"), "occurrences")
-    unstaged(distinct, held, pairs, asked, links, roots)
+    unstaged(distinct, held, pairs, wanted, asked, links, roots)
     by_document = occurrences.groupBy("_class", "_key").agg(F.min("line").alias("line"))
     counts = by_document.groupBy("_class").agg(
         F.count("*").alias("_documents"), F.min(F.struct("_key", "line")).alias("_first"))
