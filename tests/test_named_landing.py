@@ -117,3 +117,11 @@ def test_parameters_keep_their_digits(frame):
     titles = frame("cost_per_viewing_hour DOUBLE, license_cost_monthly DOUBLE",
                    *[(float(i), 1.0) for i in range(1000)])
     assert findings.cost_decile_share(titles, share=0.005).first()["worst_titles"] == 5
+
+
+def test_fields_of_a_json_line_are_taken_apart_once(spark, tmp_path):
+    _landing(tmp_path, "content-catalog", "a.json", '{"content_id": 1, "extra": 2}\nno object\n')
+    df = files.read_landing(spark, str(tmp_path), "content-catalog")
+    assert tuples(df.select("content_id", F.to_json(files.UNDECLARED))) == [(None, '"no object"'), (1, '{"extra":2}')]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("as map<string,variant>") == 1
