@@ -302,9 +302,5 @@ class Warehouse:
         lookup = f"{self.root}/order_lookup"
         write_table(warehouse.looked_up(orders, dim_customer, dim_product), lookup)
         found = read_table(self.spark, lookup)
-        _, audit = together(
-            self.spark,
-            partial(self.save, "fact_sales", load, warehouse.facts_of(found, existing)),
-            partial(self.save, "load_audit", load, warehouse.audit_of(found, existing)),
-        )
-        return audit
+        added = self.save("fact_sales", load, warehouse.facts_of(found, existing))
+        return self.save("load_audit", load, warehouse.audit_of(found, existing, added))
