@@ -20,34 +20,44 @@ from sluice.llm.systematic import mix
 from sluice.session import prepare
 
 
+def _ready(spark: SparkSession) -> SparkSession:
+    """The session's settings, and plain Parquet reads.
+
+    Each thread of a vectored read keeps direct buffers as large as the column chunks it has read,
+    outside the heap and for the executor's life; one stage after the other adds to them.
+    """
+    prepare(spark).conf.set("parquet.hadoop.vectored.io.enabled", "false")
+    return spark
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that their own rules and their host's verdict keep."""
-    prepare(spark)
+    _ready(spark)
     return host_rules(docs).where("kept").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the later occurrences of lines that two documents or more share."""
-    prepare(spark)
+    _ready(spark)
     return drop_repeated_lines(docs, min_documents=2)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, linked from a similarity of 0.8."""
-    prepare(spark)
+    _ready(spark)
     return near_documents(docs, percent=80).where("kept").select(*docs.columns)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mixture takes it."""
-    prepare(spark)
+    _ready(spark)
     copies = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))
     return mix(docs).where("copies > 0").select(*docs.columns, copies.alias("_copy")).drop("_copy")
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in sequences."""
-    prepare(spark)
+    _ready(spark)
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
@@ -64,7 +74,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = _ready(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):

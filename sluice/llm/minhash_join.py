@@ -19,8 +19,10 @@ SHINGLE = 5
 #: Coordinates of a signature, and how often a pair whose similarity is exactly the limit may share
 #: too few of them to be verified; copies that are nearer share more.
 COORDINATES, MISSED = 96, 1e-6
-#: Rows of one side of a compared block.
-BLOCK = 512
+#: Rows of one side of a compared block, and pairs whose signatures are compared at once (3 MB a side).
+BLOCK, PAIRS = 512, 4096
+#: Texts in one Arrow batch; hashing takes some 50 bytes for each of theirs.
+TEXTS = 64
 
 
 def shingle_sets(texts: pa.Array) -> Iterator[np.ndarray]:
@@ -149,8 +151,8 @@ def _compare(percent: int):
         a, b = a[near], b[near]
         signature = np.stack(list(block["_signature"]))
         matches = np.concatenate([np.zeros(0, int), *[
-            (signature[a[i: i + 65536]] == signature[b[i: i + 65536]]).sum(axis=1)
-            for i in range(0, len(a), 65536)]])
+            (signature[a[i: i + PAIRS]] == signature[b[i: i + PAIRS]]).sum(axis=1)
+            for i in range(0, len(a), PAIRS)]])
         order = np.argsort(-matches, kind="stable")[: int((matches >= least).sum())]
         above = {r: r for r in root}
 
@@ -209,7 +211,7 @@ def near_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     different texts are told apart, though both may name a component; an empty table gives an
     empty one; of columns with an output's name only the output remains.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, TEXTS)
     outputs = ["n_shingles", "component_id", "kept"]
     given = without(docs, *outputs)
     read = given.select(F.col(doc_id).alias("_id"), text_or_empty(text).cast("binary").alias("_text"))

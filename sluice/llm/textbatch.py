@@ -35,10 +35,10 @@ _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """base**i and base**-i modulo 2**64 for i below n."""
+    """base**i and base**-i modulo 2**64 for i below n; a worker keeps the tables, 4 MB at first."""
     have = _POWERS.get(base)
     if have is None or len(have[0]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 18, 0 if have is None else min(2 * len(have[0]), 1 << 20))
         both = []
         for b in (base, pow(base, -1, 1 << 64)):
             row = np.full(size, b, U)

@@ -3,11 +3,13 @@
 import hashlib
 import random
 import time
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import brute
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import public_tokenizers
 import pytest
@@ -17,7 +19,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from compare import oracle_connection
 from sluice.llm import (best_fit, bpe, cap_filters, chat, components, host_rules, line_join, minhash_join,
-                        relative_lz, secrets, systematic, token_counts)
+                        relative_lz, secrets, systematic, textbatch, token_counts)
 from sluice.llm.oracles import ORACLES
 from sluice.llm.queries import QUERIES
 
@@ -390,3 +392,45 @@ def test_pipeline(spark):
         kept = stage(spark, kept, FOLDER)
         assert kept.columns == docs.columns, name
     assert corpus_pipeline.run(spark, FOLDER).count() > 0
+
+
+def _peak_mb(call):
+    tracemalloc.start()
+    try:
+        return call(), tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_blocks_of_copies_take_little_memory():
+    """Two full blocks of a group of near copies, none of them linked before; and the tables of powers."""
+    rng = np.random.default_rng(3)
+    n = 2 * minhash_join.BLOCK
+    words, signature = np.arange(200), rng.integers(0, 1 << 60, minhash_join.COORDINATES)
+    block = pd.DataFrame({
+        "_value": 7, "_x": 0, "_y": 1, "_own": np.arange(n) % 2, "_class": np.arange(n), "_root": np.arange(n),
+        "_signature": [signature] * n, "_prefix": [np.array([7, 9])] * n,
+        "_set": [np.append(words, 1000 + i) for i in range(n)]})
+    links, peak = _peak_mb(lambda: minhash_join._compare(80)(block))
+    assert len(links) == n - 1 and peak < 45
+    line = "a line that many documents have with some letters changed "
+    lines = pd.DataFrame({"_segment": 1, "_x": 0, "_y": 1, "_own": np.arange(n) % 2, "_line": np.arange(n),
+                          "_text": [line + chr(0x4E00 + i) * 3 for i in range(n)]})
+    links, peak = _peak_mb(lambda: line_join._forest(2)(lines))
+    assert len(links) == 0 and peak < 45
+    textbatch._POWERS.pop(5, None)
+    assert sum(x.base.nbytes for x in textbatch._powers(5, 1000)) <= 4 << 20
+    for many in (1000, 300_000):
+        power, inverse = textbatch._powers(5, many)
+        assert len(power) == many and int(power[-1]) == pow(5, many - 1, 1 << 64)
+        assert (power * inverse == 1).all()
+
+
+def test_stages_read_without_vectors(spark, frame):
+    """A vectored read's threads keep direct buffers of the size of the column chunks."""
+    spark.conf.unset("parquet.hadoop.vectored.io.enabled")
+    few = frame("doc_id long, text string, lang string, source string, n_chars long", (1, "a b c", "en", "s", 5))
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.unset("parquet.hadoop.vectored.io.enabled")
+        stage(spark, few, "")
+        assert spark.conf.get("parquet.hadoop.vectored.io.enabled") == "false"
