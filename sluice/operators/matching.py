@@ -17,11 +17,14 @@ def orphans(df: DataFrame, reference: DataFrame, key: str) -> DataFrame:
     return df.join(reference.select(key), key, "left_anti").select(df.columns)
 
 
+#: Types of whole numbers.
+WHOLE = {"tinyint", "smallint", "int", "bigint"}
+
+
 def comparable(value: Column, one: str, two: str) -> Column:
     """A key as text that is equal where keys of both types are equal."""
     kinds = {one.split("(")[0], two.split("(")[0]}
-    whole = {"tinyint", "smallint", "int", "bigint"}
-    if one != two and kinds <= whole | {"float", "double", "decimal"}:
+    if one != two and kinds <= WHOLE | {"float", "double", "decimal"}:
         if kinds & {"float", "double"}:
             value = value.cast("double")
         elif "decimal" in kinds:
@@ -44,33 +47,40 @@ def violation_counts(
     Every row is counted under each of its keys, and rows are added up per key
     before anything is joined: a key that holds a large share of the table is
     one row in the join. All keys then meet all reference keys in one join on
-    (rule, key). A null key is among the orphans.
+    (rule, key), where a rule is its position and keys that are all whole numbers
+    stay numbers. A null key is among the orphans.
     """
     rules, kinds = rules or {}, dict(df.dtypes)
+    pairs = {(kinds[column], dict(table.dtypes)[column]) for column, table in references.values()}
+    whole = {kind for pair in pairs for kind in pair} <= WHOLE
+
+    def key(value: Column, one: str, two: str) -> Column:
+        return value.cast("bigint") if whole else comparable(value, one, two)
+
     broken = [F.when(condition, 1).otherwise(0) for condition in rules.values()]
     under_each_key = F.array(*[
         F.struct(
-            F.lit(name).alias("rule"),
-            comparable(F.col(column), kinds[column], dict(table.dtypes)[column]).alias("key"),
+            F.lit(place).alias("rule"),
+            key(F.col(column), kinds[column], dict(table.dtypes)[column]).alias("key"),
             # A row's rules count once, under its first key.
             *[(flag if place == 0 else F.lit(0)).alias(f"broken_{i}")
               for i, flag in enumerate(broken)],
         )
-        for place, (name, (column, table)) in enumerate(references.items())
+        for place, (column, table) in enumerate(references.values())
     ])
     per_key = df.select(F.inline(under_each_key)).groupBy("rule", "key").agg(
         F.count("*").alias("n"),
         *[F.sum(f"broken_{i}").alias(f"broken_{i}") for i in range(len(rules))],
     )
     known = reduce(DataFrame.unionByName, [
-        table.select(F.lit(name).alias("rule"), comparable(
+        table.select(F.lit(place).alias("rule"), key(
             F.col(column), dict(table.dtypes)[column], kinds[column]).alias("key"))
-        for name, (column, table) in references.items()
+        for place, (column, table) in enumerate(references.values())
     ]).distinct().withColumn("known", F.lit(True))
     judged = per_key.join(known, ["rule", "key"], "left")
     unknown = F.when(F.col("known").isNull(), F.col("n"))
     totals = [F.sum(f"broken_{i}") for i in range(len(rules))]
-    totals += [F.sum(F.when(F.col("rule") == name, unknown)) for name in references]
+    totals += [F.sum(F.when(F.col("rule") == place, unknown)) for place in range(len(references))]
     names = [*rules, *references]
     wide = judged.agg(*[
         F.coalesce(total, F.lit(0)).cast("long").alias(name)

@@ -61,7 +61,7 @@ class Lake:
     by_month: bool = False
     # Row counts, nulls and broken row rules of the landing data, counted while they were staged.
     measured: dict[str, Measured] = field(default_factory=dict, repr=False)
-    _staged: dict[str, DataFrame] | None = field(default=None, repr=False)
+    _staged: dict[str, DataFrame] = field(default_factory=dict, repr=False)
     _scratch: str | None = field(default=None, repr=False)
 
     def landing(self) -> dict[str, DataFrame]:
@@ -81,29 +81,37 @@ class Lake:
         """The landing data as columnar tables of this application.
 
         Gates and plans read the landing data several times; the compressed text
-        is read and parsed for the first time only.
+        is read and parsed for the first time only. Tables that were released are staged anew.
         """
-        if self._staged is None:
-            self._scratch = scratch_path(self.spark, f"landing-{uuid4().hex}")
+        if len(self._staged) < len(LANDING):
+            self._scratch = self._scratch or scratch_path(self.spark, f"landing-{uuid4().hex}")
             rules = quality.row_rules()
 
             def stage(name: str, df: DataFrame) -> DataFrame:
                 declared = StructType.fromDDL(self.schemas.get(name, LANDING[name][1])).names
                 self.measured[name] = Measured(df, declared, rules.get(name))
-                path = f"{self._scratch}/{name}"
-                write_table(self.measured[name].table, path)
-                return read_table(self.spark, path, df.schema)
+                return self.keep(name, self.measured[name].table, df.schema)
 
-            raw = self.landing()
+            raw = {name: df for name, df in self.landing().items() if name not in self._staged}
             tables = together(self.spark, *[partial(stage, n, df) for n, df in raw.items()])
-            self._staged = dict(zip(raw, tables, strict=True))
-        return self._staged
+            self._staged |= dict(zip(raw, tables, strict=True))
+        return dict(self._staged)
 
-    def release(self) -> None:
-        """Remove the staged tables; a later run stages the landing data anew."""
+    def keep(self, name: str, df: DataFrame, schema: StructType | None = None) -> DataFrame:
+        """Write a table that several steps read beside the staged ones; it goes when the lake is released."""
+        path = f"{self._scratch}/{name}"
+        write_table(df, path)
+        return read_table(self.spark, path, schema)
+
+    def release(self, *names: str) -> None:
+        """Remove staged tables, by default all that is kept; a later run stages them anew."""
         if self._scratch:
-            discard(self.spark, self._scratch)
-        self._staged, self._scratch = None, None
+            for name in names or [""]:
+                discard(self.spark, f"{self._scratch}/{name}".rstrip("/"))
+        if names:
+            self._staged = {name: df for name, df in self._staged.items() if name not in names}
+        else:
+            self._staged, self._scratch = {}, None
 
     def store(self, zone: str, dataset: str, df: DataFrame,
               partition_by: tuple[str, ...] = ()) -> DataFrame:
@@ -121,7 +129,11 @@ def gate(lake: Lake) -> list:
 
 
 def transform(lake: Lake) -> None:
-    """Curated and analytics tables from the landing data."""
+    """Curated and analytics tables from the landing data.
+
+    Tables that shuffle whole sessions are made one after another, and staged tables go as soon as
+    nothing reads them any more, so that the disk holds the shuffles of one of them at a time.
+    """
     raw = lake.staged()
     users, catalog = raw["user-profiles"], raw["content-catalog"]
     delivery = raw["streaming-quality"]
@@ -131,20 +143,24 @@ def transform(lake: Lake) -> None:
         partial(lake.store, "curated", "user-interactions",
                 clean_interactions(raw["user-interactions"])),
     )
-    together(
+    lake.release("viewing-history", "user-interactions")
+    by_user, _ = together(
         lake.spark,
-        partial(lake.store, "curated", "enriched-viewing-sessions",
-                engagement.enrich_sessions(viewing, catalog, users, delivery)),
-        partial(refresh_engagement, lake.spark, zone_path(lake.root, "analytics", "user-monthly-engagement"),
-                viewing, users, delivery, interactions) if lake.by_month else
-        partial(lake.store, "analytics", "user-monthly-engagement",
-                engagement.user_monthly_engagement(viewing, users, delivery, interactions),
-                partition_by=("year", "month")),
-        partial(lake.store, "analytics", "content-performance",
-                engagement.content_performance(viewing, catalog)),
+        partial(lake.keep, "quality-by-user", engagement.quality_by_user(delivery)),
         partial(lake.store, "analytics", "streaming-quality-region-isp",
                 engagement.quality_by_region_isp(delivery)),
     )
+    if lake.by_month:
+        refresh_engagement(lake.spark, zone_path(lake.root, "analytics", "user-monthly-engagement"),
+                           viewing, users, delivery, interactions, by_user)
+    lake.release("streaming-quality")
+    if not lake.by_month:
+        lake.store("analytics", "user-monthly-engagement",
+                   engagement.user_monthly_engagement(viewing, users, delivery, interactions, by_user),
+                   partition_by=("year", "month"))
+    lake.store("analytics", "content-performance", engagement.content_performance(viewing, catalog))
+    lake.store("curated", "enriched-viewing-sessions",
+               engagement.enrich_sessions(viewing, catalog, users, delivery, by_user))
 
 
 CURATED = ("viewing-history", "user-interactions", "enriched-viewing-sessions")
@@ -169,17 +185,19 @@ def export(lake: Lake) -> None:
     def path(name: str) -> str:
         return zone_path(lake.root, "analytics", f"reports/{name}")
 
-    write_report(reports.high_risk_users(lake.table("analytics", "churn-risk")),
-                 path("high-risk-users"))
-    write_report(reports.top_content(lake.table("analytics", "content-performance")),
-                 path("top-content"))
-    write_report(reports.worst_quality(lake.table("analytics", "streaming-quality-region-isp")),
-                 path("worst-quality-region-isp"))
-    if lake.by_month:
-        refresh_copy(lake.spark, zone_path(lake.root, "analytics", "user-monthly-engagement"), path("daily-user-engagement"))
-    else:
-        write_table(lake.table("analytics", "user-monthly-engagement"),
-                    path("daily-user-engagement"), partition_by=("year", "month"))
+    together(
+        lake.spark,
+        partial(write_report, reports.high_risk_users(lake.table("analytics", "churn-risk")),
+                path("high-risk-users")),
+        partial(write_report, reports.top_content(lake.table("analytics", "content-performance")),
+                path("top-content")),
+        partial(write_report, reports.worst_quality(lake.table("analytics", "streaming-quality-region-isp")),
+                path("worst-quality-region-isp")),
+        partial(refresh_copy, lake.spark, zone_path(lake.root, "analytics", "user-monthly-engagement"),
+                path("daily-user-engagement")) if lake.by_month else
+        partial(write_table, lake.table("analytics", "user-monthly-engagement"),
+                path("daily-user-engagement"), partition_by=("year", "month"), gathered=True),
+    )
 
 
 def run_lake(lake: Lake) -> None:

@@ -10,11 +10,12 @@ the sums here.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, GroupedData
 from pyspark.sql import functions as F
 
 from sluice.functions.cleaning import event_time
 from sluice.functions.numbers import ratio_if_positive, rounded
+from sluice.operators.grouping import PART, dealt_by_value
 from sluice.operators.matching import repeats_folded
 
 QUALITY_METRICS = ("buffering_events", "avg_bitrate_mbps", "resolution_changes", "latency_ms")
@@ -40,14 +41,16 @@ def quality_by_region_isp(quality: DataFrame) -> DataFrame:
 
 
 def enrich_sessions(viewing: DataFrame, catalog: DataFrame, users: DataFrame,
-                    quality: DataFrame) -> DataFrame:
+                    quality: DataFrame, by_user: DataFrame | None = None) -> DataFrame:
     """Every session with its title, its user and the user's delivery quality.
 
     What is known per user is put together first, so the sessions meet it in one
     join instead of two, which also leaves that join free to be split at run
-    time where one user has a large part of the sessions.
+    time where one user has a large part of the sessions. ``by_user`` is
+    ``quality_by_user(quality)``, if it is stored.
     """
-    per_user = users.where(F.col("user_id").isNotNull()).join(quality_by_user(quality), "user_id", "full")
+    means = quality_by_user(quality) if by_user is None else by_user
+    per_user = users.where(F.col("user_id").isNotNull()).join(means, "user_id", "full")
     return viewing.join(catalog, "content_id", "left").join(per_user, "user_id", "left")
 
 
@@ -56,11 +59,45 @@ def _with_month(df: DataFrame, when: str) -> DataFrame:
     return df.withColumns({"year": F.year(moment), "month": F.month(moment)})
 
 
+# A month as its first day, which is one column of a shuffled row in place of two.
+FIRST_DAY = "first_day"
+
+
+def _month_parts(df: DataFrame, when: str, *values: str) -> GroupedData:
+    """Rows by user, month and part of the titles."""
+    first_day = F.trunc(event_time(F.col(when)), "month").alias(FIRST_DAY)
+    rows = df.select("user_id", first_day, "content_id", *values)
+    return dealt_by_value(rows, ["user_id", FIRST_DAY], "content_id").groupBy("user_id", FIRST_DAY, PART)
+
+
+def _by_user_month(parts: DataFrame, **figures: Column) -> DataFrame:
+    """Figures of a user's months from their parts, of which a user has few.
+
+    Gathered by user, they meet what is joined by user without a further shuffle.
+    """
+    grouped = parts.repartition("user_id").groupBy("user_id", FIRST_DAY).agg(
+        *[figure.alias(name) for name, figure in figures.items()])
+    return grouped.select("user_id", F.year(FIRST_DAY).alias("year"), F.month(FIRST_DAY).alias("month"), *figures)
+
+
 def monthly_interactions(interactions: DataFrame) -> DataFrame:
-    return _with_month(interactions, "timestamp").groupBy("user_id", "year", "month").agg(
-        F.count("*").alias("interaction_count"),
-        F.count_distinct("content_id").alias("interacted_titles"),
-    )
+    parts = _month_parts(interactions, "timestamp").agg(
+        F.count("*").alias("n"), F.count_distinct("content_id").alias("titles"))
+    return _by_user_month(parts, interaction_count=F.sum("n"), interacted_titles=F.sum("titles"))
+
+
+INTERACTION_FIGURES = ["interaction_count", "interacted_titles"]
+
+
+def _month_number() -> Column:
+    return F.col("year") * 100 + F.col("month")
+
+
+def _by_user(monthly: DataFrame) -> DataFrame:
+    """One row a user: ``by_month``, the interaction figures of the user's months by month number."""
+    months = F.collect_list(F.struct(_month_number(), F.struct(*INTERACTION_FIGURES)))
+    dated = monthly.where(F.col("user_id").isNotNull() & F.col("year").isNotNull())
+    return dated.groupBy("user_id").agg(F.map_from_entries(months).alias("by_month"))
 
 
 def _hours(minutes: Column) -> Column:
@@ -68,25 +105,34 @@ def _hours(minutes: Column) -> Column:
 
 
 def user_monthly_engagement(viewing: DataFrame, users: DataFrame, quality: DataFrame,
-                            interactions: DataFrame) -> DataFrame:
+                            interactions: DataFrame, by_user: DataFrame | None = None) -> DataFrame:
     """Viewing, quality and interaction figures per user and month.
 
     Quality is known per user only, so its mean over the sessions of a month is
     the user's value. A month without a readable time has no interactions.
+    The interactions of a user's months are one row, so that all joins are by user.
+    ``by_user`` is ``quality_by_user(quality)``, if it is stored.
     """
-    watched = _with_month(viewing, "start_time").groupBy("user_id", "year", "month").agg(
-        F.sum("duration_watched_min").alias("minutes"),
-        F.count_distinct("content_id").alias("unique_titles_watched"),
-        rounded(F.avg("completion_pct")).alias("avg_completion_pct"),
-        F.count("*").alias("sessions"),
+    parts = _month_parts(viewing, "start_time", "duration_watched_min", "completion_pct").agg(
+        F.sum("duration_watched_min").alias("part_minutes"), F.count_distinct("content_id").alias("titles"),
+        F.sum(F.col("completion_pct").cast("double")).alias("pct"), F.count("completion_pct").alias("rated"),
+        F.count("*").alias("n"))
+    watched = _by_user_month(
+        parts,
+        minutes=F.sum("part_minutes"),
+        unique_titles_watched=F.sum("titles"),
+        avg_completion_pct=rounded(F.try_divide(F.sum("pct"), F.sum("rated"))),
+        sessions=F.sum("n"),
     )
+    means = quality_by_user(quality) if by_user is None else by_user
     known = users.where(F.col("user_id").isNotNull())
     per_user = repeats_folded(known, ["user_id", "plan_type", "is_churned"]).join(
-        quality_by_user(quality).drop("avg_bitrate_mbps"), "user_id", "full"
+        means.drop("avg_bitrate_mbps"), "user_id", "full"
     )
     copies = F.coalesce("copies", F.lit(1))
+    seen = F.try_element_at("by_month", _month_number())
     return (
-        watched.join(monthly_interactions(interactions), ["user_id", "year", "month"], "left")
+        watched.join(_by_user(monthly_interactions(interactions)), "user_id", "left")
         .join(per_user, "user_id", "left")
         .select(
             "user_id", "year", "month", "plan_type", "is_churned",
@@ -95,9 +141,9 @@ def user_monthly_engagement(viewing: DataFrame, users: DataFrame, quality: DataF
             "avg_completion_pct",
             (F.col("sessions") * copies).alias("total_viewing_records"),
             "avg_buffering_events", "avg_resolution_changes", "avg_latency_ms",
-            "interaction_count", "interacted_titles",
+            *[seen[figure].alias(figure) for figure in INTERACTION_FIGURES],
         )
-        .fillna(0, ["interaction_count", "interacted_titles"])
+        .fillna(0, INTERACTION_FIGURES)
     )
 
 

@@ -89,12 +89,12 @@ def _partition(month: int) -> str:
 
 
 def refresh_engagement(spark: SparkSession, path: str, viewing: DataFrame, users: DataFrame,
-                       quality: DataFrame, interactions: DataFrame) -> list[int]:
+                       quality: DataFrame, interactions: DataFrame, by_user: DataFrame | None = None) -> list[int]:
     """Bring the monthly engagement table up to date; only changed months are computed."""
     def build(months: list[int]) -> DataFrame:
         return engagement.user_monthly_engagement(
             viewing.where(of_months("start_time", months)), users, quality,
-            interactions.where(of_months("timestamp", months)))
+            interactions.where(of_months("timestamp", months)), by_user)
 
     return refresh_months(spark, path, engagement_marks(viewing, users, quality, interactions), build)
 

@@ -12,7 +12,7 @@ from sluice.operators.dedupe import merge_shards
 from sluice.operators import checks
 from sluice.plans import batch, engagement, quality, refresh, warehouse
 from sluice.plans.quality import QualityGateError
-from sluice.session import list_names
+from sluice.session import list_names, scratch_path
 from sluice.sources import files
 from sluice.sources.files import read_csv, zone_path
 
@@ -227,3 +227,60 @@ def test_only_touched_buckets_are_written(spark, frame, tmp_path):
     assert wh.whole("dim_customer", 4, [0]).count() < 12
     empty = wh.upsert("dim_product", 1, warehouse.product_rows(frame(schemas.PRODUCTS)))
     assert empty.count() == 0 and wh.whole("dim_product", 1) is None
+
+
+def test_tables_of_sessions_are_made_one_at_a_time(spark, frame, tmp_path, monkeypatch):
+    """By then the staged tables that are read no more are gone."""
+    root = str(tmp_path)
+    write_landing(frame, root)
+    seen, running, store = {}, [], batch.Lake.store
+
+    def watched(lake, zone, dataset, df, partition_by=()):
+        seen[dataset] = list_names(spark, lake._scratch) if lake._scratch else [], list(running)
+        running.append(dataset)
+        try:
+            return store(lake, zone, dataset, df, partition_by)
+        finally:
+            running.remove(dataset)
+
+    monkeypatch.setattr(batch.Lake, "store", watched)
+    shared = scratch_path(spark, "")
+    before = set(list_names(spark, shared))
+    lake = batch.Lake(spark, root)
+    batch.run_lake(lake)
+    assert set(list_names(spark, shared)) <= before  # nothing staged is left behind
+    for dataset in ("user-monthly-engagement", "content-performance", "enriched-viewing-sessions"):
+        assert seen[dataset] == (["content-catalog", "quality-by-user", "user-profiles"], [])
+    report = lake.table("analytics", "reports/daily-user-engagement")
+    assert tuples(report) == tuples(lake.table("analytics", "user-monthly-engagement"))
+
+
+def test_released_tables_are_staged_anew(spark, frame, tmp_path):
+    root = str(tmp_path)
+    write_landing(frame, root)
+    lake = batch.Lake(spark, root)
+    first = {name: tuples(df.drop(files.UNDECLARED)) for name, df in lake.staged().items()}
+    kept = set(lake.staged()["user-profiles"].inputFiles())
+    lake.release("viewing-history", "user-interactions")
+    assert list_names(spark, lake._scratch) == ["content-catalog", "streaming-quality", "user-profiles"]
+    again = lake.staged()
+    assert {name: tuples(df.drop(files.UNDECLARED)) for name, df in again.items()} == first
+    assert set(again["user-profiles"].inputFiles()) == kept
+    lake.release()
+
+
+def test_a_table_stored_by_month_is_copied_without_a_shuffle(spark, frame, tmp_path):
+    rows = frame("user_id INT, year INT, month INT", *[(i, 2026, i % 3 + 1) for i in range(30)], (30, None, None))
+    files.write_table(rows, str(tmp_path / "table"), partition_by=("year", "month"))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("copying", "one stage")
+    try:
+        files.write_table(spark.read.parquet(str(tmp_path / "table")), str(tmp_path / "copy"),
+                          partition_by=("year", "month"), gathered=True)
+        stages = [s for job in tracker.getJobIdsForGroup("copying") for s in tracker.getJobInfo(job).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(stages) <= 2  # one lists the folders of many months
+    table, copy = (spark.read.parquet(str(tmp_path / name)) for name in ("table", "copy"))
+    assert tuples(copy) == tuples(table) == tuples(rows.select(table.columns))
+    assert len(copy.inputFiles()) == len(table.inputFiles()) == 4

@@ -155,3 +155,23 @@ def test_cost_decile_against_brute_force(frame, seed):
     assert got["cost_threshold"] == min(r[1] for r in worst)
     assert got["worst_monthly_spend"] == sum(r[2] for r in worst)
     assert got["worst_annual_spend"] == 12 * sum(r[2] for r in worst)
+
+
+def test_monthly_figures_of_odd_rows(frame):
+    """Nulls in keys and titles, rows that come twice, more titles than parts."""
+    day = "2026-03-05 10:00:00"
+    clicks = [(1, i % 40, day, None) for i in range(100)]
+    clicks += [(1, None, day, None), (None, 3, day, None), (None, 3, day, None), (None, None, None, None),
+               (2, 3, None, None), (2, 4, "no time", None), (2, 4, "2026-04-01 00:00:00", None)]
+    interactions = frame(schemas.USER_INTERACTIONS, *clicks)
+    moment = F.try_to_timestamp("timestamp")
+    direct = interactions.groupBy("user_id", F.year(moment).alias("year"), F.month(moment).alias("month")).agg(
+        F.count("*"), F.count_distinct("content_id"))
+    assert tuples(e.monthly_interactions(interactions)) == tuples(direct)
+    viewing = frame(schemas.VIEWING_HISTORY, (1, 1, 30.0, 60.0, None, "tv", day), (1, 1, 30.0, 60.0, None, "tv", day),
+                    (2, 2, None, 60.0, 40.0, "tv", None), (None, 2, 60.0, 60.0, 40.0, "tv", day))
+    got = e.user_monthly_engagement(viewing, frame(schemas.USER_PROFILES), frame(schemas.STREAMING_QUALITY), interactions)
+    assert tuples(got, "user_id", "year", "month", "total_watch_hours", "unique_titles_watched", "avg_completion_pct",
+                  "total_viewing_records", "interaction_count", "interacted_titles") == [
+        (None, 2026, 3, 1.0, 1, 40.0, 1, 0, 0), (1, 2026, 3, 1.0, 1, None, 2, 101, 40),
+        (2, None, None, None, 1, 40.0, 1, 0, 0)]

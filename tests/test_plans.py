@@ -123,3 +123,27 @@ def test_group_first_plans_join_no_raw_rows(frame):
         scans = [i for i, line in enumerate(lines) if "LogicalRDD" in line]
         assert len(scans) == leaves
         assert {first_above(lines, i, ("Join", "Aggregate")) for i in scans} == {"Aggregate"}
+
+
+def test_months_of_users_are_joined_by_user_alone(spark, frame):
+    """Once sessions and interactions are gathered by user, no row of them is shuffled again."""
+    viewing, users = frame(schemas.VIEWING_HISTORY), frame(schemas.USER_PROFILES)
+    quality, interactions = frame(schemas.STREAMING_QUALITY), frame(schemas.USER_INTERACTIONS)
+    with settings(spark, spark__sql__adaptive__enabled="false", spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = plan_of(engagement.user_monthly_engagement(viewing, users, quality, interactions))
+        stored = plan_of(engagement.user_monthly_engagement(
+            viewing, users, quality, interactions, engagement.quality_by_user(quality).limit(5)))
+    shuffles = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert not any("year" in keys or "month" in keys for keys in shuffles)
+    # Two each for sessions, interactions and profiles, one each for quality and what is known per user.
+    assert len(shuffles) == 8
+    assert "GlobalLimit" in stored
+
+
+def test_staged_keys_are_counted_as_numbers(frame):
+    from sluice.operators.matching import violation_counts
+
+    df = frame("u INT, c BIGINT", (1, 5), (2, None), (None, 7))
+    counted = violation_counts(df, {"u": ("u", frame("u BIGINT", (1,))), "c": ("c", frame("c SMALLINT", (5,), (7,)))})
+    assert "as string" not in plan_of(counted)
+    assert tuples(counted) == [("c", 1), ("u", 2)]
