@@ -137,19 +137,16 @@ def transform(lake: Lake) -> None:
     raw = lake.staged()
     users, catalog = raw["user-profiles"], raw["content-catalog"]
     delivery = raw["streaming-quality"]
-    viewing, interactions = together(
+    viewing, interactions, by_user, _ = together(
         lake.spark,
         partial(lake.store, "curated", "viewing-history", clean_viewing(raw["viewing-history"], distinct=lake.distinct_viewing)),
         partial(lake.store, "curated", "user-interactions",
                 clean_interactions(raw["user-interactions"])),
-    )
-    lake.release("viewing-history", "user-interactions")
-    by_user, _ = together(
-        lake.spark,
         partial(lake.keep, "quality-by-user", engagement.quality_by_user(delivery)),
         partial(lake.store, "analytics", "streaming-quality-region-isp",
                 engagement.quality_by_region_isp(delivery)),
     )
+    lake.release("viewing-history", "user-interactions")
     if lake.by_month:
         refresh_engagement(lake.spark, zone_path(lake.root, "analytics", "user-monthly-engagement"),
                            viewing, users, delivery, interactions, by_user)
